@@ -25,7 +25,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def size_in_bytes(df: DataFrame) -> int:
     """Size the optimizer knows for ``df``; exact file bytes for a materialised table."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
