@@ -44,12 +44,12 @@ def interpolate_series(df: DataFrame, keys: list[str], order: list[str], column:
     edge = edge.select(
         *slices.group,
         F.last("tail", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("__carry"),
-        F.first("head", ignorenulls=True).over(across.rowsBetween(1, Window.unboundedFollowing)).alias("__ahead"),
+        F.last("head", ignorenulls=True).over(slices.across_back.rowsBetween(Window.unboundedPreceding, -1)).alias("__ahead"),
     )
     here = F.when(known, F.struct("__at", F.col(column).alias("v")))
     joined = numbered.join(edge, slices.group, "left").withColumn("__here", here)
     back = F.coalesce(F.last("__here", ignorenulls=True).over(local.rowsBetween(Window.unboundedPreceding, 0)), "__carry")
-    ahead = F.coalesce(F.first("__here", ignorenulls=True).over(local.rowsBetween(0, Window.unboundedFollowing)), "__ahead")
+    ahead = F.coalesce(F.last("__here", ignorenulls=True).over(slices.local_back.rowsBetween(Window.unboundedPreceding, 0)), "__ahead")
     joined = joined.withColumns({"__p": back, "__q": ahead})
     share = (F.col("__at") - F.col("__p.__at")) / (F.col("__q.__at") - F.col("__p.__at"))
     line = F.col("__p.v") + (F.col("__q.v") - F.col("__p.v")) * share

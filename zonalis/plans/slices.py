@@ -58,6 +58,15 @@ class Slices:
         """Over the slice summaries of one key: as many rows as there are slices, never as many as there are rows."""
         return Window.partitionBy(*self.keys).orderBy(SLICE)
 
+    @property
+    def local_back(self):
+        """Latest row first: looking ahead is looking back in this order, which Spark evaluates in one sweep."""
+        return Window.partitionBy(*self.group).orderBy(*[F.col(c).desc() for c in self.order])
+
+    @property
+    def across_back(self):
+        return Window.partitionBy(*self.keys).orderBy(F.col(SLICE).desc())
+
     def summary(self, **measures: Column) -> DataFrame:
         return self.df.groupBy(*self.group).agg(*[c.alias(n) for n, c in measures.items()])
 
@@ -67,11 +76,10 @@ class Slices:
 
     def tails(self, values: dict[str, Column], depth: int) -> DataFrame:
         """For each slice the last ``depth`` rows before it, oldest first, as array ``carry``."""
-        backwards = Window.partitionBy(*self.group).orderBy(*[F.col(c).desc() for c in self.order])
         narrow = self.df.select(*self.group, *[c for c in self.order if c not in self.group], *[c.alias(n) for n, c in values.items()])
         entry = F.struct(*self.order, *[F.col(n).alias(f"v_{n}") for n in values])
         last = (
-            narrow.withColumn("__back", F.row_number().over(backwards))
+            narrow.withColumn("__back", F.row_number().over(self.local_back))
             .filter(F.col("__back") <= depth)
             .groupBy(*self.group)
             .agg(F.sort_array(F.collect_list(entry)).alias("tail"))
@@ -109,15 +117,11 @@ class Slices:
         """Last (or next) non-null value of each column within its key, the row itself included."""
         pick = F.max_by if forward else F.min_by
         summary = self.summary(**{f"__{c}": pick(F.col(c), F.when(F.col(c).isNotNull(), self.rank)) for c in columns})
-        if forward:
-            frame, inside = self.across.rowsBetween(Window.unboundedPreceding, -1), self.local.rowsBetween(Window.unboundedPreceding, 0)
-            choose = F.last
-        else:
-            frame, inside = self.across.rowsBetween(1, Window.unboundedFollowing), self.local.rowsBetween(0, Window.unboundedFollowing)
-            choose = F.first
-        summary = summary.select(*self.group, *[choose(f"__{c}", ignorenulls=True).over(frame).alias(f"__{c}") for c in columns])
+        across, local = (self.across, self.local) if forward else (self.across_back, self.local_back)
+        frame, inside = across.rowsBetween(Window.unboundedPreceding, -1), local.rowsBetween(Window.unboundedPreceding, 0)
+        summary = summary.select(*self.group, *[F.last(f"__{c}", ignorenulls=True).over(frame).alias(f"__{c}") for c in columns])
         joined = self.attach(summary)
-        filled = {c: self._keyed(F.coalesce(choose(c, ignorenulls=True).over(inside), F.col(f"__{c}"))) for c in columns}
+        filled = {c: self._keyed(F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"__{c}"))) for c in columns}
         return joined.withColumns(filled).drop(SLICE, *[f"__{c}" for c in columns])
 
     def numbered(self, into: str, total: str | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from zonalis.operators import aggregates as a
 from zonalis.operators import imputation, joins, quality, sets
 from zonalis.operators.ordering import split_by_day
 from zonalis.plans.adapters import raw_text, read, telemetry, vectors
-from zonalis.queries.registry import query, r6
+from zonalis.queries.registry import NUDGE, query, r6
 from zonalis.queries.results import results
 from zonalis.queries.scalars import RESULTS, ROW_FEATURES, num
 
@@ -39,7 +39,7 @@ FROM (SELECT *, list_avg(la) AS l, list_avg(ls) AS s FROM zone_raw) z"""
 
 
 def rounds(names: list[str], alias: str = "") -> str:
-    return ", ".join(f"round({alias}{n}, 6) AS {n}" for n in names)
+    return ", ".join(f"round({alias}{n} + {NUDGE}, 6) AS {n}" for n in names)
 
 
 def medians_sql(keys: str) -> str:
@@ -61,7 +61,7 @@ def splits(spark, sf):
 def _(spark, sf):
     train, _ = splits(spark, sf)
     levels = imputation.group_medians(train, FILLED)
-    return r6(sets.union_by_name(*[t.withColumn("level", F.lit(n)) for n, t in levels.items()]).select("level", "square_id", "day_id", *FILLED))
+    return r6(sets.union_by_name(*[t.withColumn("level", F.lit(n)) for n, t in levels.items()]).select("level", "square_id", "day_id", *FILLED), nudge=NUDGE)
 
 
 @query("fill_from_level", f"""
@@ -87,17 +87,17 @@ def _(spark, sf):
 
 @query("zone_stats", f"SELECT square_id, {rounds(ZONE_FIGURES)} FROM zones", ("telemetry",), {"split": SPLIT, "zone_raw": ZONE_RAW, "zones": ZONES})
 def _(spark, sf):
-    return r6(a.zone_stats(splits(spark, sf)[0]).select("square_id", F.col("zone_record_count").cast("double").alias("zone_record_count"), *ZONE_FIGURES[1:]))
+    return r6(a.zone_stats(splits(spark, sf)[0]).select("square_id", F.col("zone_record_count").cast("double").alias("zone_record_count"), *ZONE_FIGURES[1:]), nudge=NUDGE)
 
 
 @query("day_stats", f"SELECT day_id, {rounds(DAY_FIGURES)} FROM days", ("telemetry",), {"split": SPLIT, "zone_raw": DAY_RAW, "days": DAYS})
 def _(spark, sf):
-    return r6(a.day_stats(splits(spark, sf)[0]).select("day_id", F.col("day_record_count").cast("double").alias("day_record_count"), *DAY_FIGURES[1:]))
+    return r6(a.day_stats(splits(spark, sf)[0]).select("day_id", F.col("day_record_count").cast("double").alias("day_record_count"), *DAY_FIGURES[1:]), nudge=NUDGE)
 
 
 def attached(key: str, table: str, names: list[str]) -> str:
     means = ", ".join(f"avg({n}) AS {n}" for n in names)
-    figures = ", ".join(f"round(CASE WHEN j.is_test THEN coalesce(j.{n}, m.{n}) ELSE j.{n} END, 6) AS {n}" for n in names)
+    figures = ", ".join(f"round(CASE WHEN j.is_test THEN coalesce(j.{n}, m.{n}) ELSE j.{n} END + {NUDGE}, 6) AS {n}" for n in names)
     return f"""
 SELECT j.event_id, j.is_test, {figures}
 FROM (SELECT s.event_id, s.is_test, {', '.join('t.' + n for n in names)} FROM split s LEFT JOIN {table} t ON s.{key} = t.{key}) j
@@ -106,7 +106,7 @@ CROSS JOIN (SELECT {means} FROM split s JOIN {table} t ON s.{key} = t.{key} WHER
 
 def both_splits(train, test, names):
     both = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
-    return r6(both.select("event_id", "is_test", *[F.col(n).cast("double").alias(n) for n in names]))
+    return r6(both.select("event_id", "is_test", *[F.col(n).cast("double").alias(n) for n in names]), nudge=NUDGE)
 
 
 @query("attach_zone_stats", attached("square_id", "zones", ZONE_FIGURES), ("telemetry",), {"split": SPLIT, "zone_raw": ZONE_RAW, "zones": ZONES})
@@ -142,12 +142,12 @@ FIRST = ["zone_avg_latency", "zone_avg_upload", "zone_avg_download"]
 
 
 @query("zone_rollup", f"""
-SELECT f.square_id, {', '.join(f'round(avg({n}), 6) AS {n}' for n in ROLLUP)}, {', '.join(f'round(min(z.{n}), 6) AS {n}' for n in FIRST)}
+SELECT f.square_id, {', '.join(f'round(avg({n}) + {NUDGE}, 6) AS {n}' for n in ROLLUP)}, {', '.join(f'round(min(z.{n}) + {NUDGE}, 6) AS {n}' for n in FIRST)}
 FROM featured f JOIN zones z ON f.square_id = z.square_id WHERE NOT f.is_test GROUP BY f.square_id""", ("telemetry",),
        {"split": SPLIT, "zone_raw": ZONE_RAW, "zones": ZONES, "featured": ROW_FEATURES.replace("FROM telemetry", "FROM split")})
 def _(spark, sf):
     train, _ = joins.attach_zone_stats(*splits(spark, sf))
-    return r6(a.zone_rollup(c.throughput_features(c.row_stats(train))))
+    return r6(a.zone_rollup(c.throughput_features(c.row_stats(train))), nudge=NUDGE)
 
 
 @query("bbox_stats", """
