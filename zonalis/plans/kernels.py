@@ -188,3 +188,38 @@ def worst_ratio_kernel(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataF
         ratio = (targets.spread.to_numpy()[:, None] + sources.spread.to_numpy()[None, :]) / d
     ratio[targets.id.to_numpy()[:, None] == sources.id.to_numpy()[None, :]] = -np.inf
     return pd.DataFrame({"id": targets.id.to_numpy(), "worst": ratio.max(axis=1)})
+
+
+def solve_moments(batches, keys: list[str], width: int):
+    """Least-squares coefficients from summed products, one row per series in and out."""
+    for batch in batches:
+        out = {k: batch[k] for k in keys}
+        betas, sses = [], []
+        upper = np.triu_indices(width)
+        for products, cross, yy in zip(batch["xtx"], batch["xty"], batch["yy"]):
+            gram = np.zeros((width, width))
+            gram[upper] = products
+            gram = gram + np.triu(gram, 1).T
+            right = np.asarray(cross, dtype=float)
+            beta = np.linalg.lstsq(gram, right, rcond=1e-12)[0]
+            betas.append(beta)
+            sses.append(max(0.0, float(yy - 2 * beta @ right + beta @ gram @ beta)))
+        yield pd.DataFrame(out | {"beta": betas, "n": batch["n"], "sse": sses})
+
+
+def roll_forward(batches, keys: list[str], ar: list[int], ma: list[int], weights: dict[int, float], steps: int):
+    """Recursive forecast of one series per row: differenced values ahead, then back to the original scale."""
+    for batch in batches:
+        rows = []
+        for at in range(len(batch)):
+            row = batch.iloc[at]
+            beta, w, e, y = (list(map(float, row[c])) for c in ("beta", "w_tail", "e_tail", "y_tail"))
+            for step in range(1, steps + 1):
+                value = beta[0]
+                value += sum(b * w[-k] for b, k in zip(beta[1:], ar) if k <= len(w))
+                value += sum(b * e[-k] for b, k in zip(beta[1 + len(ar):], ma) if k <= len(e))
+                w.append(value)
+                e.append(0.0)
+                y.append(value - sum(c * y[-k] for k, c in weights.items() if k > 0))
+                rows.append([*(row[k] for k in keys), step, y[-1]])
+        yield pd.DataFrame(rows, columns=[*keys, "step", "forecast"])
