@@ -102,7 +102,7 @@ def dbscan_sweep(
             break
     final = F.zip_with("labels", "least", lambda own, near: F.when(F.isnan(own), near).otherwise(own))
     rooted = state.join(found, "id").select("features", F.posexplode(final).alias("setting", "root"))
-    names = rooted.filter(~F.isnan("root")).select("setting", "root").distinct()
+    names = rooted.filter(F.col("root").isNotNull() & ~F.isnan("root")).select("setting", "root").distinct()
     names = names.withColumn("label", F.row_number().over(Window.partitionBy("setting").orderBy("root")) - 1)
     labelled = rooted.join(names, ["setting", "root"], "left").select("features", "setting", F.coalesce("label", F.lit(-1)).alias("label"))
     packed = labelled.groupBy("features").agg(F.collect_list(F.struct("setting", "label")).alias("found"))

@@ -19,7 +19,7 @@ BUCKETS = 4096
 
 
 def column_name(column: str, q: float) -> str:
-    return f"{column}_p{q:g}"
+    return f"{column}_p{q:g}".replace(".", "_")
 
 
 def exact_percentiles(
