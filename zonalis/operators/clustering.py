@@ -92,8 +92,10 @@ def dbscan_sweep(
         merged = state.join(found, "id")
         lower = F.zip_with("labels", "least", lambda own, near: F.when(F.isnan(own), own).otherwise(F.least(own, near)))
         long = merged.select("id", F.posexplode(lower).alias("s", "parent")).filter(~F.isnan("parent"))
-        roots = shortcut(long.select("s", "id", F.col("parent").cast("long").alias("parent")), ["s"])
-        wide = roots.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("s", F.col("parent").cast("double")))).alias("m"))
+        # one pointer step per round: a label takes over the label of the point it names
+        named = long.select("s", F.col("id").cast("double").alias("parent"), F.col("parent").alias("onward"))
+        stepped = long.join(named, ["s", "parent"], "left").select("s", "id", F.coalesce("onward", "parent").alias("parent"))
+        wide = stepped.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("s", "parent"))).alias("m"))
         new = F.array(*[F.coalesce(F.try_element_at("m", F.lit(i)), nan) for i in range(count)])
         joined = materialize(state.join(wide, "id", "left").select("id", "features", new.alias("new"), "labels"))
         changed = not joined.filter(F.exists(F.zip_with("new", "labels", lambda a, b: ~a.eqNullSafe(b)), lambda c: c)).isEmpty()

@@ -29,4 +29,4 @@ def attach_day_stats(train: DataFrame, test: DataFrame, day: str = "day_id") ->
 
 def join_labels_on_point(df: DataFrame, labels: DataFrame, point: tuple[str, str] = ("latitude", "longitude")) -> DataFrame:
     """Cluster labels back on equal coordinates; a point with several label rows fans out."""
-    return df.join(labels, list(point), "left")
+    return lookup_join(df, labels, list(point), null_safe=False)

@@ -10,10 +10,12 @@ from zonalis.plans.materialize import materialize
 
 def shortcut(parents: DataFrame, keys: list[str]) -> DataFrame:
     """Follow parent pointers to the root by doubling: (keys, id, parent) with parent = root on return."""
-    parents = materialize(parents)
     while True:
         up = parents.select(*keys, F.col("id").alias("parent"), F.col("parent").alias("grand"))
-        jumped = materialize(parents.join(up, [*keys, "parent"], "left").select(*keys, "id", F.coalesce("grand", "parent").alias("next"), "parent"))
+        once = parents.join(up, [*keys, "parent"], "left").select(*keys, "id", F.coalesce("grand", "parent").alias("next"), "parent")
+        again = up.withColumnsRenamed({"parent": "next", "grand": "great"})
+        twice = once.join(again, [*keys, "next"], "left").select(*keys, "id", F.coalesce("great", "next").alias("next"), "parent")
+        jumped = materialize(twice)
         moved = not jumped.filter(F.col("next") != F.col("parent")).isEmpty()
         parents = jumped.select(*keys, "id", F.col("next").alias("parent"))
         if not moved:
@@ -27,7 +29,6 @@ def components(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame
     contracts all pointers, so long paths shrink geometrically.
     """
     labels = nodes.select(*keys, "id", F.col("id").alias("parent"))
-    labels = materialize(labels)
     open_edges = edges.select(*keys, "a", "b")
     while True:
         a = labels.select(*keys, F.col("id").alias("a"), F.col("parent").alias("root_a"))

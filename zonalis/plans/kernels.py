@@ -142,20 +142,33 @@ def degree_kernel(radii: list[float]):
     return run
 
 
-def least_label_kernel(radii: list[float]):
-    """Per radius the smallest label among the labelled sources within it; NaN when there is none."""
+def least_label_kernel(radii: list[float], passes: int = 4):
+    """Per radius the smallest label a target can reach: directly from the sources within it, and onwards through other
+    labelled targets of the same block, so that a chain inside a block is walked in one call. NaN when there is none."""
 
     def run(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
         a, b, labels = matrix(targets.features), matrix(sources.features), matrix(sources.labels)
-        out = []
-        for part in chunks(len(a), len(b)):
-            d = euclid(a[part], b)
-            best = np.stack([
-                np.where((d <= r) & ~np.isnan(labels[:, i])[None, :], labels[:, i][None, :], np.inf).min(axis=1)
-                for i, r in enumerate(radii)
-            ], axis=1)
-            out.append(pd.DataFrame({"id": targets.id.to_numpy()[part], "least": list(np.where(np.isinf(best), np.nan, best))}))
-        return pd.concat(out) if out else pd.DataFrame({"id": [], "least": []})
+        labels = np.where(np.isnan(labels), np.inf, labels)
+        order = np.argsort(sources.id.to_numpy())
+        place = np.clip(np.searchsorted(sources.id.to_numpy()[order], targets.id.to_numpy()), 0, len(b) - 1)
+        place = order[place]
+        known = sources.id.to_numpy()[place] == targets.id.to_numpy()
+        parts = list(chunks(len(a), len(b)))
+        reach = np.full((len(a), len(radii)), np.inf)
+        near = None
+        for turn in range(1_000_000 if len(parts) == 1 else passes):
+            before = labels.copy()
+            for part in parts:
+                if near is None or len(parts) > 1:
+                    d = euclid(a[part], b)
+                    near = [d <= r for r in radii]
+                for i in range(len(radii)):
+                    reach[part, i] = np.where(near[i], labels[None, :, i], np.inf).min(axis=1)
+                at, rows = place[part][known[part]], reach[part][known[part]]
+                labels[at] = np.where(np.isinf(labels[at]), np.inf, np.minimum(labels[at], rows))
+            if np.array_equal(before, labels):
+                break
+        return pd.DataFrame({"id": targets.id.to_numpy(), "least": list(np.where(np.isinf(reach), np.nan, reach))})
 
     return run
 
