@@ -82,7 +82,7 @@ def literal_map(entries: dict[str, str]) -> Column:
 
 def parse_number(text: Column) -> Column:
     """Number in a text cell: commas and blanks dropped, anything unreadable becomes null."""
-    bare = F.trim(F.regexp_replace(text.cast("string"), ",", ""))
+    bare = F.trim(F.translate(text.cast("string"), ",", ""))
     return F.when(bare.rlike(NUMBER), bare.try_cast("double"))
 
 
@@ -91,14 +91,18 @@ def unit_of(unit: Column) -> Column:
 
 
 def size_to_mb(amount: Column, unit: Column) -> Column:
-    number, name = parse_number(amount), unit_of(unit)
-    return F.when(name.isin(KILO_SIZE), number / 1024.0).when(name.isin(GIGA_SIZE), number * 1024.0).otherwise(number)
+    return parse_number(amount) * _factor(unit, KILO_SIZE, GIGA_SIZE)
 
 
 def bitrate_to_mbps(amount: Column, unit: Column) -> Column:
     """Only the listed spellings are rescaled (kbits/sec is not), with 1024 as the step."""
-    number, name = parse_number(amount), unit_of(unit)
-    return F.when(name.isin(KILO_RATE), number / 1024.0).when(name.isin(GIGA_RATE), number * 1024.0).otherwise(number)
+    return parse_number(amount) * _factor(unit, KILO_RATE, GIGA_RATE)
+
+
+def _factor(unit: Column, kilo: list[str], giga: list[str]) -> Column:
+    """A power of two, so the product is exact and the number is parsed once."""
+    name = unit_of(unit)
+    return F.when(name.isin(kilo), 1 / 1024).when(name.isin(giga), 1024.0).otherwise(1.0)
 
 
 def conform_schema(df: DataFrame, schema: T.StructType, sources: dict[str, list[str | Column]] | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from zonalis.operators.windows import difference_weights, interpolate_series, se
 from zonalis.plans import kernels
 from zonalis.plans.materialize import materialize
 from zonalis.plans.skew import lookup_join
-from zonalis.plans.slices import Slices
+from zonalis.plans.slices import Slices, slice_width
 
 SERIES = "__series"
 
@@ -90,9 +90,9 @@ def _lags(p: int, seasonal: int, period: int) -> list[int]:
 class SeriesFit:
     """Fitted coefficients per series and the rows they were fitted on (with in-sample residuals)."""
 
-    def __init__(self, keys, order, ar, ma, weights, rows, coefficients, target):
+    def __init__(self, keys, order, ar, ma, weights, rows, coefficients, target, width):
         self.keys, self.order, self.ar, self.ma, self.weights = keys, order, ar, ma, weights
-        self.rows, self.coefficients, self.target = rows, coefficients, target
+        self.rows, self.coefficients, self.target, self.width = rows, coefficients, target, width
 
 
 def fit_series(
@@ -106,6 +106,7 @@ def fit_series(
     (p, d, q), (sp, sd, sq) = pdq, seasonal
     if not keys:
         df, keys = df.withColumn(SERIES, F.lit("all")), [SERIES]
+    width = width or slice_width(df, keys, order[0])
     ar, ma, weights = _lags(p, sp, period), _lags(q, sq, period), difference_weights(d, sd, period)
     long = sorted(set(range(1, p + q + 4)) | set(_lags(1, max(sp, sq), period) if sp or sq else []))
     base = interpolate_series(df.select(*keys, *order, y), keys, order, y, width)
@@ -128,7 +129,7 @@ def fit_series(
     fitted = lookup_join(rows, coefficients.select(*keys, F.col("beta").alias("__b")), keys)
     fitted = fitted.withColumn("residual", F.col("w") - _linear(F.col("__b"), names))
     fitted = fitted.select(*keys, *order, y, "w", "residual")
-    return SeriesFit(keys, order, ar, ma, weights, materialize(fitted), coefficients, y)
+    return SeriesFit(keys, order, ar, ma, weights, materialize(fitted), coefficients, y, width)
 
 
 def forecast_series(fit: SeriesFit, steps: int, minimum: int = 10) -> DataFrame:
@@ -202,6 +203,7 @@ def window_regressor(
     columns = list(dict.fromkeys([*features, *targets]))
     train, test = (df.withColumns({c: clean_non_finite(F.col(c).cast("double")) for c in columns}).na.drop(subset=columns) for df in (train, test))
     scaler = getattr(Scaler, scaling)(train, columns)
+    width = width or slice_width(train, keys, order[0])
     out = None
     for target in targets:
         prepared = []
@@ -244,7 +246,7 @@ def hyperparam_pick(train: DataFrame, test: DataFrame, settings: list[dict], **c
 
 def _last_rows(fit: SeriesFit, row: Column, depth: int) -> DataFrame:
     """Last ``depth`` rows per series: ranked inside slices first, so at most ``depth`` rows per slice remain."""
-    slices = Slices(fit.rows, fit.keys, fit.order)
+    slices = Slices(fit.rows, fit.keys, fit.order, fit.width)
     kept = slices.df.withColumn("__back", F.row_number().over(slices.local_back)).filter(F.col("__back") <= depth)
     entry = F.struct(*fit.order, row.alias("r"))
     per_slice = kept.groupBy(*slices.group).agg(F.sort_array(F.collect_list(entry)).alias("t"))

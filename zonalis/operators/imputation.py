@@ -12,8 +12,8 @@ from zonalis.plans.skew import lookup_join
 LEVELS = ("zone_day", "zone", "day")
 
 
-def _medians(df: DataFrame, keys: list[str], columns: list[str], hot_rows: int) -> DataFrame:
-    out = exact_percentiles(df, keys, columns, [0.5], hot_rows)
+def medians_by(df: DataFrame, keys: list[str], columns: list[str], hot_rows: int = HOT_ROWS, total: int | None = None) -> DataFrame:
+    out = exact_percentiles(df, keys, columns, [0.5], hot_rows, total)
     return out.withColumnsRenamed({column_name(c, 0.5): c for c in columns})
 
 
@@ -21,12 +21,9 @@ def group_medians(
     train: DataFrame, columns: list[str], zone: str = "square_id", day: str = "day_id", hot_rows: int = HOT_ROWS
 ) -> dict[str, DataFrame]:
     """Exact medians of the training rows per (zone, day), zone, day and overall (null keys form groups)."""
-    return {
-        "zone_day": _medians(train, [zone, day], columns, hot_rows),
-        "zone": _medians(train, [zone], columns, hot_rows),
-        "day": _medians(train, [day], columns, hot_rows),
-        "global": _medians(train, [], columns, hot_rows),
-    }
+    total = train.count()
+    keys = {"zone_day": [zone, day], "zone": [zone], "day": [day], "global": []}
+    return {level: medians_by(train, by, columns, hot_rows, total) for level, by in keys.items()}
 
 
 def fill_from_level(df: DataFrame, keys: list[str], medians: DataFrame, columns: list[str], stored: bool = False) -> DataFrame:

@@ -12,6 +12,7 @@ from zonalis.operators.joins import attach_day_stats, attach_zone_stats
 from zonalis.operators.ordering import split_by_day
 from zonalis.operators.windows import LAGGED, ffill_by_group, fill_group_mean, lag_features
 from zonalis.plans.materialize import materialize
+from zonalis.plans.slices import slice_width
 from zonalis.sources.readers import read_csv_glob
 
 
@@ -49,8 +50,9 @@ def row_features(df: DataFrame) -> DataFrame:
 def lagged(train: DataFrame, test: DataFrame, order: list[str], zone: str = "square_id") -> tuple[DataFrame, DataFrame]:
     """Lags per split; training gaps by forward fill then zone mean, test gaps by the training mean."""
     names = [f"{n}_lag1" for n in LAGGED]
-    train, test = (lag_features(df, [zone], order) for df in (train, test))
-    train = materialize(fill_group_mean(ffill_by_group(train, [zone], order, names), zone, names))
+    width = slice_width(train, [zone], order[0])
+    train, test = (lag_features(df, [zone], order, width=width) for df in (train, test))
+    train = materialize(fill_group_mean(ffill_by_group(train, [zone], order, names, width), zone, names))
     return train, fill_test_with_train_mean(train, test, names)
 
 

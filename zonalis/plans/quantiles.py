@@ -23,14 +23,17 @@ def column_name(column: str, q: float) -> str:
 
 
 def exact_percentiles(
-    df: DataFrame, keys: list[str], columns: list[str], probabilities: list[float], hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: list[str], columns: list[str], probabilities: list[float], hot_rows: int = HOT_ROWS, total: int | None = None
 ) -> DataFrame:
-    """One row per group with ``<column>_p<q>`` (linear interpolation, nulls skipped)."""
+    """One row per group with ``<column>_p<q>`` (linear interpolation, nulls skipped).
+
+    ``total`` is the number of rows when the caller knows it; a table below ``hot_rows`` cannot have a hot group.
+    """
     narrow = df.select(*keys, *columns)
     builtin = [F.percentile(F.col(c), q).alias(column_name(c, q)) for c in columns for q in probabilities]
+    if (narrow.count() if total is None else total) <= hot_rows:
+        return narrow.groupBy(*keys).agg(*builtin)
     if not keys:
-        if narrow.count() <= hot_rows:
-            return narrow.agg(*builtin)
         return _narrowing(narrow.withColumn("__all", F.lit(0)), ["__all"], columns, probabilities).drop("__all")
     sizes = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
     hot = materialize(sizes.select(*keys, F.lit(True).alias("__hot")))

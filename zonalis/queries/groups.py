@@ -71,7 +71,7 @@ WHERE NOT is_test""", ("telemetry",), {"split": SPLIT, "zd": MEDIANS["zd"]})
 def _(spark, sf):
     train, _ = splits(spark, sf)
     keys = ["square_id", "day_id"]
-    medians = imputation._medians(train, keys, FILLED, imputation.HOT_ROWS)
+    medians = imputation.medians_by(train, keys, FILLED)
     return r6(imputation.fill_from_level(train, keys, medians, FILLED).select("event_id", *FILLED))
 
 
@@ -341,7 +341,7 @@ def _(spark, sf):
     df = read(spark, sf, "lineitem").select(
         F.col("l_shipdate").alias("day_id"), F.col("l_quantity").cast("double").alias("quantity"), F.col("l_extendedprice").cast("double").alias("price")
     )
-    medians = imputation._medians(df, ["day_id"], ["quantity", "price"], imputation.HOT_ROWS)
+    medians = imputation.medians_by(df, ["day_id"], ["quantity", "price"])
     counts = df.groupBy("day_id").agg(F.count(F.lit(1)).alias("records"))
     out = counts.join(medians, "day_id").withColumnsRenamed({"quantity": "median_quantity", "price": "median_price"})
     return r6(out)
