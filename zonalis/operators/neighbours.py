@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from zonalis.plans import kernels
 from zonalis.plans.blocks import BLOCK_ROWS, SOURCE_ROWS, block_apply, k_best, nearest
 from zonalis.plans.materialize import materialize
+from zonalis.plans.skew import lookup_join
 
 
 def vector_of(columns: list[str]) -> Column:
@@ -33,7 +34,7 @@ def mutual_reachability(df: DataFrame, min_samples: int, k: int, **limits: int)
     """Edges to the ``k`` nearest other rows, weighted by max(core_a, core_b, distance)."""
     core = materialize(core_distance(df, min_samples, **limits))
     edges = nearest(df, df, k, "euclid", skip_self=True, **limits)
-    edges = edges.join(core, "id").join(core.withColumnsRenamed({"id": "other", "core": "other_core"}), "other")
+    edges = lookup_join(edges.join(core, "id"), core.withColumnsRenamed({"id": "other", "core": "other_core"}), ["other"], False, stored=True)
     return edges.select("id", "other", F.greatest("core", "other_core", "distance").alias("weight"))
 
 
@@ -46,7 +47,9 @@ def assign_to_clusters(train: DataFrame, test: DataFrame, k: int = 1, **limits:
     if usable.isEmpty():
         return test.select("id", F.lit(-1).alias("label"))
     found = nearest(test, usable, k, "euclid", **limits)
-    votes = found.join(usable.select(F.col("id").alias("other"), "label"), "other").groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
+    # one training row may be the neighbour of very many test rows
+    found = lookup_join(found, usable.select(F.col("id").alias("other"), "label"), ["other"], False, stored=True)
+    votes = found.groupBy("id", "label").agg(F.count(F.lit(1)).alias("n"))
     return votes.groupBy("id").agg(F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("label"))
 
 
@@ -85,7 +88,7 @@ def knn_haversine_classify(
     asked = materialize(_with_point_id(unknown.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(*ll).distinct(), ll))
     radians = F.array(F.radians("latitude"), F.radians("longitude"))
     found = nearest(asked.select("id", radians.alias("features")), sources.select("id", radians.alias("features")), k, "haversine", **limits)
-    found = found.join(sources.select(F.col("id").alias("other"), F.col(zone).alias("zone"), "copies"), "other")
+    found = lookup_join(found, sources.select(F.col("id").alias("other"), F.col(zone).alias("zone"), "copies"), ["other"], False, stored=True)
     order = Window.partitionBy("id").orderBy("distance", "zone", "other").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("copies").over(order), F.lit(0))
     found = found.withColumn("used", F.least(F.col("copies"), F.lit(k) - before)).filter(F.col("used") > 0)
@@ -95,7 +98,7 @@ def knn_haversine_classify(
     best = votes.groupBy("id").agg(F.min(F.struct((-F.col("vote")).alias("v"), "zone")).alias("b"), F.sum("vote").alias("total"))
     share = -F.col("b.v") / F.col("total")
     decided = asked.join(best, "id").select(*ll, F.when(share >= accept, F.col("b.zone")).alias("knn_zone"), share.alias("share"))
-    return unknown.join(decided, ll, "left").select(row_id, "knn_zone", "share")
+    return lookup_join(unknown.select(row_id, *ll), decided, ll, False, row_id).select(row_id, "knn_zone", "share")
 
 
 def _with_point_id(df: DataFrame, columns: list[str]) -> DataFrame:

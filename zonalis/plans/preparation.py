@@ -52,20 +52,28 @@ def lagged(train: DataFrame, test: DataFrame, order: list[str], zone: str = "squ
     names = [f"{n}_lag1" for n in LAGGED]
     width = slice_width(train, [zone], order[0])
     train, test = (lag_features(df, [zone], order, width=width) for df in (train, test))
-    train = materialize(fill_group_mean(ffill_by_group(train, [zone], order, names, width), zone, names))
-    return train, fill_test_with_train_mean(train, test, names)
+    train = materialize(fill_group_mean(materialize(ffill_by_group(train, [zone], order, names, width)), zone, names))
+    return train, materialize(fill_test_with_train_mean(train, test, names))
 
 
 def build_features(train: DataFrame, test: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Row features, day and zone statistics, lags, remaining gaps; each stage that is read twice is stored once."""
-    train, test = materialize(row_features(train)), materialize(row_features(test))
-    train, test = attach_day_stats(train, test)
-    train, test = attach_zone_stats(materialize(train), materialize(test))
-    train, test = lagged(materialize(train), materialize(test), order)
+    """Row features, day and zone statistics, lags, remaining gaps.
+
+    Everything before the lags is projection and broadcast lookups on the stored input, cheaper to repeat than to
+    write; the ordered part is the expensive one and is stored.
+    """
+    train, test = attach_day_stats(row_features(train), row_features(test))
+    train, test = attach_zone_stats(train, test)
     out = []
-    for df in (train, test):
-        df = materialize(df)
-        numeric = [n for n in c.numeric_columns(df, ["latitude", "longitude"])]
+    for df in lagged(train, test, order):
+        numeric = c.numeric_columns(df, ["latitude", "longitude"])
         text = [n for n, t in df.dtypes if t == "string" and n != "square_id"]
         out.append(fill_remaining(df, numeric, text))
     return out[0], out[1]
+
+
+def prepare(spark: SparkSession, pattern: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Files to feature tables; the cleaned and the imputed rows are stored, as later stages read them several times."""
+    cleaned = materialize(clean(ingest(spark, pattern)))
+    train, test = impute(cleaned)
+    return build_features(materialize(train), materialize(test), order)

@@ -44,8 +44,13 @@ class Slices:
     def __init__(self, df: DataFrame, keys: list[str], order: list[str], width: int | None = None):
         self.keys, self.order = list(keys), list(order)
         self.width = width or slice_width(df, self.keys, self.order[0])
-        number = F.coalesce(order_number(df, self.order[0]), F.lit(-(1 << 62)))
-        self.df = df.withColumn(SLICE, F.floor(number / F.lit(self.width)).cast("long"))
+        number = order_number(df, self.order[0])
+        at = F.floor(number / F.lit(self.width)).cast("long")
+        # rows without a leading value come first and are ordered by the next column alone, so that one cuts them
+        first = F.lit(-(1 << 62))
+        if len(self.order) > 1 and dict(df.dtypes)[self.order[1]] in ("bigint", "int"):
+            first = first + F.coalesce(F.floor(F.col(self.order[1]) / ROWS_PER_SLICE).cast("long"), F.lit(-(1 << 60)))
+        self.df = df.withColumn(SLICE, F.coalesce(at, first))
         self.group = [*self.keys, SLICE]
         self.rank = F.struct(*self.order)
 

@@ -11,6 +11,7 @@ from zonalis.plans import adapters
 
 QUERIES: dict[str, Callable] = {}
 CHECKS: dict[str, str] = {}
+BODIES: dict[str, str] = {}
 
 VIEWS = {
     "telemetry": adapters.TELEMETRY_SQL,
@@ -20,7 +21,7 @@ VIEWS = {
 }
 
 
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), ctes: dict[str, str] | None = None):
+def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), ctes: dict[str, str] | None = None, recursive: bool = False):
     """Register a query; ``views`` and ``ctes`` are put before ``sql`` as common table expressions."""
 
     def keep(function: Callable) -> Callable:
@@ -29,7 +30,8 @@ def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), ctes:
         if sql:
             parts = {v: VIEWS[v] for v in views} | (ctes or {})
             head = ", ".join(f"{n} AS ({body})" for n, body in parts.items())
-            CHECKS[name] = f"WITH {head} {sql}" if head else sql
+            BODIES[name] = sql
+            CHECKS[name] = f"WITH {'RECURSIVE ' if recursive else ''}{head} {sql}" if head else sql
         return function
 
     return keep

@@ -15,7 +15,7 @@ from zonalis.operators.ordering import split_by_day
 from zonalis.plans.adapters import telemetry, vectors
 from zonalis.plans.materialize import materialize
 from zonalis.queries.groups import FILLED, SPLIT, splits
-from zonalis.queries.registry import query, r6
+from zonalis.queries.registry import BODIES, query, r6
 from zonalis.queries.scalars import ROW_FEATURES
 
 VALID = "SELECT * FROM telemetry WHERE latitude <> 999"
@@ -53,7 +53,10 @@ def _(spark, sf):
     return r6(neighbours.knn_haversine_classify(known, unknown, "event_id"))
 
 
-@query("impute_unknown_zones")
+@query("impute_unknown_zones", """
+SELECT v.event_id, coalesce(v.square_id, b.bbox_zone, k.knn_zone, 'Unknown') AS square_id
+FROM valid v LEFT JOIN boxed b ON v.event_id = b.event_id LEFT JOIN voted k ON v.event_id = k.event_id""",
+       ("telemetry",), {"valid": VALID, "boxed": BODIES["assign_by_bbox"], "voted": BODIES["knn_haversine_classify"]})
 def _(spark, sf):
     return spatial.impute_unknown_zones(valid(spark, sf), "event_id").select("event_id", "square_id")
 
@@ -224,9 +227,9 @@ def _(spark, sf):
     return r6(m.flag_silhouette_outliers(vec(spark, sf)))
 
 
-@query("silhouette_squared")
+@query("silhouette_squared", "SELECT round(avg(silhouette), 6) AS silhouette FROM samples", (), VEC | {"samples": SILHOUETTE.replace("sum(d)", "sum(d * d)")})
 def _(spark, sf):
-    return m.silhouette(vec(spark, sf), approx=True)
+    return r6(m.silhouette(vec(spark, sf), approx=True))
 
 
 @query("davies_bouldin", """
@@ -299,6 +302,19 @@ def _(spark, sf):
     return train.join(cl.dbscan(train, 1.5, 3), "id").select("square_id", "label")
 
 
+@query("dbscan_vectors", """
+SELECT p.id, coalesce(c.label, -1) AS label FROM pts p LEFT JOIN (
+  SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS label FROM (
+    SELECT n.id, min(CASE WHEN k.id IS NOT NULL THEN r.root END) AS root FROM near n LEFT JOIN core k ON n.other = k.id LEFT JOIN roots r ON n.other = r.id
+    WHERE n.id NOT IN (SELECT id FROM core) OR n.id = n.other GROUP BY n.id) m WHERE root IS NOT NULL) c ON p.id = c.id""", (), VEC | {
+    "near": "SELECT id, other FROM pairs WHERE d <= 118e-2",
+    "core": "SELECT id FROM near GROUP BY id HAVING count(*) >= 4",
+    "reached": "SELECT id, id AS root FROM core UNION SELECT n.other, r.root FROM reached r JOIN near n ON n.id = r.id JOIN core k ON n.other = k.id",
+    "roots": "SELECT id, min(root) AS root FROM reached GROUP BY id"}, recursive=True)
+def _(spark, sf):
+    return cl.dbscan(vec(spark, sf), 1.18, 4).withColumn("label", F.col("label").cast("long"))
+
+
 @query("dbscan_cut")
 def _(spark, sf):
     train, _ = zone_tables(spark, sf)

@@ -21,11 +21,13 @@ def write_table(df: DataFrame, path: str, form: str = "parquet") -> None:
     writer.option("header", True).csv(path) if form == "csv" else writer.format(form).save(path)
 
 
-def write_by_day(df: DataFrame, path: str, day: str = "day_id", files_per_day: int = 8) -> None:
-    """One folder per day. Rows are spread by day and a hash, so a day is written by several tasks and no task gets a
-    whole busy day, while the number of files per day stays fixed."""
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_day))
-    df.repartition(F.col(day), spread).write.mode("overwrite").partitionBy(day).parquet(path)
+def write_by_day(df: DataFrame, path: str, day: str = "day_id", rows_per_file: int = 5_000_000) -> None:
+    """One folder per day. Rows are spread by day and a hash, with as many parts as the busiest day needs, so no task
+    gets a whole busy day and a quiet day still makes few files."""
+    counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
+    parts = -(-(counts.agg(F.max("n")).first()[0] or 1) // rows_per_file)
+    spread = F.pmod(F.xxhash64(*df.columns), F.lit(parts))
+    df.repartition(F.col(day), spread).write.mode("overwrite").option("maxRecordsPerFile", 4 * rows_per_file).partitionBy(day).parquet(path)
 
 
 def write_json_summary(df: DataFrame, path: str) -> None:
