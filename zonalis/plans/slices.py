@@ -29,6 +29,11 @@ def order_number(df: DataFrame, name: str) -> Column:
     return F.floor(F.col(name)).cast("long")
 
 
+def newest(values: Column, depth: int) -> Column:
+    """Last ``depth`` entries of an array, or all of a shorter one."""
+    return F.slice(values, F.greatest(F.size(values) - depth, F.lit(0)) + 1, F.lit(depth))
+
+
 def slice_width(df: DataFrame, keys: list[str], lead: str, rows_per_slice: int = ROWS_PER_SLICE) -> int:
     """Width that keeps the busiest slice near ``rows_per_slice``; one job that returns a single number."""
     bucket = F.floor(order_number(df, lead) / DAY_SECONDS)
@@ -89,9 +94,9 @@ class Slices:
             .groupBy(*self.group)
             .agg(F.sort_array(F.collect_list(entry)).alias("tail"))
         )
-        earlier = F.flatten(F.collect_list("tail").over(self.across.rowsBetween(-depth, -1)))
-        short = F.when(F.size(earlier) > depth, F.slice(earlier, -depth, depth)).otherwise(earlier)
-        return last.select(*self.group, short.alias("carry"))
+        earlier = F.collect_list("tail").over(self.across.rowsBetween(-depth, -1))
+        gathered = last.select(*self.group, earlier.alias("carry"))
+        return gathered.withColumn("carry", newest(F.flatten("carry"), depth))
 
     def lags(self, columns: dict[str, tuple[Column, int]]) -> DataFrame:
         """Add one column per entry: name -> (value, offset). Null key gives null."""
@@ -113,10 +118,10 @@ class Slices:
         joined = joined.withColumn(POSITION, F.row_number().over(self.local))
         here = F.collect_list(F.struct(value.alias("v"))).over(self.local.rowsBetween(-depth, -1))
         carried = F.transform(F.coalesce("carry", F.expr("array()")), lambda e: F.struct(e["v_value"].alias("v")))
-        both = F.when(F.col(POSITION) > depth, here).otherwise(F.concat(carried, here))
-        both = F.when(F.size(both) > depth, F.slice(both, -depth, depth)).otherwise(both)
+        joined = joined.withColumn("__here", here)
+        both = F.when(F.col(POSITION) > depth, F.col("__here")).otherwise(newest(F.concat(carried, "__here"), depth))
         out = joined.withColumn(into, self._keyed(F.transform(both, lambda e: e["v"])))
-        return out.drop(SLICE, POSITION, "carry")
+        return out.drop(SLICE, POSITION, "carry", "__here")
 
     def fill(self, columns: list[str], forward: bool = True) -> DataFrame:
         """Last (or next) non-null value of each column within its key, the row itself included."""
