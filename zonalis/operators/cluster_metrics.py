@@ -66,41 +66,39 @@ def centroids(df: DataFrame) -> DataFrame:
     )
 
 
-def _with_centre(df: DataFrame, stored: DataFrame) -> DataFrame:
-    return lookup_join(df.filter(F.col("label") != -1), stored, ["label"], null_safe=False, stored=True)
+def cluster_moments(df: DataFrame) -> DataFrame:
+    """(label, n, centre, spread, within) per cluster, stored: mean distance and summed squared distance to the centre."""
+    centres = materialize(centroids(df))
+    joined = lookup_join(df.filter(F.col("label") != -1), centres.select("label", "centre"), ["label"], null_safe=False, stored=True)
+    squared = squared_distance(F.col("features"), F.col("centre"))
+    sums = joined.groupBy("label").agg(F.avg(F.sqrt(squared)).alias("spread"), F.sum(squared).alias("within"))
+    return materialize(centres.join(sums, "label"))
 
 
-def inertia(df: DataFrame) -> DataFrame:
-    centred = _with_centre(df, materialize(centroids(df)))
-    return centred.agg(F.sum(squared_distance(F.col("features"), F.col("centre"))).alias("inertia"))
+def inertia(df: DataFrame, moments: DataFrame | None = None) -> DataFrame:
+    return (moments or cluster_moments(df)).agg(F.sum("within").alias("inertia"))
 
 
-def davies_bouldin(df: DataFrame) -> DataFrame:
+def davies_bouldin(df: DataFrame, moments: DataFrame | None = None) -> DataFrame:
     """Mean over clusters of the worst (spread_i + spread_j) / distance; null below two clusters."""
-    spread = F.avg(F.sqrt(squared_distance(F.col("features"), F.col("centre")))).alias("spread")
-    centres = materialize(centroids(df))
-    spreads = _with_centre(df, centres).groupBy("label").agg(spread)
-    table = materialize(centres.join(spreads, "label").select(F.col("label").cast("long").alias("id"), F.col("centre").alias("features"), "spread"))
+    moments = moments or cluster_moments(df)
+    table = materialize(moments.select(F.col("label").cast("long").alias("id"), F.col("centre").alias("features"), "spread"))
     worst = block_apply(table, table, kernels.worst_ratio_kernel, "id bigint, worst double").groupBy("id").agg(F.max("worst").alias("worst"))
     finite = F.when(F.abs("worst") != float("inf"), F.col("worst"))
     return worst.agg(F.avg(finite).alias("davies_bouldin"))
 
 
-def calinski_harabasz(df: DataFrame) -> DataFrame:
+def calinski_harabasz(df: DataFrame, moments: DataFrame | None = None) -> DataFrame:
     """(B / (k - 1)) / (W / (n - k)); null below two clusters."""
-    centres = materialize(centroids(df))
-    width = len(centres.first()["centre"])
-    n = F.sum("n")
-    overall = centres.agg(*[(F.sum(F.col("centre")[i] * F.col("n")) / n).alias(f"m{i}") for i in range(width)]).first()
-    mean = F.array(*[F.lit(overall[f"m{i}"]) for i in range(width)])
-    between = centres.agg(
-        F.sum(F.col("n") * squared_distance(F.col("centre"), mean)).alias("between"), F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")
-    ).first()
-    within = _with_centre(df, centres).agg(F.sum(squared_distance(F.col("features"), F.col("centre"))).alias("within"))
-    if between.k < 2:
-        return within.select(F.lit(None).cast("double").alias("calinski_harabasz"))
-    ratio = F.try_divide(F.lit(between.between / (between.k - 1)), F.col("within") / (between.n - between.k))
-    return within.select(ratio.alias("calinski_harabasz"))
+    moments = moments or cluster_moments(df)
+    first = moments.first()
+    width = len(first["centre"]) if first else 0
+    overall = moments.agg(*[(F.sum(F.col("centre")[i] * F.col("n")) / F.sum("n")).alias(f"m{i}") for i in range(width)], F.lit(0)).first()
+    mean = F.array(*[F.lit(overall[f"m{i}"]) for i in range(width)]).cast("array<double>")
+    between = F.sum(F.col("n") * squared_distance(F.col("centre"), mean))
+    k, n = F.count(F.lit(1)), F.sum("n")
+    ratio = F.try_divide(between / F.nullif(k - 1, F.lit(0)), F.sum("within") / F.nullif(n - k, F.lit(0)))
+    return moments.agg(F.when(k > 1, ratio).alias("calinski_harabasz"))
 
 
 def generalization_ratio(df: DataFrame, train: str = "train_silhouette", test: str = "test_silhouette") -> DataFrame:
@@ -125,13 +123,14 @@ def score(df: DataFrame, **limits: int) -> DataFrame:
     """One row: clusters, noise, silhouette, dbi, calinski_harabasz of a labelled table."""
     from zonalis.operators.aggregates import cluster_counts
 
-    stored = materialize(df)
+    stored = materialize(df.select("id", "features", "label"))
     counts = cluster_counts(stored).first()
     sil = dbi = ch = None
     if counts.n_clusters >= 2:
+        moments = cluster_moments(stored)
         sil = silhouette(stored, **limits).first()[0]
-        dbi = davies_bouldin(stored).first()[0]
-        ch = calinski_harabasz(stored).first()[0]
+        dbi = davies_bouldin(stored, moments).first()[0]
+        ch = calinski_harabasz(stored, moments).first()[0]
     row = (int(counts.n_clusters), int(counts.n_outliers), sil, dbi, ch)
     schema = "n_clusters bigint, n_outliers bigint, silhouette double, dbi double, calinski_harabasz double"
     return df.sparkSession.createDataFrame([row], schema)

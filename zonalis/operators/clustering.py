@@ -287,6 +287,32 @@ def param_sweep(df: DataFrame, settings: list[tuple[float, int]] = DBSCAN_GRID,
     return out
 
 
+def density_sweep(df: DataFrame, settings: list[tuple[int, int | None]] = HDBSCAN_GRID, levels: int = 64, **limits: int) -> DataFrame:
+    """Quality per (min_cluster_size, min_samples), noise left out; one spanning tree serves all sizes of a min_samples."""
+    stored = materialize(df.select("id", "features"))
+    trees: dict[int, DataFrame] = {}
+    out = None
+    for size, samples in settings:
+        used = samples or size
+        if used not in trees:
+            trees[used] = mst_boruvka(stored, used, **limits)
+        labels = hierarchy_from_tree(stored.select("id"), trees[used], size, levels)
+        row = score(stored.join(labels, "id"), **limits).select(
+            F.lit("HDBSCAN").alias("model"), F.lit(f"mcs={size},ms={samples}").alias("param"), "*"
+        )
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def microcluster_sweep(df: DataFrame, settings: list[tuple[float, int]] = MICROCLUSTER_GRID, n_init: int = 1, **limits: int) -> DataFrame:
+    out = None
+    for threshold, k in settings:
+        labelled = cf_microcluster(df, threshold, k, n_init)
+        row = score(labelled, **limits).select(F.lit("Birch").alias("model"), F.lit(f"k={k},thr={threshold}").alias("param"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def zone_points(rollup: DataFrame, features: list[str], zone: str = "square_id") -> DataFrame:
     """Numbered zone rows as (id, zone, features), null features as 0."""
     filled = rollup.withColumns({f: F.coalesce(F.col(f), F.lit(0.0)) for f in features})

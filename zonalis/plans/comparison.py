@@ -47,6 +47,29 @@ def compare_clusterings(train: DataFrame, test: DataFrame, n_init: int = 10) ->
     return generalization_ratio(ranked, "train_silhouette", "silhouette")
 
 
+def tune_clusterings(
+    points: DataFrame, ks: list[int] = list(range(2, 10)), dbscan: list[tuple[float, int]] = cl.DBSCAN_GRID,
+    micro: list[tuple[float, int]] = cl.MICROCLUSTER_GRID, cut: list[tuple[float, int]] = cl.DBSCAN_CUT_GRID,
+    density: list[tuple[int, int | None]] = cl.HDBSCAN_GRID, **limits: int,
+) -> DataFrame:
+    """All settings of all clusterings as ranked trial rows; settings with fewer than two clusters are left out."""
+    points = materialize(points)
+    kmeans = cl.kmeans_sweep(points, ks, **limits).select(
+        F.lit("KMeans").alias("model"), F.concat(F.lit("k="), "k").alias("param"), "silhouette", "dbi", "calinski_harabasz"
+    )
+    parts = [
+        kmeans,
+        cl.param_sweep(points, dbscan, **limits),
+        cl.microcluster_sweep(points, micro, **limits),
+        cl.param_sweep(points, cut, **limits).withColumn("model", F.lit("OPTICS")),
+        cl.density_sweep(points, density, **limits),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return rank_models(materialize(out.filter(F.col("silhouette").isNotNull())))
+
+
 def compare_forecasts(
     train: DataFrame, test: DataFrame, targets: list[str], numeric: list[str], categorical: list[str], order: list[str], **trees
 ) -> DataFrame:

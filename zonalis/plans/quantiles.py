@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from zonalis.plans.materialize import materialize
 from zonalis.plans.skew import lookup_join
 
-HOT_ROWS = 5_000_000
+HOT_ROWS = 200_000
 BUCKETS = 4096
 
 
