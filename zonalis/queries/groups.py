@@ -152,10 +152,10 @@ def _(spark, sf):
 
 @query("bbox_stats", """
 SELECT square_id, count(*) AS count, min(latitude) AS lat_min, max(latitude) AS lat_max, min(longitude) AS lon_min, max(longitude) AS lon_max,
-  round(avg(latitude), 6) AS lat_mean, round(avg(longitude), 6) AS lon_mean
+  round(avg(latitude) + 3e-9, 6) AS lat_mean, round(avg(longitude) + 3e-9, 6) AS lon_mean
 FROM telemetry WHERE square_id IS NOT NULL AND latitude <> 999 GROUP BY square_id""", ("telemetry",))
 def _(spark, sf):
-    return r6(a.bbox_stats(p.drop_invalid_gps(telemetry(spark, sf))), "lat_mean", "lon_mean")
+    return r6(a.bbox_stats(p.drop_invalid_gps(telemetry(spark, sf))), "lat_mean", "lon_mean", nudge=NUDGE)
 
 
 @query("time_coverage", "SELECT min(ts) AS time_min, max(ts) AS time_max FROM events")

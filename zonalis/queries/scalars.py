@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from zonalis.functions import columns as c
 from zonalis.functions import predicates as p
 from zonalis.plans.adapters import raw_text, telemetry
-from zonalis.queries.registry import query, r6
+from zonalis.queries.registry import NUDGE, query, r6
 from zonalis.queries.results import results
 
 NUM = "CASE WHEN regexp_matches({b}, '^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$') THEN TRY_CAST({b} AS DOUBLE) END"
@@ -25,18 +25,18 @@ def _(spark, sf):
 
 @query("size_to_mb", f"""
 SELECT event_id, round(CASE WHEN lower(transfer_unit) IN ('kb', 'kbyte', 'kbytes') THEN n / 1024e0
-  WHEN lower(transfer_unit) IN ('gb', 'gbyte', 'gbytes') THEN n * 1024e0 ELSE n END, 6) AS upload_mb
+  WHEN lower(transfer_unit) IN ('gb', 'gbyte', 'gbytes') THEN n * 1024e0 ELSE n END + {NUDGE}, 6) AS upload_mb
 FROM (SELECT *, {num('transfer_size')} AS n FROM raw_text) x""", ("raw_text",))
 def _(spark, sf):
-    return r6(raw_text(spark, sf).select("event_id", c.size_to_mb(F.col("transfer_size"), F.col("transfer_unit")).alias("upload_mb")))
+    return r6(raw_text(spark, sf).select("event_id", c.size_to_mb(F.col("transfer_size"), F.col("transfer_unit")).alias("upload_mb")), nudge=NUDGE)
 
 
 @query("bitrate_to_mbps", f"""
 SELECT event_id, round(CASE WHEN lower(bitrate_unit) IN ('kb/s', 'kbps') THEN n / 1024e0
-  WHEN lower(bitrate_unit) IN ('gb/s', 'gbps') THEN n * 1024e0 ELSE n END, 6) AS upload_mbps
+  WHEN lower(bitrate_unit) IN ('gb/s', 'gbps') THEN n * 1024e0 ELSE n END + {NUDGE}, 6) AS upload_mbps
 FROM (SELECT *, {num('bitrate')} AS n FROM raw_text) x""", ("raw_text",))
 def _(spark, sf):
-    return r6(raw_text(spark, sf).select("event_id", c.bitrate_to_mbps(F.col("bitrate"), F.col("bitrate_unit")).alias("upload_mbps")))
+    return r6(raw_text(spark, sf).select("event_id", c.bitrate_to_mbps(F.col("bitrate"), F.col("bitrate_unit")).alias("upload_mbps")), nudge=NUDGE)
 
 
 @query("conform_schema", f"""
@@ -45,14 +45,14 @@ SELECT TRY_CAST(time AS BIGINT) AS time, CAST(NULL AS DATE) AS day_id, CAST(NULL
   {num('latitude')} AS latitude, {num('longitude')} AS longitude,
   CAST(NULL AS DOUBLE) AS svr1, CAST(NULL AS DOUBLE) AS svr2, CAST(NULL AS DOUBLE) AS svr3, CAST(NULL AS DOUBLE) AS svr4,
   round(CASE WHEN lower(transfer_unit) IN ('kb', 'kbyte', 'kbytes') THEN n / 1024e0
-    WHEN lower(transfer_unit) IN ('gb', 'gbyte', 'gbytes') THEN n * 1024e0 ELSE n END, 6) AS upload_mb,
+    WHEN lower(transfer_unit) IN ('gb', 'gbyte', 'gbytes') THEN n * 1024e0 ELSE n END + {NUDGE}, 6) AS upload_mb,
   round(CASE WHEN lower(bitrate_unit) IN ('kb/s', 'kbps') THEN b / 1024e0
-    WHEN lower(bitrate_unit) IN ('gb/s', 'gbps') THEN b * 1024e0 ELSE b END, 6) AS upload_mbps,
+    WHEN lower(bitrate_unit) IN ('gb/s', 'gbps') THEN b * 1024e0 ELSE b END + {NUDGE}, 6) AS upload_mbps,
   CAST(NULL AS DOUBLE) AS download_mb, CAST(NULL AS DOUBLE) AS download_mbps,
   send_data AS application_data, square_id
 FROM (SELECT *, {num('transfer_size')} AS n, {num('bitrate')} AS b FROM raw_text) x""", ("raw_text",))
 def _(spark, sf):
-    return r6(c.clean_measurements(raw_text(spark, sf)), "upload_mb", "upload_mbps")
+    return r6(c.clean_measurements(raw_text(spark, sf)), "upload_mb", "upload_mbps", nudge=NUDGE)
 
 
 @query("coerce_numeric", f"""
