@@ -17,14 +17,14 @@ def write(path, text):
 
 
 def test_csv_set_with_different_headers(spark, tmp_path):
-    write(tmp_path / "1-garbo.csv", "Year,Month,Date,svr1,Transfer size\n2024,1,5,1.5,\"1,024\"\n2024,x,6,2.5,3\n")
-    write(tmp_path / "2-garbo-b.csv", "svr1,Year,Month,Date,send_data\n7,2024,2,1.0,app\n")
-    write(tmp_path / "3-garbo-c.csv", "svr1,Year,Month,Date,send_data\n8,2024,2,2.0,app\n")
+    write(tmp_path / "1-probe.csv", "Year,Month,Date,svr1,Transfer size\n2024,1,5,1.5,\"1,024\"\n2024,x,6,2.5,3\n")
+    write(tmp_path / "2-probe-b.csv", "svr1,Year,Month,Date,send_data\n7,2024,2,1.0,app\n")
+    write(tmp_path / "3-probe-c.csv", "svr1,Year,Month,Date,send_data\n8,2024,2,2.0,app\n")
     write(tmp_path / "other.csv", "svr1\n9\n")
-    df = readers.read_csv_glob(spark, f"{tmp_path}/*-garbo*.csv")
+    df = readers.read_csv_glob(spark, f"{tmp_path}/*-probe*.csv")
     assert set(df.columns) == {"year", "month", "date", "svr1", "transfer_size", "send_data"}
     assert sorted(r.svr1 for r in df.collect()) == ["1.5", "2.5", "7", "8"]
-    days = preparation.ingest(spark, f"{tmp_path}/*-garbo*.csv")
+    days = preparation.ingest(spark, f"{tmp_path}/*-probe*.csv")
     assert sorted(r.day_id for r in days.collect()) == ["2024-01-05", "2024-02-01", "2024-02-02"]
     with pytest.raises(FileNotFoundError):
         readers.read_csv_glob(spark, f"{tmp_path}/none*.csv")
@@ -94,8 +94,8 @@ def test_files_to_features(spark, small, tmp_path):
         F.col("upload_mbps").alias("Bitrate"), F.lit("Mbits/sec").alias("bitrate_unit"), F.col("download_mbps").alias("Bitrate-RX"),
         F.lit("Mbits/sec").alias("bitrate_unit-RX"), "square_id",
     )
-    raw.repartition(3).write.option("header", True).csv(f"{tmp_path}/x-garbo.csv")
-    train, test = preparation.prepare(spark, f"{tmp_path}/x-garbo.csv", ["day_id", "hour", "min", "time"])
+    raw.repartition(3).write.option("header", True).csv(f"{tmp_path}/x-probe.csv")
+    train, test = preparation.prepare(spark, f"{tmp_path}/x-probe.csv", ["day_id", "hour", "min", "time"])
     good = df.filter(F.col("latitude") != 999).count()
     assert train.count() + test.count() == good
     for part in (train, test):

@@ -40,9 +40,9 @@ def _(spark, sf):
     df = raw_text(spark, sf).select(*RAW_COLUMNS)
     # two file groups with different headers, as raw exports have
     first = df.filter("event_id % 2 = 0").withColumnsRenamed({"transfer_size": "Transfer size", "square_id": "Square_ID"})
-    first.write.option("header", True).options(emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/a-garbo1.csv")
-    df.filter("event_id % 2 = 1").drop("send_data").write.option("header", True).options(emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/b-garbo2.csv")
-    return readers.read_csv_glob(spark, f"{folder}/*-garbo*.csv").select(*RAW_COLUMNS)
+    first.write.option("header", True).options(emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/a-probe1.csv")
+    df.filter("event_id % 2 = 1").drop("send_data").write.option("header", True).options(emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{folder}/b-probe2.csv")
+    return readers.read_csv_glob(spark, f"{folder}/*-probe*.csv").select(*RAW_COLUMNS)
 
 
 @query("read_first_existing", "SELECT event_id, value FROM events")
