@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import quality_rules
+from zonalis.llm import near_duplicates, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -34,3 +34,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "fail_bits"
     )
+
+
+@register("op7_near_duplicates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates over four-word shingles at similarity 0.8."""
+    classes = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+    return classes.withColumn("kept", F.col("doc_id") == F.col("component_id"))
