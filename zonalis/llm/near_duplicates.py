@@ -12,8 +12,8 @@ Equal sets are folded first. A bucket (key) is worked off without listing its pa
 1. every member is compared with one member of the bucket (the star), one row per member; links merge components;
 2. that is repeated with other stars while it still merges much;
 3. what is left are buckets with members of different components. They are cut into blocks of bounded size, and each
-   pair of blocks is compared as arrays in one task, which returns only the pairs that are within the distance and not
-   yet in one component.
+   pair of blocks is compared as arrays in one task, which returns only the pairs that are not yet in one component,
+   within the distance, and not ruled out by a longer signature.
 
 Each candidate pair is confirmed on the full sets. Null and empty texts have an empty set and are linked with nothing.
 """
@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +39,8 @@ DISTANCE = 23
 CHUNKS = 12
 CHUNK_ERRORS = 1
 BLOCK_ROWS = 1000
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+LONG_SYMBOLS = 1024
 
 assert CHUNKS * (CHUNK_ERRORS + 1) > DISTANCE and SYMBOLS % CHUNKS == 0
 
@@ -136,6 +136,41 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return data.reshape(len(column), SYMBOLS)
 
 
+def full_sets(docs: DataFrame, used: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
+    """(id, items): the sorted shingle hashes of the documents named in the stored table ``used``."""
+
+    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text"):
+            values, n = shingle_sets(piece.column(1), words)
+            yield pa.RecordBatch.from_arrays([piece.column(0), binary_rows(values.view(np.uint8), 8 * n)], names=["id", "items"])
+
+    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    wanted = texts.join(F.broadcast(used) if fits_broadcast(used, 8 << 20) else used, "id", "left_semi")
+    return wanted.mapInArrow(as_sets, "id long, items binary").dropDuplicates(["id"])
+
+
+def long_signatures(sets: DataFrame) -> DataFrame:
+    """(id, long_sig): ``LONG_SYMBOLS`` MinHash values of one byte each."""
+    seeds = mix(np.arange(1, 2 * LONG_SYMBOLS + 1, dtype=np.uint64) + np.uint64(1 << 40))
+    factors = (seeds[:LONG_SYMBOLS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    addends = (seeds[LONG_SYMBOLS:] >> np.uint64(32)).astype(np.uint32)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = np.zeros((batch.num_rows, LONG_SYMBOLS), np.uint8)
+            for row in range(batch.num_rows):
+                small = (np.frombuffer(batch.column(1)[row].as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)
+                for at in range(0, LONG_SYMBOLS, 64):  # bounded work space for long texts
+                    least = np.full(64, 0xFFFFFFFF, np.uint32)
+                    for part in range(0, len(small), 4096):
+                        some = small[part : part + 4096, None] * factors[at : at + 64] + addends[at : at + 64]
+                        np.minimum(least, some.min(0), out=least)
+                    out[row, at : at + 64] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
+            yield pa.RecordBatch.from_arrays([batch.column(0), binary_rows(out.ravel(), np.full(batch.num_rows, LONG_SYMBOLS))], names=["id", "long_sig"])
+
+    return sets.mapInArrow(task, "id long, long_sig binary")
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: int, doc_id: str, text: str) -> DataFrame:
     """The (a, b) of ``pairs`` that are within the signature distance and whose full sets reach the similarity."""
     sizes = nodes.select("id", "n_shingles", "sig")
@@ -155,15 +190,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, s
 
     # Only texts that occur in a pair are read into sets. Each set travels once per pair for b, once per document for a.
     used = materialize(close.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    wanted = texts.join(F.broadcast(used) if fits_broadcast(used, 8 << 20) else used, "id", "left_semi")
-
-    def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in slices(batches, "text"):
-            values, n = shingle_sets(piece.column(1), words)
-            yield pa.RecordBatch.from_arrays([piece.column(0), binary_rows(values.view(np.uint8), 8 * n)], names=["id", "items"])
-
-    sets = materialize(wanted.mapInArrow(as_sets, "id long, items binary").dropDuplicates(["id"]))
+    sets = materialize(full_sets(docs, used, words, doc_id, text))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,40 +209,67 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, s
     return materialize(filled.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long"))
 
 
-def _block_pairs(live: DataFrame, block_rows: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components within the distance, compared block by block.
+def _block_pairs(live: DataFrame, block_rows: int, similarity: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that both signatures allow, compared block by block.
 
-    ``live``: key, id, component, sig. A bucket of n members gets ceil(n / block_rows) blocks; a block travels once per
-    block that it meets, so no task holds more than two blocks, and only hits leave it.
+    ``live``: key, id, component, sig, long_sig. A bucket of n members gets ceil(n / block_rows) blocks; a block travels
+    once per block that it meets, so no task holds more than two blocks, and only hits leave it. The long signature is
+    allowed six standard deviations more differing symbols than the wanted similarity makes on average.
     """
+    share = 1 - similarity / 100
+    most = LONG_SYMBOLS * share + 6 * (LONG_SYMBOLS * share * (1 - share)) ** 0.5
     counts = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
     blocks = F.ceil(F.col("members") / F.lit(block_rows)).cast("int")
     placed = live.join(counts, "key").withColumn("n", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "component", "sig"
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "component", "sig", "long_sig"
     )
 
-    def task(group: pd.DataFrame) -> pd.DataFrame:
-        low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
-        left = group[group["block"] == low]
-        right = left if low == high else group[group["block"] == high]
+    def compare(ids, comp, side, sig, long_sig, apart) -> list[np.ndarray]:
+        names, sizes = np.unique(comp, return_counts=True)
+        largest = names[sizes.argmax()]  # its members need no comparison with each other
+        found = []
+        for row in np.flatnonzero(comp != largest):
+            at = np.flatnonzero((comp != comp[row]) & ((comp == largest) | (ids > ids[row])) & ((side != side[row]) if apart else True))
+            at = at[np.count_nonzero(sig[at] != sig[row], axis=1) <= DISTANCE]
+            at = at[np.count_nonzero(long_sig[at] != long_sig[row], axis=1) <= most]
+            if len(at):
+                found.append(np.stack([np.minimum(ids[row], ids[at]), np.maximum(ids[row], ids[at])], 1))
+        return found
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows arrive sorted by (key, low, high); a group is compared when its last row has come.
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rest, done = _split_last(batch if rest is None else pa.concat_batches([rest, batch]))
+            yield from _compared(done)
+        yield from _compared(rest)
+
+    def _compared(batch: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
+        if batch is None or not batch.num_rows:
+            return
+        key, low, high, side, ids, comp = (np.asarray(batch.column(c)) for c in range(6))
+        sig = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        long_sig = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(-1, LONG_SYMBOLS)
+        new = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
         found = [np.zeros((0, 2), np.int64)]
-        if len(left) and len(right):
-            ids, other = left["id"].to_numpy(), right["id"].to_numpy()
-            comp, other_comp = left["component"].to_numpy(), right["component"].to_numpy()
-            a = np.frombuffer(b"".join(left["sig"]), np.uint16).reshape(-1, SYMBOLS)
-            b = np.frombuffer(b"".join(right["sig"]), np.uint16).reshape(-1, SYMBOLS)
-            for row in range(len(a)):
-                hit = (np.count_nonzero(b != a[row], axis=1) <= DISTANCE) & (other_comp != comp[row])
-                if low == high:
-                    hit &= other > ids[row]
-                at = np.flatnonzero(hit)
-                if len(at):
-                    found.append(np.stack([np.minimum(ids[row], other[at]), np.maximum(ids[row], other[at])], 1))
-        pairs = np.concatenate(found)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return met.groupBy("key", "low", "high").applyInPandas(task, "a long, b long").distinct()
+        for x, y in zip([0, *new], [*new, len(key)], strict=True):
+            found += compare(ids[x:y], comp[x:y], side[x:y], sig[x:y], long_sig[x:y], low[x] != high[x])
+        pairs = np.unique(np.concatenate(found), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    def _split_last(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+        last = np.ones(batch.num_rows, bool)
+        for c in range(3):
+            column = np.asarray(batch.column(c))
+            last &= column == column[-1]
+        cut = int(np.flatnonzero(last)[0]) if batch.num_rows else 0
+        return batch.slice(cut), batch.slice(0, cut)
+
+    order = ["key", "low", "high"]
+    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(task, "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -257,8 +311,10 @@ def near_duplicates(
     if links is not None or tried is not None:
         live = live.select("key", "id").join(labels, "id")
         mixed = live.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        rest = live.join(mixed.select("key"), "key", "left_semi").join(nodes.select("id", "sig"), "id")
-        pairs = materialize(_block_pairs(rest, block_rows).join(tried, ["a", "b"], "left_anti"))
+        rest = materialize(live.join(mixed.select("key"), "key", "left_semi"))
+        sets = full_sets(docs, materialize(rest.select("id").distinct()), words, doc_id, text)
+        profile = materialize(long_signatures(sets).join(nodes.select("id", "sig"), "id"))
+        pairs = materialize(_block_pairs(rest.join(profile, "id"), block_rows, similarity).join(tried, ["a", "b"], "left_anti"))
         found = confirmed(pairs, nodes, docs, words, similarity, doc_id, text)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
