@@ -1,4 +1,8 @@
-"""Preparation of a training corpus: stages over ``documents``, each reading what the stage before it has kept."""
+"""Preparation of a training corpus: stages over ``documents``, each reading what the stage before it has kept.
+
+Nulls and clashing columns: a null or empty text fails the quality rules and goes; extra columns are carried through every
+stage but the last and never read. Repeated rows are exact copies, of which the near-duplicate stage keeps one.
+"""
 
 from __future__ import annotations
 
@@ -12,19 +16,57 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from zonalis.llm import quality_rules  # noqa: E402
+from zonalis.llm import decontaminate, mixing, near_duplicates, quality_rules, records  # noqa: E402
+from zonalis.llm.queries import tokenizer_file  # noqa: E402
 from zonalis.session import shared_dir  # noqa: E402
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The columns that operators read, and the whole row beside them, so that no new column can clash with an old one."""
+    return docs.select(F.struct(*docs.columns).alias("__row"), "doc_id", "text", "source")
+
+
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the current policy keeps."""
-    return quality_rules.apply_policy(quality_rules.ledger(docs)).filter("kept").select(docs.columns)
+    return quality_rules.apply_policy(quality_rules.ledger(packed(docs))).filter("kept").select("__row.*")
+
+
+def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every class of near duplicates (five-word shingles, similarity 0.8)."""
+    classes = near_duplicates.near_duplicates(docs)
+    kept = classes.filter("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    report, _ = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    dirty = report.filter("contaminated").select("doc_id")
+    return docs.join(dirty, "doc_id", "left_anti").select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; copies of a document are rows of the same id."""
+    mixed = mixing.mix(packed(docs))
+    taken = mixed.filter("repeats > 0").select("__row", F.explode(F.array_repeat(F.lit(1), F.col("repeats").cast("int"))))
+    return taken.select("__row.*")
+
+
+def records_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Binary records of token ids; one row per record as read back."""
+    index = records.tokenize_to_records(docs, tokenizer_file())
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", rules_stage),
+    ("MinHash near-dedup", near_duplicates_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("token-ID / binary output", records_stage),
 ]
 
+#: SQL has no byte-level BPE, so the rows of run() are tested against a plain version instead.
 ORACLE_SQL = None
 
 

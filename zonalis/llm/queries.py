@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonalis.llm import near_duplicates, quality_rules
+from zonalis.llm import (
+    compression_quality,
+    context_mixing,
+    decontaminate,
+    mixing,
+    near_duplicates,
+    quality_rules,
+    quotation,
+    records,
+    repeated_spans,
+    sharding,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -27,6 +38,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def remainder(doc_id: str = "doc_id") -> Column:
+    """crc32 of the id as text, modulo 5: the fold of a document."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5, F.lit(-1))
+
+
 @register("op10_quality_rules", quality_rules.CHECK_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger of all documents under the current policy."""
@@ -41,3 +63,70 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near duplicates over four-word shingles at similarity 0.8."""
     classes = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=4)
     return classes.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+@register("op3_decontaminate", decontaminate.CHECK_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents inside occurrences of 13-word benchmark windows."""
+    report, _ = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return report.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@register("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mix takes each document."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+@register("op6_binary_records")
+def op6(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Ids of all documents, written as records and read back."""
+    index = records.tokenize_to_records(table(spark, sf_dir, "documents"), tokenizer or tokenizer_file())
+    return index.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@register("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen shards of near-equal bytes."""
+    placed = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@register("op1_context_mixing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents; documents of fold 1 are not learnt from."""
+    scored = context_mixing.score_texts(table(spark, sf_dir, "documents"), remainder() != 1)
+    return scored.select(
+        "doc_id", (remainder() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"
+    )
+
+
+@register("op2_repeated_spans")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of repeated 200-byte strings."""
+    cleaned = repeated_spans.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register("op5_compression_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; labels of fold 0 are not learnt from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(remainder() != 0).select("doc_id", "quality")
+    scorer = compression_quality.fit(docs.join(labels, "doc_id"), "quality")
+    scored = compression_quality.score(docs, scorer)
+    return scored.select(
+        "doc_id", (remainder() == 0).alias("held_out"), "score", (F.col("score") >= compression_quality.CUT).cast("int").alias("predicted"),
+        "n_bytes", "good_size", "bad_size",
+    )
+
+
+@register("op9_quotation", quotation.CHECK_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages in reply order without their quotes."""
+    return quotation.conversations(table(spark, sf_dir, "conversations"))
