@@ -100,7 +100,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op1_context_mixing")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log probabilities of all documents; documents of fold 1 are not learnt from."""
-    scored = context_mixing.score_texts(table(spark, sf_dir, "documents"), remainder() != 1)
+    scored = context_mixing.score_texts(table(spark, sf_dir, "documents"), remainder() != 1, kind="lang")
     return scored.select(
         "doc_id", (remainder() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"
     )
