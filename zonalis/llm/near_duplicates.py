@@ -10,7 +10,7 @@ pairs within the distance are therefore met. At similarity 0.8 a symbol differs
 Equal sets are folded first. A bucket (key) is worked off without listing its pairs:
 
 1. every member is compared with one member of the bucket (the star), one row per member; links merge components;
-2. that is repeated with other stars while it still merges much;
+2. that is repeated with other stars, ``STAR_ROUNDS`` times in all;
 3. what is left are buckets with members of different components. They are cut into blocks of bounded size, and each
    pair of blocks is compared as arrays in one task, which returns only the pairs that are not yet in one component,
    within the distance, and not ruled out by a longer signature.
@@ -39,7 +39,7 @@ DISTANCE = 23
 CHUNKS = 12
 CHUNK_ERRORS = 1
 BLOCK_ROWS = 1000
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 LONG_SYMBOLS = 1024
 
 assert CHUNKS * (CHUNK_ERRORS + 1) > DISTANCE and SYMBOLS % CHUNKS == 0
@@ -243,8 +243,10 @@ def _block_pairs(live: DataFrame, block_rows: int, similarity: int) -> DataFrame
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rest, done = _split_last(batch if rest is None else pa.concat_batches([rest, batch]))
-            yield from _compared(done)
+            for at in range(0, batch.num_rows, block_rows):  # small steps: rows are about a kilobyte
+                part = batch.slice(at, block_rows)
+                rest, done = _split_last(part if rest is None else pa.concat_batches([rest, part]))
+                yield from _compared(done)
         yield from _compared(rest)
 
     def _compared(batch: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -75,8 +75,6 @@ def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that the texts of each piece take about ``limit`` bytes; a longer text stands alone."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
         lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), np.int64)
         ends = np.cumsum(lengths)
         row = 0
@@ -85,6 +83,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = S
             to = max(row + 1, int(np.searchsorted(ends, before + limit, "right")))
             yield batch.slice(row, to - row)
             row = to
+    pa.default_memory_pool().release_unused()  # workers are reused: give back what the next task may not need
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
