@@ -15,7 +15,7 @@ commit protocol; a lost task is written again and leaves nothing behind. The ind
 tokens) is read off the finished shards, which also checks every length and checksum.
 
 Null texts are encoded as empty texts: their record holds the end id alone. Repeated document ids stay separate records,
-ordered by text. Rows with a null id are refused: a record needs one.
+ordered by text. Rows without an id come first, are stored under ``NO_ID`` and read back as null.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from zonalis.llm.textblock import flat, mix, prefix_hashes, ragged, slices, span
 from zonalis.session import shared_dir
 
 END_ID = 2
+NO_ID = -(1 << 63)
 CACHE_CHUNKS = 400_000
 SHARD_BYTES = 24 << 20  # text bytes per shard, about
 
@@ -149,10 +150,8 @@ def write_records(
     docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES,
 ) -> None:
     """Write ``docs`` in ascending id order as record shards under ``path``."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    total, without = rows.agg(F.sum(F.octet_length("text")), F.sum(F.col("id").isNull().cast("int"))).first()
-    if without:
-        raise ValueError(f"{without} rows have no document id")
+    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_file)
@@ -208,4 +207,5 @@ def tokenize_to_records(docs: DataFrame, tokenizer_file: str, path: str | None =
     before = F.coalesce(F.sum("n").over(Window.orderBy(F.length("shard"), "shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = sums.select("shard", before.alias("before"))
     out = index.join(F.broadcast(starts), "shard").withColumn("start", F.col("before") + F.col("place"))
-    return out.withColumnRenamed("doc_id", doc_id).select(doc_id, "start", "n_tokens", "ids_crc32", "shard", "offset", "length")
+    named = F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias(doc_id)
+    return out.select(named, "start", "n_tokens", "ids_crc32", "shard", "offset", "length")
