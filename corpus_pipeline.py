@@ -35,7 +35,8 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """The document with the smallest id of every class of near duplicates (five-word shingles, similarity 0.8)."""
     classes = near_duplicates.near_duplicates(docs)
     kept = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    return named.unionByName(docs.filter("doc_id IS NULL"))  # without an id there is nothing to decide on
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -280,8 +280,9 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document id: (doc_id, n_shingles, component_id); component_id is the smallest id reachable by links.
 
-    Null ids are left out (they name no document); rows with the same id count as one document each and share its class.
+    Rows with a null id have a null class: they cannot be named. Rows with the same id share its class.
     """
+    nameless = signatures(docs.filter(F.col(doc_id).isNull()), words, doc_id, text)
     docs = docs.filter(F.col(doc_id).isNotNull())
     signed = materialize(signatures(docs, words, doc_id, text))
     filled = signed.filter("n_shingles > 0")
@@ -324,4 +325,5 @@ def near_duplicates(
     classes = folded.join(labels, "id").select("s1", "s2", "n_shingles", "component")
     out = signed.join(classes, ["s1", "s2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias(doc_id), "n_shingles", component.alias("component_id"))
+    rows = out.select(F.col("id").alias(doc_id), "n_shingles", component.alias("component_id"))
+    return rows.unionByName(nameless.select(F.col("id").alias(doc_id), "n_shingles", F.lit(None).cast("long").alias("component_id")))
