@@ -60,9 +60,11 @@ def test_season_is_continued(spark):
     assert [r.forecast for r in out] == pytest.approx([shape[i % 24] + 0.01 * (480 + i) for i in range(24)], abs=0.6)
 
 
-def test_short_series_give_no_forecast(spark):
+def test_short_series_have_null_forecasts(spark):
     df = spark.createDataFrame(series(spark, range(6)) + series(spark, [1, 2, 4, 3, 5, 6, 8, 7, 9, 11, 10, 12, 14, 13], "b"), SCHEMA)
-    assert {r.key for r in fc.arma_forecast(df, ["key"], ["at"], "y", (1, 0, 0), 3).collect()} == {"b"}
+    got = fc.arma_forecast(df, ["key"], ["at"], "y", (1, 0, 0), 3).collect()
+    assert sorted((r.key, r.step) for r in got) == [(k, s) for k in "ab" for s in (1, 2, 3)]
+    assert all((r.forecast is None) == (r.key == "a") for r in got)
 
 
 def test_difference_weights():

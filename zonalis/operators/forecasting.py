@@ -133,7 +133,10 @@ def fit_series(
 
 
 def forecast_series(fit: SeriesFit, steps: int, minimum: int = 10) -> DataFrame:
-    """(keys, step, forecast) for series with at least ``minimum`` rows; only the last few rows of a series are gathered."""
+    """(keys, step, forecast) for every series; only the last few rows of a series are gathered.
+
+    A series with fewer than ``minimum`` rows, or one whose equations have no solution, has rows with a null forecast.
+    """
     depth = max([*fit.ar, *fit.ma, *fit.weights, 1])
     row = F.struct("w", F.coalesce("residual", F.lit(0.0)).alias("e"), F.col(fit.target).alias("y"))
     newest = _last_rows(fit, row, depth)
@@ -152,7 +155,10 @@ def forecast_series(fit: SeriesFit, steps: int, minimum: int = 10) -> DataFrame:
     def roll(batches):
         return kernels.roll_forward(batches, keys, ar, ma, weights, steps)
 
-    return ready.mapInPandas(roll, schema)
+    known = materialize(ready.mapInPandas(roll, schema))
+    unknown = counts.select(*keys).join(known.select(*keys).distinct(), keys, "left_anti")
+    step = F.explode(F.sequence(F.lit(1), F.lit(steps))) if steps > 0 else F.explode(F.array().cast("array<int>"))
+    return known.unionByName(unknown.select(*keys, step.alias("step"), F.lit(None).cast("double").alias("forecast")))
 
 
 def arma_forecast(

@@ -47,10 +47,10 @@ def sample_n(df: DataFrame, n: int, row_id: str, seed: int = 42) -> DataFrame:
 
 
 def head_sequential(df: DataFrame, n: int, order: list[str], width: int | None = None) -> DataFrame:
-    """First ``n`` rows in order; a long head is cut by row position instead of meeting in one task."""
+    """First ``n`` rows, sorted; a long head is cut by row position instead of meeting in one task."""
     if n <= DRIVER_LIMIT:
         return df.orderBy(*order).limit(n)
-    return Slices(df, [], order, width).numbered("__at").filter(F.col("__at") <= n).drop("__at")
+    return Slices(df, [], order, width).numbered("__at").filter(F.col("__at") <= n).orderBy("__at").drop("__at")
 
 
 def test_days(df: DataFrame, day: str, fraction: float = 0.2) -> list:

@@ -71,14 +71,18 @@ def tune_clusterings(
 
 
 def compare_forecasts(
-    train: DataFrame, test: DataFrame, targets: list[str], numeric: list[str], categorical: list[str], order: list[str], **trees
+    train: DataFrame, test: DataFrame, targets: list[str], numeric: list[str], categorical: list[str], order: list[str],
+    horizon: int | None = None, **trees
 ) -> DataFrame:
-    """Metric rows (target, model, mae, mse, rmse, r2) of boosted trees and of the series model per target."""
+    """Metric rows (target, model, mae, mse, rmse, r2) of boosted trees and of the series model per target.
+
+    The series model forecasts as many steps as the test has rows, or ``horizon`` when given.
+    """
+    steps = test.count() if horizon is None else horizon
     out = None
     for target in targets:
         predicted, _, _ = gbt_forecast(train, test, target, [n for n in numeric if n != target], categorical, **trees)
         rows = [("XGBoost", regression_metrics(predicted, [], target, "prediction"))]
-        steps = min(100, test.count())
         ahead = arma_forecast(train, [], order, target, steps=steps)
         actual = Slices(test.select(*order, target), [], order).numbered("step").filter(F.col("step") <= steps)
         rows.append(("ARIMA", regression_metrics(actual.join(ahead, "step"), [], target, "forecast").withColumn("r2", F.lit(None).cast("double"))))

@@ -3,7 +3,8 @@
 Ordinary groups use the built-in ``percentile``. It keeps every distinct value of a group in one buffer, so groups
 above ``HOT_ROWS`` are solved by narrowing: each round counts values in equal-width buckets between the current bounds
 (a map-side-combined count, no value is shuffled), keeps the bucket that holds the wanted rank, and takes that
-bucket's own minimum and maximum as the next bounds until both are equal.
+bucket's own minimum and maximum as the next bounds until both are equal. Infinities and NaN are no bucket's business:
+they are counted, -inf ranks below and inf, then NaN above all finite values, as in the built-in function.
 """
 
 from __future__ import annotations
@@ -48,15 +49,25 @@ def _narrowing(df: DataFrame, keys: list[str], columns: list[str], probabilities
     entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])
     values = df.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.name", "e.v").filter(F.col("v").isNotNull())
     group = [*keys, "name"]
-    bounds = values.groupBy(*group).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    v = F.col("v")
+    finite = ~F.isnan("v") & (v > F.lit(float("-inf"))) & (v < F.lit(float("inf")))
+    bounds = values.groupBy(*group).agg(
+        F.count("v").alias("n"), F.count(F.when(v == F.lit(float("-inf")), 1)).alias("lowest"), F.count(F.when(F.isnan("v"), 1)).alias("nans"),
+        F.count(F.when(finite, 1)).alias("finite"), F.min(F.when(finite, v)).alias("lo"), F.max(F.when(finite, v)).alias("hi"),
+    )
     wanted = F.array(
         *[F.struct(F.lit(float(q)).alias("q"), F.lit(upper).alias("upper")) for q in probabilities for upper in (False, True)]
     )
     place = F.col("w.q") * (F.col("n") - 1)
+    rank = F.when(F.col("w.upper"), F.ceil(place)).otherwise(F.floor(place)).cast("long")
+    special = (
+        F.when(rank < F.col("lowest"), F.lit(float("-inf")))
+        .when(rank >= F.col("n") - F.col("nans"), F.lit(float("nan")))
+        .when(rank >= F.col("lowest") + F.col("finite"), F.lit(float("inf")))
+    )
     state = bounds.withColumn("w", F.explode(wanted)).select(
-        *group, F.col("w.q").alias("q"), F.col("w.upper").alias("upper"), place.alias("place"),
-        F.when(F.col("w.upper"), F.ceil(place)).otherwise(F.floor(place)).cast("long").alias("rank"),
-        F.lit(0).cast("long").alias("below"), "lo", "hi",
+        *group, F.col("w.q").alias("q"), F.col("w.upper").alias("upper"), place.alias("place"), rank.alias("rank"),
+        F.col("lowest").alias("below"), F.coalesce(special, "lo").alias("lo"), F.coalesce(special, "hi").alias("hi"),
     )
     state = materialize(state)
     found = state.filter(F.col("lo") == F.col("hi"))
@@ -74,7 +85,8 @@ def _narrowing(df: DataFrame, keys: list[str], columns: list[str], probabilities
         F.max(F.when(~F.col("upper"), F.col("lo"))).alias("a"),
         F.max(F.when(F.col("upper"), F.col("lo"))).alias("b"),
     )
-    value = F.col("a") + (F.col("b") - F.col("a")) * (F.col("place") - F.floor("place"))
+    part = F.col("place") - F.floor("place")
+    value = F.when((part == 0) | (F.col("a") == F.col("b")), F.col("a")).otherwise(F.col("a") * (1 - part) + F.col("b") * part)
     pick = [
         F.max(F.when((F.col("name") == c) & (F.col("q") == float(q)), value)).alias(column_name(c, q))
         for c in columns for q in probabilities
@@ -89,7 +101,7 @@ def _narrow_once(values: DataFrame, state: DataFrame, group: list[str]) -> DataF
     inside = lookup_join(values, packed, group).withColumn("s", F.explode("open")).filter(
         (F.col("v") >= F.col("s.lo")) & (F.col("v") <= F.col("s.hi"))
     )
-    share = (F.col("v") - F.col("s.lo")) / (F.col("s.hi") - F.col("s.lo"))
+    share = (F.col("v") / 2 - F.col("s.lo") / 2) / (F.col("s.hi") / 2 - F.col("s.lo") / 2)  # halves: no span overflows
     bucket = F.least(F.floor(share * BUCKETS).cast("long"), F.lit(BUCKETS - 1))
     counted = inside.groupBy(*group, "s", bucket.alias("bucket")).agg(
         F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
