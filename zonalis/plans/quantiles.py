@@ -31,17 +31,23 @@ def exact_percentiles(
     ``total`` is the number of rows when the caller knows it; a table below ``hot_rows`` cannot have a hot group.
     """
     narrow = df.select(*keys, *columns)
-    builtin = [F.percentile(F.col(c), q).alias(column_name(c, q)) for c in columns for q in probabilities]
+
+    def builtin(part: DataFrame) -> DataFrame:
+        # One aggregate per column: all its percentiles share one buffer of values.
+        wanted = [float(q) for q in probabilities]
+        found = part.groupBy(*keys).agg(*[F.percentile(F.col(c), wanted).alias(f"__p_{c}") for c in columns])
+        return found.select(*keys, *[F.get(f"__p_{c}", F.lit(i)).alias(column_name(c, q)) for c in columns for i, q in enumerate(probabilities)])
+
     if (narrow.count() if total is None else total) <= hot_rows:
-        return narrow.groupBy(*keys).agg(*builtin)
+        return builtin(narrow)
     if not keys:
         return _narrowing(narrow.withColumn("__all", F.lit(0)), ["__all"], columns, probabilities).drop("__all")
     sizes = narrow.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
     hot = materialize(sizes.select(*keys, F.lit(True).alias("__hot")))
     if hot.isEmpty():
-        return narrow.groupBy(*keys).agg(*builtin)
+        return builtin(narrow)
     marked = lookup_join(narrow, hot, keys, stored=True)
-    ordinary = marked.filter(F.col("__hot").isNull()).groupBy(*keys).agg(*builtin)
+    ordinary = builtin(marked.filter(F.col("__hot").isNull()))
     return ordinary.unionByName(_narrowing(marked.filter("__hot").drop("__hot"), keys, columns, probabilities))
 
 

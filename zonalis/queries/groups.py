@@ -252,9 +252,9 @@ def _(spark, sf):
     return sets.union_by_name(known.select("event_id", "svr1", "square_id"), unknown.select("event_id", "svr2"))
 
 
-@query("drop_exact_duplicates", "SELECT DISTINCT day_id, hour, square_id FROM telemetry", ("telemetry",))
+@query("drop_exact_duplicates", "SELECT DISTINCT text, lang, source, n_chars FROM documents")
 def _(spark, sf):
-    return sets.drop_exact_duplicates(telemetry(spark, sf).select("day_id", "hour", "square_id"))
+    return sets.drop_exact_duplicates(spark.read.parquet(f"{sf}/documents.parquet").drop("doc_id"))
 
 
 @query("duplicate_report", """

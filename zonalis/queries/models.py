@@ -157,7 +157,7 @@ def _(spark, sf):
 @query("arma_forecast_by_zone")
 def _(spark, sf):
     df = telemetry(spark, sf).filter(F.col("square_id").isNotNull()).select("square_id", "event_id", "ts", "svr1")
-    return fc.arma_forecast(df, ["square_id"], ["ts", "event_id"], "svr1", pdq=(2, 0, 0), steps=5)
+    return fc.arma_forecast(df, ["square_id"], ["ts", "event_id"], "svr1")
 
 
 @query("ar_coefficients", """
@@ -192,7 +192,7 @@ def _(spark, sf):
 @query("window_regressor")
 def _(spark, sf):
     train, test = splits(spark, sf)
-    return fc.window_regressor(train, test, [], ["ts", "event_id"], ["svr1", "upload_mbps", "hour"], ["svr1", "upload_mbps"], lookback=5)
+    return fc.window_regressor(train, test, [], ["ts", "event_id"], ["svr1", "upload_mbps", "download_mbps", "hour"], ["svr1", "upload_mbps", "download_mbps"], lookback=5)
 
 
 @query("hyperparam_pick")

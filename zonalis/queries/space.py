@@ -196,7 +196,7 @@ def _(spark, sf):
 
 @query("select_rf_importance")
 def _(spark, sf):
-    return e.select_rf_importance(telemetry(spark, sf), CANDIDATES, "svr3", 3, trees=20)
+    return e.select_rf_importance(telemetry(spark, sf), CANDIDATES, "svr3", 3, trees=100)
 
 
 @query("pca_2d")
@@ -293,7 +293,7 @@ def _(spark, sf):
 
 @query("kmeans_sweep")
 def _(spark, sf):
-    return cl.kmeans_sweep(zone_tables(spark, sf)[0], [2, 3, 4])
+    return cl.kmeans_sweep(zone_tables(spark, sf)[0], list(range(2, 10)))
 
 
 @query("dbscan")
