@@ -320,12 +320,12 @@ def test_suffix_sort_orders_and_finds_extensions():
 def test_compression_tells_good_from_bad(spark, docs, empty):
     made = [(1000 + n, prose(n, 150) if n % 3 else ("buy!! now** " * 30 + prose(n, 20).upper() + "!!"), int(n % 3 > 0)) for n in range(240)]
     table = spark.createDataFrame(made, "doc_id long, text string, quality int")
-    scorer = compression_quality.fit(table.filter("doc_id < 1180"), "quality")
+    scorer = compression_quality.fit(table, table.filter("doc_id < 1180").select("doc_id", "quality"), "quality")
     held = compression_quality.score(table.filter("doc_id >= 1180"), scorer).join(table.select("doc_id", "quality"), "doc_id").collect()
     assert np.mean([(r["score"] >= 0.5) == (r["quality"] == 1) for r in held]) > 0.9
     everything = compression_quality.score(docs, scorer).collect()
     assert len(everything) == docs.count() and all(0 <= r["score"] <= 1 for r in everything)
-    blank = compression_quality.fit(table.limit(0), "quality")
+    blank = compression_quality.fit(table, table.select("doc_id", "quality").limit(0), "quality")
     assert {r["score"] for r in compression_quality.score(docs, blank).collect()} == {0.5}
     assert compression_quality.score(empty, scorer).count() == 0
 

@@ -85,16 +85,19 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def fit(labelled: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Scorer:
-    """A scorer from labelled rows (label 0 or 1)."""
-    known = labelled.filter(F.col(label).isin(0, 1) & (F.length(F.coalesce(F.col(text), F.lit(""))) > 0))
-    shares = {int(r[0]): int(r[1]) for r in known.groupBy(label).count().collect()}
+def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Scorer:
+    """A scorer from the labels (0 or 1) of some documents. The sample is drawn from the labels; texts are not shuffled."""
     order = F.xxhash64(F.lit(SEED), F.col(doc_id))
-    place = F.lit(1) + F.pmod(F.xxhash64(F.lit(SEED + 1), F.col(doc_id)), F.greatest(F.length(text) - PIECE + 1, F.lit(1))).cast("int")
-    samples = {}
-    for value in (0, 1):
-        part = known.filter(F.col(label) == value).select(order.alias("o"), F.substr(F.col(text), place, F.lit(PIECE)).alias("t"))
-        samples[value] = [r[1].encode() for r in part.orderBy("o", "t").limit(2 * rows).collect()]
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).alias("y"), order.alias("o"))
+    shares = {int(r[0]): int(r[1]) for r in known.groupBy("y").count().collect()}
+    drawn = [known.filter(F.col("y") == v).orderBy("o", "id").limit(2 * rows) for v in (0, 1)]
+    chosen = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 4 * rows short rows
+    body = F.col(text)
+    place = F.lit(1) + F.pmod(F.xxhash64(F.lit(SEED + 1), F.col(doc_id)), F.greatest(F.length(body) - PIECE + 1, F.lit(1))).cast("int")
+    texts = docs.filter(F.length(body) > 0).join(chosen, F.col(doc_id) == F.col("id")).select("y", "o", F.substr(body, place, F.lit(PIECE)).alias("t"))
+    samples: dict[int, list[bytes]] = {0: [], 1: []}
+    for y, _, t in sorted(texts.collect()):
+        samples[int(y)].append(t.encode())
     scorer = Scorer(b"", b"")
     total = sum(shares.values())
     scorer.constant = shares.get(1, 0) / total if total else 0.5

@@ -118,7 +118,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of all documents; labels of fold 0 are not learnt from."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").filter(remainder() != 0).select("doc_id", "quality")
-    scorer = compression_quality.fit(docs.join(labels, "doc_id"), "quality")
+    scorer = compression_quality.fit(docs, labels, "quality")
     scored = compression_quality.score(docs, scorer)
     return scored.select(
         "doc_id", (remainder() == 0).alias("held_out"), "score", (F.col("score") >= compression_quality.CUT).cast("int").alias("predicted"),

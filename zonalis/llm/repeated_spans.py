@@ -37,7 +37,7 @@ LENGTH = 200
 GRAM = 100
 QUARTERS = 4
 GROUP_ROWS = 20_000
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 BROADCAST = 8 << 20
 _POSITION_BITS = 24
 
