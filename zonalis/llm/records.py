@@ -24,6 +24,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from zonalis.session import shared_dir
 
 END_ID = 2
 NO_ID = -(1 << 63)
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 1_000_000
 SHARD_BYTES = 24 << 20  # text bytes per shard, about
 
 _workers: dict[str, ChunkEncoder] = {}
@@ -82,8 +83,8 @@ class ChunkEncoder:
 
     def clear(self) -> None:
         self.known = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.start = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
 
     @staticmethod
@@ -118,18 +119,18 @@ class ChunkEncoder:
                 self.clear()
                 missing = first
             raw = data.tobytes()
-            texts = [raw[starts[i] : ends[i]].decode() for i in missing]
+            texts = [raw[a:b].decode() for a, b in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
             coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-            fresh = np.fromiter((x for c in coded for x in c), np.uint32, int(lengths.sum()))
+            lengths = np.fromiter(map(len, coded), np.int32, len(coded))
+            fresh = np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum()))
             known = np.concatenate([self.known, hashes[missing]])
-            start = np.concatenate([self.start, len(self.ids) + np.cumsum(lengths) - lengths])
+            start = np.concatenate([self.start, (len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int32)])
             length = np.concatenate([self.length, lengths])
             order = np.argsort(known)
             self.known, self.start, self.length = known[order], start[order], length[order]
             self.ids = np.concatenate([self.ids, fresh])
             at = np.searchsorted(self.known, distinct)
-        begin, count = self.start[at][back], self.length[at][back]
+        begin, count = self.start[at][back].astype(np.int64), self.length[at][back].astype(np.int64)
         ids = self.ids[ragged(begin, count)]
         ends_of_chunks = np.concatenate([[0], np.cumsum(count)])
         bounds = ends_of_chunks[np.searchsorted(starts, offsets)]
