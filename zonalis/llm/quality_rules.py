@@ -23,6 +23,9 @@ MAX_DUP_LINES = 50  # percent of lines with a word
 MIN_WORD_CHARS, MAX_WORD_CHARS = 2, 20  # mean code points per word
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
 def _rules() -> dict[str, Column]:
     """Name -> failure condition on the measurements; the position is the bit."""
     n = F.col("n_words")
@@ -95,7 +98,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         "CASE WHEN size(__hits) = 0 THEN 0L ELSE"
         " aggregate(sequence(0, size(__hits) - 1), 3L, (n, i) -> n + CASE WHEN i = 0 THEN 0 ELSE least(3, __hits[i] - __hits[i - 1]) END) END"
     )
-    return staged.withColumn("n_repeat_words", covered).drop("__words", "__lines", "__windows", "__repeats", "__codes", "__mask", "__hits")
+    computed = staged.withColumn("n_repeat_words", covered)
+    # A later filter must not be pushed below the measurements: it would be rewritten in terms of the text and evaluate
+    # them again for every element. Filters on what a generator returns stay above it.
+    rest = [c for c in docs.columns if c not in MEASURES]
+    return computed.select(*rest, F.explode_outer(F.array(F.struct(*MEASURES))).alias("__m")).select(*rest, "__m.*")
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
