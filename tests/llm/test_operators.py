@@ -353,6 +353,13 @@ def test_context_mixing_counts_and_leaks_nothing(spark, docs, empty):
     assert context_mixing.score_texts(empty, learn).count() == 0
 
 
+def test_context_mixing_spells_frequent_words(spark):
+    texts = [(n, "and ant any man an qz", "en") for n in range(12)] + [(100, "an", "en"), (101, "qz", "en")]
+    scored = context_mixing.score_texts(spark.createDataFrame(texts, "doc_id long, text string, lang string"), F.col("doc_id") < 100, kind="lang")
+    got = {r["doc_id"]: r for r in scored.collect()}
+    assert got[100]["base_score"] == got[101]["base_score"] and abs(got[100]["score"] - got[101]["score"]) > 1e-9
+
+
 def test_spelling_is_a_probability():
     model = context_mixing.Model(*(np.random.default_rng(0).integers(0, 9, (2, len(context_mixing.ORDERS), context_mixing.SLOTS)).astype(np.float32)))
     words = [bytes([b]) for b in range(1, 256) if b not in (9, 10, 11, 12, 13, 32)]
