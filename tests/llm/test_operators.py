@@ -360,6 +360,21 @@ def test_context_mixing_spells_frequent_words(spark):
     assert got[100]["base_score"] == got[101]["base_score"] and abs(got[100]["score"] - got[101]["score"]) > 1e-9
 
 
+def test_context_mixing_reads_texts_in_order(spark):
+    r = random.Random(5)
+    follow = {w: [prose(100 + 3 * w + j, 1, 9) for j in range(3)] for w in range(30)}
+    def ordered(n): return [x for w in (r.randrange(30) for _ in range(n)) for x in follow[w]]
+    texts = [(n, " ".join(ordered(60)), "en") for n in range(80)]
+    for n in range(20):
+        words = ordered(60)
+        texts += [(1000 + n, " ".join(words), "en"), (2000 + n, " ".join(r.sample(words, len(words))), "en")]
+    scored = context_mixing.score_texts(spark.createDataFrame(texts, "doc_id long, text string, lang string"), F.col("doc_id") < 1000, kind="lang")
+    got = {r["doc_id"]: r for r in scored.collect()}
+    for n in range(20):
+        assert got[1000 + n]["base_score"] == pytest.approx(got[2000 + n]["base_score"])
+        assert got[1000 + n]["score"] > got[2000 + n]["score"] + 1
+
+
 def test_spelling_is_a_probability():
     model = context_mixing.Model(*(np.random.default_rng(0).integers(0, 9, (2, len(context_mixing.ORDERS), context_mixing.SLOTS)).astype(np.float32)))
     words = [bytes([b]) for b in range(1, 256) if b not in (9, 10, 11, 12, 13, 32)]
