@@ -330,6 +330,17 @@ def test_compression_tells_good_from_bad(spark, docs, empty):
     assert compression_quality.score(empty, scorer).count() == 0
 
 
+def test_compression_is_calibrated_on_whole_texts(spark, monkeypatch):
+    made = [(n, prose(n, 4000 if n % 4 < 2 else 100) if n % 2 else prose(n, 4000 if n % 4 < 2 else 100).upper(), n % 2) for n in range(120)]
+    table = spark.createDataFrame(made, "doc_id long, text string, quality int")
+    fitted, calibrate = [], compression_quality.calibrate
+    monkeypatch.setattr(compression_quality, "calibrate", lambda x, *rest: fitted.append(x) or calibrate(x, *rest))
+    compression_quality.fit(table, table.select("doc_id", "quality"), "quality")
+    lengths = np.expm1(fitted[0][:, 6] * 5)
+    whole = {len(text.encode()) for _, text, _ in made}
+    assert lengths.max() > 2 * compression_quality.PIECE and {round(x) for x in lengths} <= whole
+
+
 def test_context_mixing_counts_and_leaks_nothing(spark, docs, empty):
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
     got = {r["doc_id"]: r for r in context_mixing.score_texts(docs, learn, kind="lang").collect()}

@@ -5,7 +5,8 @@ their difference are calibrated to a probability by logistic regression on a sec
 whole, piece by piece of ``PIECE`` bytes, so that the dictionaries matter as much at its end as at its start.
 
 The samples are the documented bound: ``SAMPLE_ROWS`` rows of each label for the dictionaries and as many for the
-calibration, by a seeded hash of the id, one piece of at most ``PIECE`` characters from each text. Labels, language,
+calibration, by a seeded hash of the id. Dictionaries see one piece of at most ``PIECE`` characters from each text; the
+calibration sees the sizes of whole texts, computed in tasks by the code that scores them. Labels, language,
 source and id are no inputs of a score. Null and empty texts have a length of 0 and get the score of the calibration at
 the neutral point. Without labels of both kinds every score is the share of good labels (0.5 without any).
 """
@@ -94,21 +95,28 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id",
     chosen = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 4 * rows short rows
     body = F.col(text)
     place = F.lit(1) + F.pmod(F.xxhash64(F.lit(SEED + 1), F.col(doc_id)), F.greatest(F.length(body) - PIECE + 1, F.lit(1))).cast("int")
-    texts = docs.filter(F.length(body) > 0).join(chosen, F.col(doc_id) == F.col("id")).select("y", "o", F.substr(body, place, F.lit(PIECE)).alias("t"))
+    texts = docs.filter(F.length(body) > 0).join(chosen, F.col(doc_id) == F.col("id"))
+    named = texts.select("y", "o", "id", F.xxhash64(body).alias("x"), F.substr(body, place, F.lit(PIECE)).alias("t"))
     samples: dict[int, list[bytes]] = {0: [], 1: []}
-    for y, _, t in sorted(texts.collect()):
+    calibrating = []  # every second text of each label; the others make the dictionaries
+    for y, _, name, x, t in sorted(named.collect()):
+        if len(samples[int(y)]) % 2:
+            calibrating.append((name, x))
         samples[int(y)].append(t.encode())
     scorer = Scorer(b"", b"")
     total = sum(shares.values())
     scorer.constant = shares.get(1, 0) / total if total else 0.5
     if min(len(samples[0]), len(samples[1])) < 20:
         return scorer
-    halves = {v: (s[::2], s[1::2]) for v, s in samples.items()}
-    scorer.bad, scorer.good = (zstandard.train_dictionary(DICTIONARY_BYTES, halves[v][0]).as_bytes() for v in (0, 1))
-    texts = halves[0][1] + halves[1][1]
-    y = np.repeat([0.0, 1.0], [len(halves[0][1]), len(halves[1][1])])
-    weight = np.where(y == 1, shares[1] / len(halves[1][1]), shares[0] / len(halves[0][1]))
-    scorer.weights = calibrate(scorer.features(scorer.sizes(texts)), y, weight / weight.mean())
+    scorer.bad, scorer.good = (zstandard.train_dictionary(DICTIONARY_BYTES, samples[v][::2]).as_bytes() for v in (0, 1))
+    kind = dict(docs.dtypes)[doc_id]
+    second = docs.sparkSession.createDataFrame(sorted(set(calibrating)), f"id {kind}, x long")
+    whole = docs.filter(F.length(body) > 0).join(F.broadcast(second), (F.col(doc_id) == F.col("id")) & (F.xxhash64(body) == F.col("x")))
+    measured = score(whole.select("id", F.col(text).alias("text")), scorer, "id").join(F.broadcast(chosen), "id")
+    sizes = measured.select("y", "n_bytes", "good_size", "bad_size").orderBy("y", "n_bytes", "good_size", "bad_size").toPandas().to_numpy(float)
+    y = sizes[:, 0]
+    weight = np.where(y == 1, shares[1] / max((y == 1).sum(), 1), shares[0] / max((y == 0).sum(), 1))
+    scorer.weights = calibrate(scorer.features(sizes[:, 1:]), y, weight / weight.mean())
     return scorer
 
 
@@ -122,7 +130,7 @@ def score(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "
             data, offsets = flat(piece.column(1))
             raw = memoryview(np.ascontiguousarray(data))
             sizes = np.zeros((piece.num_rows, 3))
-            if model.weights is not None:
+            if model.good:
                 sizes = model.sizes([raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
             else:
                 sizes[:, 0] = np.diff(offsets)
