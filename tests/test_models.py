@@ -161,3 +161,22 @@ def test_samples_and_heads(spark):
         o.DRIVER_LIMIT = old
     share = o.sample_fraction_by_hash(df, 0.25, "at").count() / 5000
     assert 0.2 < share < 0.3
+
+
+def test_registered_queries_do_full_work(monkeypatch):
+    """Arguments that the queries hand to operators; the operators are stood in for."""
+    from zonalis.queries import ALL, models, space
+
+    calls = {}
+    def stand_in(name, result):
+        return lambda *args, **given: calls.setdefault(name, []).append((args, given)) or result
+    monkeypatch.setattr(models, "splits", lambda *_: ("train", "test"))
+    monkeypatch.setattr(space, "zone_tables", lambda *_: ("train", "test"))
+    monkeypatch.setattr(models.fc, "gbt_forecast", stand_in("gbt", (type("Rows", (), {"select": lambda *_: None})(), None, None)))
+    monkeypatch.setattr(models.fc, "feature_importance", lambda *_: None)
+    monkeypatch.setattr(space.cl, "param_sweep", stand_in("sweep", None))
+    for name in ("gbt_forecast", "feature_importance", "param_sweep"):
+        ALL[name](None, None)
+    assert [(args[4], given) for args, given in calls["gbt"]] == [(["square_id"], {})] * 2
+    assert calls["sweep"] == [(("train",), {})]
+    assert {"density_sweep", "microcluster_sweep", "compare_clusterings", "tune_clusterings", "compare_forecasts"} <= set(ALL)

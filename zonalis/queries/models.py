@@ -11,7 +11,7 @@ from zonalis.operators import forecast_metrics as fm
 from zonalis.operators import forecasting as fc
 from zonalis.operators import windows as w
 from zonalis.operators.aggregates import hourly_resample
-from zonalis.plans import preparation
+from zonalis.plans import comparison, preparation
 from zonalis.plans.adapters import raw_text, read, telemetry
 from zonalis.queries.groups import splits
 from zonalis.queries.registry import query, r6
@@ -178,17 +178,23 @@ NUMERIC = ["svr2", "svr3", "svr4", "upload_mbps", "download_mbps", "hour"]
 @query("gbt_forecast")
 def _(spark, sf):
     train, test = splits(spark, sf)
-    out, _, _ = fc.gbt_forecast(train, test, "svr1", NUMERIC, ["square_id"], trees=10)
+    out, _, _ = fc.gbt_forecast(train, test, "svr1", NUMERIC, ["square_id"])
     return out.select("event_id", "svr1", "prediction")
 
 
 @query("feature_importance")
 def _(spark, sf):
     train, test = splits(spark, sf)
-    _, model, features = fc.gbt_forecast(train, test, "svr1", NUMERIC, [], trees=10)
+    _, model, features = fc.gbt_forecast(train, test, "svr1", NUMERIC, ["square_id"])
     return fc.feature_importance(train, model, features)
 
 
+@query("compare_forecasts")
+def _(spark, sf):
+    train, test = splits(spark, sf)
+    return comparison.compare_forecasts(train, test, ["svr1", "upload_mbps", "download_mbps"], [*NUMERIC, "svr1"], ["square_id"], ["ts", "event_id"])
+
+
 @query("window_regressor")
 def _(spark, sf):
     train, test = splits(spark, sf)

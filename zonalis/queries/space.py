@@ -12,6 +12,7 @@ from zonalis.operators import clustering as cl
 from zonalis.operators import encoding as e
 from zonalis.operators import joins, neighbours, spatial
 from zonalis.operators.ordering import split_by_day
+from zonalis.plans import comparison
 from zonalis.plans.adapters import telemetry, vectors
 from zonalis.plans.materialize import materialize
 from zonalis.queries.groups import FILLED, SPLIT, splits
@@ -340,14 +341,34 @@ def _(spark, sf):
 
 @query("param_sweep")
 def _(spark, sf):
-    return cl.param_sweep(zone_tables(spark, sf)[0], [(e_, m_) for e_ in (1.0, 1.5) for m_ in (3, 5)])
+    return cl.param_sweep(zone_tables(spark, sf)[0])
+
+
+@query("density_sweep")
+def _(spark, sf):
+    return cl.density_sweep(zone_tables(spark, sf)[0])
+
+
+@query("microcluster_sweep")
+def _(spark, sf):
+    return cl.microcluster_sweep(zone_tables(spark, sf)[0])
+
+
+@query("compare_clusterings")
+def _(spark, sf):
+    return comparison.compare_clusterings(*zone_tables(spark, sf))
+
+
+@query("tune_clusterings")
+def _(spark, sf):
+    return comparison.tune_clusterings(zone_tables(spark, sf)[0])
 
 
 @query("score_trials")
 def _(spark, sf):
     train, test = zone_tables(spark, sf)
     trials = {}
-    labelled, tested, _ = cl.kmeans_fit_assign(train, test, 2, n_init=3)
+    labelled, tested, _ = cl.kmeans_fit_assign(train, test, 2)
     trials["KMeans", "k=2"] = (labelled, tested)
     dense = materialize(train.join(cl.dbscan(train, 1.5, 3), "id"))
     trials["DBSCAN", "eps=1.5,min=3"] = (dense, test.join(neighbours.assign_to_clusters(dense, test), "id"))
