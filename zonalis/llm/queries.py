@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonalis.llm import (
+    centroid_clustering,
     compression_quality,
     context_mixing,
     decontaminate,
@@ -130,3 +131,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages in reply order without their quotes."""
     return quotation.conversations(table(spark, sf_dir, "conversations"))
+
+
+@register("op11_centroid_clustering", centroid_clustering.CHECK_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    labelled, centroids = centroid_clustering.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return centroid_clustering.with_inertia(labelled, centroids).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
