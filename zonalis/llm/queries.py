@@ -19,6 +19,7 @@ from zonalis.llm import (
     records,
     repeated_spans,
     sharding,
+    suffix_trees,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +141,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clustering.with_inertia(labelled, centroids).select(
         F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
     )
+
+
+@register("op12_suffix_trees", suffix_trees.CHECK_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of 20-word windows that occur earlier."""
+    cleaned = suffix_trees.remove_earlier(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
