@@ -20,6 +20,7 @@ from zonalis.llm import (
     repeated_spans,
     sharding,
     suffix_trees,
+    token_alignment,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +149,13 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of 20-word windows that occur earlier."""
     cleaned = suffix_trees.remove_earlier(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str, a_file: str | None = None, b_file: str | None = None) -> DataFrame:
+    """Tokens of two public tokenizers aligned in all documents."""
+    aligned = token_alignment.align(table(spark, sf_dir, "documents"), a_file or tokenizer_file(), b_file or tokenizer_file("piece_bpe_32k.model"))
+    counted = token_alignment.with_counts(aligned, token_alignment.pair_counts(aligned))
+    return counted.select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "n_overlaps"
+    )
