@@ -74,7 +74,7 @@ def choose_pivots(sample: np.ndarray, count: int) -> np.ndarray:
         grown = np.vstack([chosen, sample[at]])
         edges = (grown[1:] - grown[0]).astype(float)
         scaled = edges / np.sqrt((edges * edges).sum(1, keepdims=True))
-        if np.linalg.cond(scaled) <= CONDITION:
+        if len(scaled) <= scaled.shape[1] and np.linalg.cond(scaled) <= CONDITION:
             chosen = grown
             nearest = np.minimum(nearest, ((sample - sample[at]) ** 2).sum(1))
         else:
