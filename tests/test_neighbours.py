@@ -166,11 +166,91 @@ def brute_hierarchy(x, min_cluster_size, min_samples):
 
 def test_density_hierarchy_matches_definition(spark):
     x = blobs(seed=8, copies=0)[::2]
-    got = cl.density_hierarchy(frame(spark, x), 5, 3, levels=10_000).orderBy("id").collect()
+    got = cl.density_hierarchy(frame(spark, x), 5, 3).orderBy("id").collect()
     assert [r.label for r in got] == brute_hierarchy(x, 5, 3).tolist()
     assert len({r.label for r in got}) > 2
 
 
+@pytest.mark.parametrize("block_edges", [500_000, 40])
+def test_density_hierarchy_of_many_weights(spark, monkeypatch, block_edges):
+    from zonalis.plans import merge_tree
+
+    rng = np.random.default_rng(21)
+    x = np.concatenate([rng.normal(c, s, (n, 2)) for c, s, n in [((0, 0), 0.3, 150), ((4, 0), 0.6, 150), ((0, 5), 0.15, 80), ((0.4, 5.6), 0.15, 60), ((2, 2), 3.0, 60)]])
+    if block_edges < 100:  # ties in great number, copies, and clusters chosen level by level
+        x = np.round(x * 2) / 2
+        monkeypatch.setattr(merge_tree.choose_stable, "__defaults__", (0,))
+        monkeypatch.setattr(merge_tree.density_clusters, "__defaults__", (0,))
+    df = frame(spark, x)
+    settings = [(5, 3), (12, None), (25, 5)]
+    tree = cl.spanning_trees(df, [3, 5, 12])
+    weights = tree.filter("tree = 0").select("weight").distinct().count()
+    assert weights > 300 or block_edges < 100
+    got = {(r.setting, r.id): r.label for r in cl.density_labels(df, settings, block_edges).collect()}
+    for i, (size, samples) in enumerate(settings):
+        want = brute_hierarchy(x, size, samples or size)
+        assert [got[i, j] for j in range(len(x))] == want.tolist(), (size, samples)
+    assert len({v for (i, _), v in got.items() if i == 0}) > 3
+
+
+def test_spanning_tree_skips_most_pairs():
+    from zonalis.plans import kernels
+    from zonalis.plans.cells import Cells, LightestEdges
+
+    rng = np.random.default_rng(5)
+    x = rng.uniform(0, 1, (20_000, 2))
+    sides = {"id": np.arange(len(x)), "core": np.full((len(x), 1), 0.004), "component": np.arange(len(x))[:, None]}
+    search = LightestEdges(kernels.euclid)
+    found = search.find(sides, sides, Cells(x), Cells(x))[0]
+    assert len(found[0]) == len(x) and search.pairs < 0.05 * len(x) ** 2
+    some = rng.choice(len(x), 200, replace=False)
+    d = np.maximum(kernels.euclid(x[some], x), 0.004)
+    d[np.arange(200), some] = np.inf
+    assert found[1][some] == pytest.approx(d.min(axis=1))
+    frame_ = kernels.pd.DataFrame({"id": np.arange(len(x))})
+    rows, others, distance, pairs = kernels.nearest_in_cells(x[:2000], frame_[:2000], frame_, x, 5, 9, False)
+    assert pairs < 0.1 * 2000 * len(x) and len(rows) == 10_000
+
+
+def test_all_starts_share_passes(spark):
+    from zonalis.plans.lloyd import lloyd, spread_starts
+    from zonalis.plans.materialize import materialize
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.4, (60, 3)) for c in (0, 3, 7)])
+    rows = materialize(frame(spark, x).withColumn("weight", F.lit(1.0)))
+    fits = lloyd(rows, [2, 3, 5], 4)
+    for k, fit in zip([2, 3, 5], fits):
+        costs = []
+        order = [r.id for r in rows.orderBy(F.xxhash64("id", F.lit(42)), "id").collect()]
+        for start in range(4):
+            c = spread_starts(x[order], np.ones(len(x)), k, np.random.default_rng([42, k, start]))
+            for _ in range(300):
+                near = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+                moved = np.array([x[near == j].mean(0) if (near == j).any() else c[j] for j in range(len(c))])
+                if np.sqrt(((moved - c) ** 2).sum(1)).max() <= 1e-4:
+                    break
+                c = moved
+            costs.append(((x - c[near]) ** 2).sum())
+        assert fit.cost == pytest.approx(min(costs))
+    assert lloyd(materialize(rows.limit(0)), [2], 1)[0].centres == []
+    assert len(lloyd(materialize(rows.withColumn("features", F.array(F.lit(1.0)))), [4], 2)[0].centres) == 1
+
+
+def test_scores_of_many_settings_equal_single_ones(spark):
+    x = blobs()
+    df = frame(spark, x)
+    given = [np.array([i % 3 for i in range(len(x))]), np.full(len(x), -1), np.zeros(len(x), int), np.array([-1 if i % 5 == 0 else i % 4 for i in range(len(x))])]
+    labels = spark.createDataFrame([(i, s, int(v)) for s, g in enumerate(given) for i, v in enumerate(g)], "id long, setting int, label int")
+    got = {r.setting: r for r in m.score_settings(df, labels, 4).collect()}
+    for s, g in enumerate(given):
+        one = m.score(frame(spark, x, g)).first()
+        assert (got[s].n_clusters, got[s].n_outliers) == (len(set(g) - {-1}), (g == -1).sum()) == (one.n_clusters, one.n_outliers)
+        for c in ("silhouette", "dbi", "calinski_harabasz"):
+            assert got[s][c] == pytest.approx(one[c]) if one[c] is not None else got[s][c] is None
+    assert got[0].silhouette == pytest.approx(brute_silhouette(x, given[0]).mean()) and got[1].silhouette is None and got[2].dbi is None
+
+
 def brute_silhouette(x, labels):
     d, out = distances(x), []
     for i in range(len(x)):

@@ -19,24 +19,30 @@ def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x)
 
 
-def silhouette_samples(df: DataFrame, source_rows: int = SOURCE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(id, label, silhouette): exact Euclidean value per row, 0 for a cluster of one, empty below two clusters.
+def silhouette_settings(rows: DataFrame, **limits: int) -> DataFrame:
+    """(id, setting, label, silhouette) of stored rows (id, features, labels): exact Euclidean value per row and setting, 0 for
+    a cluster of one, no rows below two clusters. Distances are computed once for all settings.
 
-    A task returns one distance sum per (row, cluster), never a distance per pair of rows.
+    A task returns one distance sum per (row, setting, cluster), never a distance per pair of rows.
     """
-    rows = materialize(df.filter(F.col("label") != -1).select("id", "features", F.col("label").cast("long").alias("label")))
-    schema = "id bigint, other_label bigint, total double, n bigint"
-    partial = block_apply(rows, rows, kernels.label_sums_kernel, schema, None, source_rows, block_rows)
-    sums = partial.groupBy("id", "other_label").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-    joined = sums.join(rows.select("id", "label"), "id")
+    schema = "id bigint, setting int, other_label bigint, total double, n bigint"
+    partial = block_apply(rows, rows, kernels.label_sums_kernel, schema, None, **limits)
+    sums = partial.groupBy("id", "setting", "other_label").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    joined = sums.join(rows.select("id", F.posexplode("labels").alias("setting", "label")).filter("label != -1"), ["id", "setting"])
     own = F.col("other_label") == F.col("label")
-    per_row = joined.groupBy("id", "label").agg(
+    per_row = joined.groupBy("id", "setting", "label").agg(
         F.max(F.when(own, F.col("n"))).alias("size"),
         F.max(F.when(own & (F.col("n") > 1), F.col("total") / (F.col("n") - 1))).alias("a"),
         F.min(F.when(~own, F.col("total") / F.col("n"))).alias("b"),
     ).filter(F.col("b").isNotNull())
     value = F.when(F.col("size") == 1, 0.0).otherwise(F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0)))
-    return per_row.select("id", "label", value.alias("silhouette"))
+    return per_row.select("id", "setting", "label", value.alias("silhouette"))
+
+
+def silhouette_samples(df: DataFrame, source_rows: int = SOURCE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(id, label, silhouette) of one labelling, noise left out; empty below two clusters."""
+    rows = materialize(df.filter(F.col("label") != -1).select("id", "features", F.array(F.col("label").cast("long")).alias("labels")))
+    return silhouette_settings(rows, source_rows=source_rows, block_rows=block_rows).drop("setting")
 
 
 def silhouette(df: DataFrame, approx: bool = False, **limits: int) -> DataFrame:
@@ -82,10 +88,14 @@ def inertia(df: DataFrame, moments: DataFrame | None = None) -> DataFrame:
 def davies_bouldin(df: DataFrame, moments: DataFrame | None = None) -> DataFrame:
     """Mean over clusters of the worst (spread_i + spread_j) / distance; null below two clusters."""
     moments = moments or cluster_moments(df)
-    table = materialize(moments.select(F.col("label").cast("long").alias("id"), F.col("centre").alias("features"), "spread"))
-    worst = block_apply(table, table, kernels.worst_ratio_kernel, "id bigint, worst double").groupBy("id").agg(F.max("worst").alias("worst"))
-    finite = F.when(F.abs("worst") != float("inf"), F.col("worst"))
-    return worst.agg(F.avg(finite).alias("davies_bouldin"))
+    return _worst_ratios(moments.withColumn("setting", F.lit(0))).agg(F.avg("worst").alias("davies_bouldin"))
+
+
+def _worst_ratios(moments: DataFrame) -> DataFrame:
+    """(setting, worst) per cluster, infinite ratios left out."""
+    table = materialize(moments.select("setting", F.col("label").cast("long").alias("id"), F.col("centre").alias("features"), "spread"))
+    found = block_apply(table, table, kernels.worst_ratio_kernel, "setting int, id bigint, worst double").groupBy("setting", "id").agg(F.max("worst").alias("worst"))
+    return found.withColumn("worst", F.when(F.abs("worst") != float("inf"), F.col("worst")))
 
 
 def calinski_harabasz(df: DataFrame, moments: DataFrame | None = None) -> DataFrame:
@@ -119,21 +129,44 @@ def overfit_flag(df: DataFrame) -> DataFrame:
     return df.withColumn("overfit", out)
 
 
+def score_settings(points: DataFrame, labels: DataFrame, settings: int, **limits: int) -> DataFrame:
+    """setting, n_clusters, n_outliers, silhouette, dbi, calinski_harabasz for settings 0, 1, ... in one go. Stored.
+
+    ``points`` are (id, features), ``labels`` (id, setting, label) with a row per point and setting; -1 is noise.
+    """
+    spark = points.sparkSession
+    wide = labels.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("setting", F.col("label").cast("long").alias("label")))), lambda p: p["label"]).alias("labels"))
+    rows = materialize(points.select("id", "features").join(wide, "id"))
+    every = spark.range(settings).select(F.col("id").cast("int").alias("setting"))
+    first = rows.select(F.size("features")).first()
+    width = first[0] if first else 0
+    long = rows.select("features", F.posexplode("labels").alias("setting", "label"))
+    centres = long.groupBy("setting", "label").agg(F.count(F.lit(1)).alias("n"), F.array(*[F.avg(F.col("features")[i]) for i in range(width)]).cast("array<double>").alias("centre"))
+    centres = materialize(centres)
+    noise = F.col("label") == -1
+    counts = centres.groupBy("setting").agg(F.count_if(~noise).alias("n_clusters"), F.sum(F.when(noise, F.col("n")).otherwise(0)).alias("n_outliers"))
+    real = centres.filter(~noise)
+    joined = lookup_join(long.filter(~noise), real.select("setting", "label", "centre"), ["setting", "label"], null_safe=False, stored=True)
+    squared = squared_distance(F.col("features"), F.col("centre"))
+    sums = joined.groupBy("setting", "label").agg(F.avg(F.sqrt(squared)).alias("spread"), F.sum(squared).alias("within"))
+    moments = materialize(real.join(sums, ["setting", "label"]))
+    whole = moments.groupBy("setting").agg(F.array(*[F.sum(F.col("centre")[i] * F.col("n")) / F.sum("n") for i in range(width)]).cast("array<double>").alias("mean"))
+    met = moments.join(F.broadcast(whole), "setting")  # a row per setting
+    k, n = F.count(F.lit(1)), F.sum("n")
+    between = F.sum(F.col("n") * squared_distance(F.col("centre"), F.col("mean")))
+    ratio = F.try_divide(between / F.nullif(k - 1, F.lit(0)), F.sum("within") / F.nullif(n - k, F.lit(0)))
+    ch = met.groupBy("setting").agg(F.when(k > 1, ratio).alias("calinski_harabasz"))
+    dbi = _worst_ratios(moments).groupBy("setting").agg(F.avg("worst").alias("dbi"))
+    sil = silhouette_settings(rows, **limits).groupBy("setting").agg(F.avg("silhouette").alias("silhouette"))
+    out = every.join(counts, "setting", "left").join(sil, "setting", "left").join(dbi, "setting", "left").join(ch, "setting", "left")
+    filled = {c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long")) for c in ("n_clusters", "n_outliers")}
+    return materialize(out.withColumns(filled).select("setting", "n_clusters", "n_outliers", "silhouette", "dbi", "calinski_harabasz"))
+
+
 def score(df: DataFrame, **limits: int) -> DataFrame:
     """One row: clusters, noise, silhouette, dbi, calinski_harabasz of a labelled table."""
-    from zonalis.operators.aggregates import cluster_counts
-
-    stored = materialize(df.select("id", "features", "label"))
-    counts = cluster_counts(stored).first()
-    sil = dbi = ch = None
-    if counts.n_clusters >= 2:
-        moments = cluster_moments(stored)
-        sil = silhouette(stored, **limits).first()[0]
-        dbi = davies_bouldin(stored, moments).first()[0]
-        ch = calinski_harabasz(stored, moments).first()[0]
-    row = (int(counts.n_clusters), int(counts.n_outliers), sil, dbi, ch)
-    schema = "n_clusters bigint, n_outliers bigint, silhouette double, dbi double, calinski_harabasz double"
-    return df.sparkSession.createDataFrame([row], schema)
+    stored = materialize(df.select("id", "features", F.lit(0).alias("setting"), "label"))
+    return score_settings(stored, stored, 1, **limits).drop("setting")
 
 
 def score_trials(trials: dict[tuple[str, str], tuple[DataFrame, DataFrame | None]], **limits: int) -> DataFrame:

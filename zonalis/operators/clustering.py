@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonalis.operators.cluster_metrics import score
-from zonalis.operators.neighbours import core_distance
+from zonalis.operators.cluster_metrics import score_settings
 from zonalis.plans import kernels
-from zonalis.plans.blocks import BLOCK_ROWS, SOURCE_ROWS, block_apply
-from zonalis.plans.components import components, shortcut
+from zonalis.plans.blocks import BLOCK_ROWS, SOURCE_ROWS, block_apply, nearest
+from zonalis.plans.components import shortcut
+from zonalis.plans.lloyd import Fit, lloyd
 from zonalis.plans.materialize import materialize
+from zonalis.plans.merge_tree import BLOCK_EDGES, density_clusters, merges
 from zonalis.plans.numbering import global_index
 from zonalis.plans.skew import lookup_join
 
@@ -23,43 +22,31 @@ MICROCLUSTER_GRID = [(t, k) for t in (0.2, 0.3, 0.5, 0.7) for k in range(2, 9)]
 HDBSCAN_GRID = [(c, s) for c in (5, 8, 10, 12, 15) for s in (None, 3, 5, 8)]
 
 
-def _vectors(df: DataFrame) -> DataFrame:
-    return df.withColumn("__v", array_to_vector("features"))
+def kmeans_fits(df: DataFrame, ks: list[int], n_init: int = 10, seed: int = 42, weight: str | None = None, max_iter: int = 300) -> list[Fit]:
+    """For every k the best of ``n_init`` starts by cost; all starts of all k share every pass."""
+    share = F.col(weight).cast("double") if weight else F.lit(1.0)
+    name = F.col("id") if "id" in df.columns else F.xxhash64("features")
+    return lloyd(materialize(df.select(name.alias("id"), "features", share.alias("weight"))), list(ks), n_init, seed, max_iter)
 
 
-def kmeans_fit(df: DataFrame, k: int, n_init: int = 10, seed: int = 42, weight: str | None = None, max_iter: int = 300) -> KMeansModel:
-    """Best of ``n_init`` starts by training cost."""
-    ready = _vectors(df).select("__v", *([weight] if weight else [])).cache()
-    estimator = KMeans(featuresCol="__v", predictionCol="label", k=k, maxIter=max_iter, tol=1e-4)
-    if weight:
-        estimator = estimator.setWeightCol(weight)
-    best = None
-    for start in range(n_init):
-        model = estimator.copy().setSeed(seed + start).fit(ready)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    ready.unpersist()
-    return best
-
-
-def kmeans_assign(model: KMeansModel, df: DataFrame) -> DataFrame:
-    return model.transform(_vectors(df)).drop("__v")
+def kmeans_assign(fit: Fit, df: DataFrame) -> DataFrame:
+    return df.withColumn("label", fit.label(F.col("features")))
 
 
 def kmeans_fit_assign(train: DataFrame, test: DataFrame | None, k: int, n_init: int = 10, seed: int = 42):
     """(labelled train, labelled test, inertia)."""
-    model = kmeans_fit(train, k, n_init, seed)
-    return kmeans_assign(model, train), None if test is None else kmeans_assign(model, test), float(model.summary.trainingCost)
+    fit = kmeans_fits(train, [k], n_init, seed)[0]
+    return kmeans_assign(fit, train), None if test is None else kmeans_assign(fit, test), fit.cost
 
 
 def kmeans_sweep(df: DataFrame, ks: list[int], n_init: int = 1, seed: int = 42, **limits: int) -> DataFrame:
     """k, inertia and quality per k, best silhouette first."""
-    out = None
-    for k in ks:
-        labelled, _, cost = kmeans_fit_assign(df, None, k, n_init, seed)
-        row = score(labelled, **limits).select(F.lit(k).alias("k"), F.lit(cost).alias("inertia"), "silhouette", "dbi", "calinski_harabasz")
-        out = row if out is None else out.unionByName(row)
-    return out.orderBy(F.col("silhouette").desc_nulls_last(), "k")
+    points = materialize(df.select("id", "features"))
+    fits = kmeans_fits(points, ks, n_init, seed)
+    labels = points.select("id", F.posexplode(F.array(*[f.label(F.col("features")) for f in fits])).alias("setting", "label"))
+    scores = score_settings(points, materialize(labels), len(ks), **limits)
+    named = scores.withColumns({"k": F.array(*map(F.lit, ks))[F.col("setting")], "inertia": F.array(*[F.lit(f.cost) for f in fits])[F.col("setting")]})
+    return named.select("k", "inertia", "silhouette", "dbi", "calinski_harabasz").orderBy(F.col("silhouette").desc_nulls_last(), "k")
 
 
 def default_eps(min_cluster_size: int) -> float:
@@ -121,196 +108,128 @@ def dbscan_cut(df: DataFrame, min_samples: int, max_eps: float, **limits: int) -
     return dbscan(df, max_eps, min_samples, **limits)
 
 
-def cf_microcluster(df: DataFrame, threshold: float, k: int, n_init: int = 10, seed: int = 42) -> DataFrame:
-    """Moments per grid cell of side ``threshold`` in one aggregation, weighted k-means over the cell means, labels back."""
+def _microcells(df: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(rows with their grid cell of side ``threshold``, one row of moments per cell)."""
     width = df.select(F.size("features")).first()[0]
-    cell = F.transform("features", lambda x: F.floor(x / threshold).cast("long"))
-    cells = df.withColumn("cell", cell).groupBy("cell").agg(
+    celled = df.withColumn("cell", F.transform("features", lambda x: F.floor(x / threshold).cast("long")))
+    cells = celled.groupBy("cell").agg(
         F.count(F.lit(1)).cast("double").alias("weight"), F.array(*[F.avg(F.col("features")[i]) for i in range(width)]).alias("features")
     )
-    cells = materialize(cells)
-    model = kmeans_fit(cells, min(k, cells.count()), n_init, seed, weight="weight")
-    labels = kmeans_assign(model, cells).select("cell", "label")
-    return lookup_join(df.withColumn("cell", cell), labels, ["cell"], null_safe=False, row_id="id").drop("cell")
+    return celled, materialize(cells)
+
+
+def cf_microcluster(df: DataFrame, threshold: float, k: int, n_init: int = 10, seed: int = 42) -> DataFrame:
+    """Moments per grid cell of side ``threshold`` in one aggregation, weighted k-means over the cell means, labels back."""
+    celled, cells = _microcells(df, threshold)
+    labels = kmeans_assign(kmeans_fits(cells, [k], n_init, seed, weight="weight")[0], cells).select("cell", "label")
+    return lookup_join(celled, labels, ["cell"], null_safe=False, row_id="id").drop("cell")
+
+
+def microcluster_labels(df: DataFrame, threshold: float, settings: list[tuple[int, int]], n_init: int = 1, seed: int = 42) -> DataFrame:
+    """(id, setting, label) for all (setting, k) of one threshold, whose cells and k-means passes they share."""
+    celled, cells = _microcells(df, threshold)
+    fits = kmeans_fits(cells, [k for _, k in settings], n_init, seed, weight="weight")
+    found = F.array(*[F.struct(F.lit(i).alias("setting"), f.label(F.col("features")).alias("label")) for (i, _), f in zip(settings, fits, strict=True)])
+    labels = cells.select("cell", found.alias("found"))
+    joined = lookup_join(celled, labels, ["cell"], null_safe=False, row_id="id")
+    return joined.select("id", F.explode("found").alias("f")).select("id", "f.setting", "f.label")
 
 
 def cf_microcluster_best(df: DataFrame, threshold: float, ks: list[int] = (2, 3, 4, 5, 6, 7), n_init: int = 1, **limits: int) -> tuple[DataFrame, int]:
-    """The number of clusters with the best silhouette."""
-    best = None
-    for k in ks:
-        labelled = materialize(cf_microcluster(df, threshold, k, n_init))
-        value = score(labelled, **limits).first()["silhouette"]
-        if value is not None and (best is None or value > best[0]):
-            best = (value, labelled, k)
-    return (best[1], best[2]) if best else (cf_microcluster(df, threshold, ks[0], n_init), ks[0])
+    """The number of clusters with the best silhouette, the first one when none can be scored."""
+    points = materialize(df.select("id", "features"))
+    labels = materialize(microcluster_labels(points, threshold, list(enumerate(ks)), n_init))
+    scores = score_settings(points, labels, len(ks), **limits).filter("silhouette IS NOT NULL").orderBy(F.col("silhouette").desc(), "setting").head()
+    best = scores.setting if scores else 0
+    return df.join(labels.filter(F.col("setting") == best).select("id", "label"), "id"), ks[best]
 
 
-def mst_boruvka(df: DataFrame, min_samples: int, source_rows: int = SOURCE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Minimum spanning tree (low, high, weight) under mutual reachability.
+def spanning_trees(df: DataFrame, samples: list[int], source_rows: int = SOURCE_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Minimum spanning trees (tree, low, high, weight) under mutual reachability, one per entry of ``samples``. Stored.
 
     Every round each component takes its lightest outgoing edge (equal weights ordered by the pair of ids, which rules
-    out cycles), and components are merged along those edges: at least halving their number.
+    out cycles), and components are merged along those edges: at least halving their number. Distances are computed once
+    for all trees, and only between cells that can hold a lightest edge.
     """
-    core = core_distance(df, min_samples, source_rows=source_rows, block_rows=block_rows)
-    state = materialize(df.select("id", "features").join(core, "id").withColumn("component", F.col("id")))
-    schema = "component bigint, weight double, low bigint, high bigint, to_component bigint"
-    trees = []
-    while True:
-        partial = block_apply(state, state, kernels.outgoing_edge_kernel, schema, None, source_rows, block_rows)
-        best = partial.groupBy("component").agg(F.min(F.struct("weight", "low", "high", "to_component")).alias("e"))
-        picked = materialize(best.select("component", "e.*"))
-        if picked.isEmpty():
+    stored = materialize(df.select("id", "features"))
+    found = nearest(stored, stored, max(samples), "euclid", source_rows=source_rows, block_rows=block_rows)
+    cores = F.array(*[F.max(F.when(F.col("neighbour") <= s, F.col("distance"))) for s in samples]).alias("cores")
+    points = materialize(stored.join(found.groupBy("id").agg(cores), "id"))
+    n = points.count()
+    numbers = F.array(*[F.lit(t) for t in range(len(samples))])
+    member = points.select("id", F.explode(numbers).alias("tree"), F.col("id").alias("component"))
+    schema = "tree int, component bigint, weight double, low bigint, high bigint, to_component bigint"
+    trees, missing = [], len(samples) * (n - 1)
+    while missing > 0:
+        named = member.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("tree", "component"))), lambda c: c["component"]).alias("components"))
+        state = materialize(points.join(named, "id"))
+        partial = block_apply(state, state, kernels.outgoing_edges_kernel, schema, None, source_rows, block_rows)
+        best = partial.groupBy("tree", "component").agg(F.min(F.struct("weight", "low", "high", "to_component")).alias("e"))
+        picked = materialize(best.select("tree", "component", "e.*"))
+        edges = materialize(picked.select("tree", "low", "high", "weight").distinct())
+        trees.append(edges)
+        missing -= edges.count()
+        if missing <= 0:
             break
-        trees.append(picked.select("low", "high", "weight").distinct())
-        back = picked.select(F.col("component").alias("to_component"), F.col("to_component").alias("back"))
+        back = picked.select("tree", F.col("component").alias("to_component"), F.col("to_component").alias("back"))
         mutual = (F.col("back") == F.col("component")) & (F.col("component") < F.col("to_component"))
-        parents = picked.join(back, "to_component").select(
-            F.col("component").alias("id"), F.when(mutual, F.col("component")).otherwise(F.col("to_component")).alias("parent")
+        parents = lookup_join(picked, back, ["tree", "to_component"], null_safe=False, row_id="component").select(
+            "tree", F.col("component").alias("id"), F.when(mutual, F.col("component")).otherwise(F.col("to_component")).alias("parent")
         )
-        roots = shortcut(parents, []).select(F.col("id").alias("component"), F.col("parent").alias("root"))
-        state = materialize(state.join(roots, "component").select("id", "features", "core", F.col("root").alias("component")))
+        roots = shortcut(parents, ["tree"]).select("tree", F.col("id").alias("component"), F.col("parent").alias("root"))
+        member = materialize(lookup_join(member, roots, ["tree", "component"], null_safe=False, row_id="id").select("id", "tree", F.col("root").alias("component")))
     if not trees:
-        return df.sparkSession.createDataFrame([], "low bigint, high bigint, weight double")
-    tree = trees[0]
+        return df.sparkSession.createDataFrame([], "tree int, low bigint, high bigint, weight double")
+    out = trees[0]
     for part in trees[1:]:
-        tree = tree.unionByName(part)
-    return materialize(tree)
+        out = out.unionByName(part)
+    return materialize(out)
 
 
-def density_hierarchy(df: DataFrame, min_cluster_size: int, min_samples: int | None = None, levels: int = 64, **limits: int) -> DataFrame:
-    """(id, label): clusters of greatest stability over a ladder of radii (excess of mass), -1 for the rest.
+def mst_boruvka(df: DataFrame, min_samples: int, **limits: int) -> DataFrame:
+    """Minimum spanning tree (low, high, weight) under mutual reachability."""
+    return spanning_trees(df, [min_samples], **limits).drop("tree")
+
+
+def density_hierarchy(df: DataFrame, min_cluster_size: int, min_samples: int | None = None, block_edges: int = BLOCK_EDGES, **limits: int) -> DataFrame:
+    """(id, label): clusters of greatest stability over all radii (excess of mass), -1 for the rest."""
+    return density_labels(df, [(min_cluster_size, min_samples)], block_edges, **limits).select("id", "label")
 
-    The ladder holds the distinct tree weights, or ``levels`` evenly spaced ranks of them when there are more. A
-    component that keeps exactly one child of ``min_cluster_size`` is the same cluster at the next level; with two or
-    more it ends and they begin.
-    """
-    tree = mst_boruvka(df, min_samples or min_cluster_size, **limits)
-    return hierarchy_from_tree(df.select("id"), tree, min_cluster_size, levels)
-
-
-def hierarchy_from_tree(ids: DataFrame, tree: DataFrame, min_cluster_size: int, levels: int = 64) -> DataFrame:
-    weights = tree.filter(F.col("weight") > 0).select("weight").distinct()
-    total = weights.count()
-    if total == 0:
-        return ids.select("id", F.lit(-1).alias("label"))
-    placed = global_index(weights, [F.col("weight").desc()], "at")
-    if total > levels:
-        wanted = sorted({round(i * (total - 1) / (levels - 1)) for i in range(levels)})
-        placed = placed.filter(F.col("at").isin(wanted))
-    radii = [r[0] for r in placed.orderBy(F.col("weight").desc()).select("weight").collect()]
-    ladder = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(e).alias("eps")) for i, e in enumerate(radii)])
-    nodes = ids.select("id", F.explode(F.sequence(F.lit(0), F.lit(len(radii) - 1))).alias("level"))
-    edges = tree.select(F.col("low").alias("a"), F.col("high").alias("b"), "weight", F.explode(ladder).alias("l"))
-    edges = edges.filter(F.col("weight") <= F.col("l.eps")).select(F.col("l.level").alias("level"), "a", "b")
-    member = components(nodes, edges, ["level"])
-    live = member.groupBy("level", "component").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= min_cluster_size)
-    member = materialize(member.join(live.select("level", "component"), ["level", "component"]))
-    # parent of a live component: the component that held its lowest point one level up
-    above = member.select((F.col("level") + 1).alias("level"), F.col("id").alias("component"), F.col("component").alias("up"))
-    tree_nodes = live.select("level", "component").join(above, ["level", "component"], "left")
-    children = tree_nodes.filter(F.col("up").isNotNull()).groupBy("level", "up").agg(F.count(F.lit(1)).alias("siblings"))
-    tree_nodes = tree_nodes.join(children, ["level", "up"], "left")
-    begins = F.col("up").isNull() | (F.col("siblings") > 1)
-    numbered = materialize(global_index(tree_nodes.withColumn("begins", begins), ["level", "component"], "node"))
-    up_nodes = numbered.select((F.col("level") + 1).alias("level"), F.col("component").alias("up"), F.col("node").alias("up_node"))
-    linked = materialize(numbered.join(up_nodes, ["level", "up"], "left").select("level", "component", "node", "begins", "up_node"))
-    chains = shortcut(linked.select(F.col("node").alias("id"), F.when(F.col("begins"), F.col("node")).otherwise(F.col("up_node")).alias("parent")), [])
-    linked = linked.join(chains.select(F.col("id").alias("node"), F.col("parent").alias("cluster")), "node")
-    linked = materialize(linked)
-    births = linked.filter(F.col("node") == F.col("cluster"))
-    parents = births.filter(F.col("up_node").isNotNull()).join(
-        linked.select(F.col("node").alias("up_node"), F.col("cluster").alias("parent_cluster")), "up_node"
-    ).select("cluster", "parent_cluster")
-    lam = F.create_map(*[x for i, e in enumerate(radii) for x in (F.lit(i), F.lit(1.0 / e))])
-    inside = member.join(linked.select("level", "component", "cluster"), ["level", "component"])
-    leaving = inside.groupBy("cluster", "id").agg(F.max("level").alias("last"))
-    birth = births.select("cluster", F.col("level").alias("birth"))
-    born = F.when(F.col("birth") > 0, F.try_element_at(lam, F.col("birth") - 1)).otherwise(0.0)
-    stability = leaving.join(birth, "cluster").groupBy("cluster").agg(F.sum(F.try_element_at(lam, F.col("last")) - born).alias("stability"))
-    clusters = materialize(stability.join(parents, "cluster", "left").select("cluster", "parent_cluster", "stability"))
-    chosen = _excess_of_mass(clusters)
-    points = leaving.join(chosen, "cluster").select("id", "cluster")
-    names = points.groupBy("cluster").agg(F.min("id").alias("lowest"))
-    names = names.withColumn("label", F.row_number().over(Window.orderBy("lowest")) - 1)
-    labelled = points.join(names, "cluster").select("id", "label")
-    return ids.join(labelled, "id", "left").select("id", F.coalesce("label", F.lit(-1)).alias("label"))
-
-
-def _excess_of_mass(clusters: DataFrame) -> DataFrame:
-    """Clusters kept: a parent wins if its stability is at least the best its descendants reach; the root never wins."""
-    depth = 0
-    frontier = clusters.filter(F.col("parent_cluster").isNull()).select("cluster", F.lit(0).alias("depth"))
-    placed = materialize(frontier)
-    while True:
-        below = clusters.join(placed.filter(F.col("depth") == depth).select(F.col("cluster").alias("parent_cluster")), "parent_cluster")
-        below = materialize(below.select("cluster", F.lit(depth + 1).alias("depth")))
-        if below.isEmpty():
-            break
-        placed = placed.unionByName(below)
-        depth += 1
-    clusters = materialize(clusters.join(placed, "cluster"))
-    best = None
-    for at in range(depth, -1, -1):
-        here = clusters.filter(F.col("depth") == at)
-        if best is None:
-            scored = here.select("cluster", "parent_cluster", "stability", F.lit(0.0).alias("below"))
-        else:
-            sums = best.filter(F.col("depth") == at + 1).groupBy("parent_cluster").agg(F.sum("reach").alias("below"))
-            scored = here.select("cluster", "parent_cluster", "stability").join(
-                sums.withColumnRenamed("parent_cluster", "cluster"), "cluster", "left"
-            ).select("cluster", "parent_cluster", "stability", F.coalesce("below", F.lit(0.0)).alias("below"))
-        wins = (F.col("stability") >= F.col("below")) & F.col("parent_cluster").isNotNull()
-        scored = scored.select(
-            "cluster", "parent_cluster", F.lit(at).alias("depth"), wins.alias("wins"),
-            F.when(wins, F.col("stability")).otherwise(F.greatest("below", F.lit(0.0))).alias("reach"),
-        )
-        best = materialize(scored if best is None else best.unionByName(scored))
-    kept = best.filter((F.col("depth") == 0) & F.col("wins")).select("cluster")
-    open_ = best.filter((F.col("depth") == 0) & ~F.col("wins")).select("cluster")
-    for at in range(1, depth + 1):
-        here = best.filter(F.col("depth") == at).join(open_.select(F.col("cluster").alias("parent_cluster")), "parent_cluster")
-        here = materialize(here.select("cluster", "wins"))
-        kept = kept.unionByName(here.filter("wins").select("cluster"))
-        open_ = here.filter(~F.col("wins")).select("cluster")
-    return kept
+
+def density_labels(df: DataFrame, settings: list[tuple[int, int | None]], block_edges: int = BLOCK_EDGES, **limits: int) -> DataFrame:
+    """(id, setting, label) for all (min_cluster_size, min_samples): one spanning tree per min_samples, one merge tree for all."""
+    samples = sorted({s or size for size, s in settings})
+    merged = merges(spanning_trees(df, samples, **limits), block_edges)
+    return density_clusters(df.select("id"), merged, [(samples.index(s or size), size) for size, s in settings])
 
 
 def param_sweep(df: DataFrame, settings: list[tuple[float, int]] = DBSCAN_GRID, **limits: int) -> DataFrame:
-    """Quality of every density setting; the clusterings come from one joint computation."""
+    """Quality of every density setting; clusterings and scores come from joint computations."""
     stored = materialize(df.select("id", "features"))
     labels = materialize(dbscan_sweep(stored, settings, **limits))
-    out = None
-    for i, (eps, m) in enumerate(settings):
-        labelled = stored.join(labels.filter(F.col("setting") == i).select("id", "label"), "id")
-        row = score(labelled, **limits).select(F.lit("DBSCAN").alias("model"), F.lit(f"eps={eps},min={m}").alias("param"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    return _scored(stored, labels, "DBSCAN", [f"eps={eps},min={m}" for eps, m in settings], **limits)
 
 
-def density_sweep(df: DataFrame, settings: list[tuple[int, int | None]] = HDBSCAN_GRID, levels: int = 64, **limits: int) -> DataFrame:
-    """Quality per (min_cluster_size, min_samples), noise left out; one spanning tree serves all sizes of a min_samples."""
+def density_sweep(df: DataFrame, settings: list[tuple[int, int | None]] = HDBSCAN_GRID, **limits: int) -> DataFrame:
+    """Quality per (min_cluster_size, min_samples), noise left out."""
     stored = materialize(df.select("id", "features"))
-    trees: dict[int, DataFrame] = {}
-    out = None
-    for size, samples in settings:
-        used = samples or size
-        if used not in trees:
-            trees[used] = mst_boruvka(stored, used, **limits)
-        labels = hierarchy_from_tree(stored.select("id"), trees[used], size, levels)
-        row = score(stored.join(labels, "id"), **limits).select(
-            F.lit("HDBSCAN").alias("model"), F.lit(f"mcs={size},ms={samples}").alias("param"), "*"
-        )
-        out = row if out is None else out.unionByName(row)
-    return out
+    labels = materialize(density_labels(stored, settings, **limits))
+    return _scored(stored, labels, "HDBSCAN", [f"mcs={size},ms={samples}" for size, samples in settings], **limits)
 
 
 def microcluster_sweep(df: DataFrame, settings: list[tuple[float, int]] = MICROCLUSTER_GRID, n_init: int = 1, **limits: int) -> DataFrame:
-    out = None
-    for threshold, k in settings:
-        labelled = cf_microcluster(df, threshold, k, n_init)
-        row = score(labelled, **limits).select(F.lit("Birch").alias("model"), F.lit(f"k={k},thr={threshold}").alias("param"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    stored = materialize(df.select("id", "features"))
+    labels = None
+    for threshold in sorted({t for t, _ in settings}):
+        mine = [(i, k) for i, (t, k) in enumerate(settings) if t == threshold]
+        found = microcluster_labels(stored, threshold, mine, n_init)
+        labels = found if labels is None else labels.unionByName(found)
+    return _scored(stored, materialize(labels), "Birch", [f"k={k},thr={threshold}" for threshold, k in settings], **limits)
+
+
+def _scored(points: DataFrame, labels: DataFrame, model: str, params: list[str], **limits: int) -> DataFrame:
+    scores = score_settings(points, labels, len(params), **limits)
+    return scores.select(F.lit(model).alias("model"), F.array(*map(F.lit, params))[F.col("setting")].alias("param"), *[c for c in scores.columns if c != "setting"])
 
 
 def zone_points(rollup: DataFrame, features: list[str], zone: str = "square_id") -> DataFrame:

@@ -11,6 +11,8 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
+from zonalis.plans.cells import LEAF, Cells, LightestEdges, cells_of
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CELLS = 4_000_000
@@ -67,12 +69,42 @@ def smallest(d: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     return rows[keep], cols[keep]
 
 
+def nearest_in_cells(a: np.ndarray, targets: pd.DataFrame, sources: pd.DataFrame, b: np.ndarray, k: int, places: int, skip_self: bool):
+    """(rows, ids, distances, distances computed) of the k nearest: source cells in order of their least distance, until none can matter."""
+    tid, sid = targets.id.to_numpy(), sources.id.to_numpy()
+    mine, theirs = Cells(a), cells_of(sources, b)
+    out, pairs = [], 0
+    for cell in range(len(mine)):
+        rows = mine.rows(cell)
+        least = theirs.least(mine.low[cell], mine.high[cell])
+        order = np.argsort(least, kind="stable")
+        d, ids = np.full((len(rows), k), np.inf), np.full((len(rows), k), np.iinfo(np.int64).max)
+        for at in range(0, len(order), 4):
+            some = order[at : at + 4]
+            if least[some[0]] > d[:, k - 1].max():
+                break
+            others = theirs.rows_of(some)
+            near = np.round(euclid(a[rows], b[others]), places)
+            pairs += near.size
+            if skip_self:
+                near[tid[rows][:, None] == sid[others][None, :]] = np.inf
+            both, names = np.hstack([d, near]), np.hstack([ids, np.broadcast_to(sid[others], near.shape)])
+            best = np.lexsort((names, both), axis=1)[:, :k]
+            d, ids = np.take_along_axis(both, best, 1), np.take_along_axis(names, best, 1)
+        r, c = np.nonzero(np.isfinite(d))
+        out.append((rows[r], ids[r, c], d[r, c]))
+    return *(np.concatenate(x) for x in zip(*out)), pairs
+
+
 def nearest_kernel(k: int, metric: str, skip_self: bool):
     measure, places = METRICS[metric]
 
     def run(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
         a, b = matrix(targets.features), matrix(sources.features)
         tid, sid = targets.id.to_numpy(), sources.id.to_numpy()
+        if metric == "euclid" and len(b) > 4 * LEAF and len(a):
+            rows, others, distance, _ = nearest_in_cells(a, targets, sources, b, k, places, skip_self)
+            return pd.DataFrame({"id": tid[rows], "other": others, "distance": distance})
         out = []
         for part in chunks(len(a), len(b)):
             d = np.round(measure(a[part], b), places)
@@ -110,34 +142,48 @@ def donors_kernel(k: int):
 
 
 def label_sums_kernel(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
-    """Sum of distances and number of sources per (target, source label)."""
+    """Sum of distances and number of sources per (target, setting, source label); ``labels`` holds a label per setting."""
     a, b = matrix(targets.features), matrix(sources.features)
-    labels, inverse = np.unique(sources.label.to_numpy(), return_inverse=True)
-    counts = np.bincount(inverse, minlength=len(labels))
-    member = np.zeros((len(b), len(labels)))
-    member[np.arange(len(b)), inverse] = 1.0
+    given = np.array(sources.labels.tolist(), dtype=np.int64)
+    settings, names, members, counts = [], [], [], []
+    for s in range(given.shape[1]):
+        found, place, n = np.unique(given[:, s], return_inverse=True, return_counts=True)
+        member = np.zeros((len(b), len(found)))
+        member[np.arange(len(b)), place] = 1.0
+        kept = found != -1
+        settings.append(np.full(kept.sum(), s, np.int32))
+        names.append(found[kept])
+        members.append(member[:, kept])
+        counts.append(n[kept])
+    settings, names, members, counts = np.concatenate(settings), np.concatenate(names), np.hstack(members), np.concatenate(counts)
     out = []
     for part in chunks(len(a), len(b)):
-        sums = euclid(a[part], b) @ member
-        ids = targets.id.to_numpy()[part]
+        sums, ids = euclid(a[part], b) @ members, targets.id.to_numpy()[part]
         out.append(pd.DataFrame({
-            "id": np.repeat(ids, len(labels)), "other_label": np.tile(labels, len(ids)),
+            "id": np.repeat(ids, len(names)), "setting": np.tile(settings, len(ids)), "other_label": np.tile(names, len(ids)),
             "total": sums.ravel(), "n": np.tile(counts, len(ids)),
         }))
-    return pd.concat(out) if out else pd.DataFrame({"id": [], "other_label": [], "total": [], "n": []})
+    return pd.concat(out) if out else pd.DataFrame({"id": [], "setting": [], "other_label": [], "total": [], "n": []})
 
 
 def degree_kernel(radii: list[float]):
-    """Weight of the sources within each radius of a target, the target's own included."""
+    """Weight of the sources within each radius of a target, the target's own included. Cells that lie wholly within the
+    smallest radius count as a whole, cells beyond the largest not at all."""
 
     def run(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
         a, b, weight = matrix(targets.features), matrix(sources.features), sources.weight.to_numpy(dtype=float)
-        out = []
-        for part in chunks(len(a), len(b)):
-            d = euclid(a[part], b)
-            degree = np.stack([(d <= r) @ weight for r in radii], axis=1)
-            out.append(pd.DataFrame({"id": targets.id.to_numpy()[part], "degree": list(degree)}))
-        return pd.concat(out) if out else pd.DataFrame({"id": [], "degree": []})
+        mine, theirs = Cells(a), cells_of(sources, b)
+        held = np.add.reduceat(weight[theirs.order], theirs.start[:-1])
+        degree = np.zeros((len(a), len(radii)))
+        for cell in range(len(mine)):
+            rows = mine.rows(cell)
+            whole = theirs.greatest(mine.low[cell], mine.high[cell]) <= min(radii)
+            degree[rows] += held[whole].sum()
+            others = theirs.rows_of(np.flatnonzero(~whole & (theirs.least(mine.low[cell], mine.high[cell]) <= max(radii))))
+            for part in chunks(len(others), len(rows)):
+                d = euclid(a[rows], b[others[part]])
+                degree[rows] += np.stack([(d <= r) @ weight[others[part]] for r in radii], axis=1)
+        return pd.DataFrame({"id": targets.id.to_numpy(), "degree": list(degree)})
 
     return run
 
@@ -153,19 +199,32 @@ def least_label_kernel(radii: list[float], passes: int = 4):
         place = np.clip(np.searchsorted(sources.id.to_numpy()[order], targets.id.to_numpy()), 0, len(b) - 1)
         place = order[place]
         known = sources.id.to_numpy()[place] == targets.id.to_numpy()
-        parts = list(chunks(len(a), len(b)))
+        mine, theirs = Cells(a), cells_of(sources, b)
+        wholes, partly = [], []
+        for cell in range(len(mine)):
+            wholes.append(theirs.greatest(mine.low[cell], mine.high[cell]) <= min(radii))
+            partly.append(theirs.rows_of(np.flatnonzero(~wholes[-1] & (theirs.least(mine.low[cell], mine.high[cell]) <= max(radii)))))
+        work = sum(len(mine.rows(c)) * len(partly[c]) for c in range(len(mine)))
+        kept: dict[int, list[np.ndarray]] = {}
         reach = np.full((len(a), len(radii)), np.inf)
-        near = None
-        for turn in range(1_000_000 if len(parts) == 1 else passes):
+        for _ in range(1_000_000 if work <= 4 * CELLS else passes):
             before = labels.copy()
-            for part in parts:
-                if near is None or len(parts) > 1:
-                    d = euclid(a[part], b)
-                    near = [d <= r for r in radii]
-                for i in range(len(radii)):
-                    reach[part, i] = np.where(near[i], labels[None, :, i], np.inf).min(axis=1)
-                at, rows = place[part][known[part]], reach[part][known[part]]
-                labels[at] = np.where(np.isinf(labels[at]), np.inf, np.minimum(labels[at], rows))
+            least = np.minimum.reduceat(labels[theirs.order], theirs.start[:-1], axis=0)
+            for cell in range(len(mine)):
+                rows, others = mine.rows(cell), partly[cell]
+                if wholes[cell].any():
+                    reach[rows] = np.minimum(reach[rows], least[wholes[cell]].min(axis=0))
+                if len(others):
+                    near = kept.get(cell)
+                    if near is None:
+                        d = euclid(a[rows], b[others])
+                        near = [d <= r for r in radii]
+                        if work <= 4 * CELLS:
+                            kept[cell] = near
+                    for i in range(len(radii)):
+                        reach[rows, i] = np.minimum(reach[rows, i], np.where(near[i], labels[others][None, :, i], np.inf).min(axis=1))
+            at, found = place[known], reach[known]
+            labels[at] = np.where(np.isinf(labels[at]), np.inf, np.minimum(labels[at], found))
             if np.array_equal(before, labels):
                 break
         return pd.DataFrame({"id": targets.id.to_numpy(), "least": list(np.where(np.isinf(reach), np.nan, reach))})
@@ -173,34 +232,27 @@ def least_label_kernel(radii: list[float], passes: int = 4):
     return run
 
 
-def outgoing_edge_kernel(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
-    """Lightest mutual-reachability edge from each target to another component, ties by the ordered pair of ids."""
-    a, b = matrix(targets.features), matrix(sources.features)
-    tid, sid = targets.id.to_numpy(), sources.id.to_numpy()
-    out = []
-    for part in chunks(len(a), len(b)):
-        d = np.round(euclid(a[part], b), 9)
-        d = np.maximum(d, np.maximum(targets.core.to_numpy()[part][:, None], sources.core.to_numpy()[None, :]))
-        d[targets.component.to_numpy()[part][:, None] == sources.component.to_numpy()[None, :]] = np.inf
-        best = d.min(axis=1)
-        rows, cols = np.nonzero((d == best[:, None]) & np.isfinite(d))
-        low, high = np.minimum(tid[part][rows], sid[cols]), np.maximum(tid[part][rows], sid[cols])
-        order = np.lexsort((high, low, rows))
-        first = order[np.unique(rows[order], return_index=True)[1]] if len(order) else order
-        out.append(pd.DataFrame({
-            "component": targets.component.to_numpy()[part][rows[first]], "weight": best[rows[first]],
-            "low": low[first], "high": high[first], "to_component": sources.component.to_numpy()[cols[first]],
-        }))
-    return pd.concat(out) if out else pd.DataFrame({"component": [], "weight": [], "low": [], "high": [], "to_component": []})
+def outgoing_edges_kernel(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
+    """Per tree and component the lightest mutual-reachability edge to another component, ties by the ordered pair of ids."""
+    points = [matrix(side.features) for side in (targets, sources)]
+    sides = [
+        {"id": side.id.to_numpy(), "core": matrix(side.cores), "component": np.array(side.components.tolist(), dtype=np.int64)} for side in (targets, sources)
+    ]
+    search = LightestEdges(lambda x, y: np.round(euclid(x, y), 9))
+    found = search.find(*sides, Cells(points[0]), cells_of(sources, points[1]))
+    return pd.concat([
+        pd.DataFrame({"tree": np.int32(t), "component": c, "weight": w, "low": low, "high": high, "to_component": to}) for t, (c, w, low, high, to) in enumerate(found)
+    ])
 
 
 def worst_ratio_kernel(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
-    """Largest (spread_i + spread_j) / distance_ij over the other centroids."""
+    """Largest (spread_i + spread_j) / distance_ij over the other centroids of the same setting."""
     d = euclid(matrix(targets.features), matrix(sources.features))
     with np.errstate(divide="ignore", invalid="ignore"):
         ratio = (targets.spread.to_numpy()[:, None] + sources.spread.to_numpy()[None, :]) / d
-    ratio[targets.id.to_numpy()[:, None] == sources.id.to_numpy()[None, :]] = -np.inf
-    return pd.DataFrame({"id": targets.id.to_numpy(), "worst": ratio.max(axis=1)})
+    other = (targets.setting.to_numpy()[:, None] == sources.setting.to_numpy()[None, :]) & (targets.id.to_numpy()[:, None] != sources.id.to_numpy()[None, :])
+    ratio = np.where(other, ratio, -np.inf)
+    return pd.DataFrame({"setting": targets.setting.to_numpy(), "id": targets.id.to_numpy(), "worst": ratio.max(axis=1)})
 
 
 def solve_moments(batches, keys: list[str], width: int):
