@@ -166,18 +166,18 @@ def spanning_trees(df: DataFrame, samples: list[int], source_rows: int = SOURCE_
         partial = block_apply(state, state, kernels.outgoing_edges_kernel, schema, None, source_rows, block_rows)
         best = partial.groupBy("tree", "component").agg(F.min(F.struct("weight", "low", "high", "to_component")).alias("e"))
         picked = materialize(best.select("tree", "component", "e.*"))
-        edges = materialize(picked.select("tree", "low", "high", "weight").distinct())
+        edges = picked.select("tree", "low", "high", "weight").distinct()
         trees.append(edges)
         missing -= edges.count()
         if missing <= 0:
             break
         back = picked.select("tree", F.col("component").alias("to_component"), F.col("to_component").alias("back"))
         mutual = (F.col("back") == F.col("component")) & (F.col("component") < F.col("to_component"))
-        parents = lookup_join(picked, back, ["tree", "to_component"], null_safe=False, row_id="component").select(
+        parents = lookup_join(picked, back, ["tree", "to_component"], null_safe=False, row_id="component", stored=True).select(
             "tree", F.col("component").alias("id"), F.when(mutual, F.col("component")).otherwise(F.col("to_component")).alias("parent")
         )
         roots = shortcut(parents, ["tree"]).select("tree", F.col("id").alias("component"), F.col("parent").alias("root"))
-        member = materialize(lookup_join(member, roots, ["tree", "component"], null_safe=False, row_id="id").select("id", "tree", F.col("root").alias("component")))
+        member = materialize(lookup_join(member, roots, ["tree", "component"], null_safe=False, row_id="id", stored=True).select("id", "tree", F.col("root").alias("component")))
     if not trees:
         return df.sparkSession.createDataFrame([], "tree int, low bigint, high bigint, weight double")
     out = trees[0]

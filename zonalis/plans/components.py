@@ -2,14 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.plans.materialize import materialize
+from zonalis.plans.materialize import materialize, size_in_bytes
+
+#: Pointers in files up to this size are followed in one task; beyond it by joins.
+TASK_BYTES = 1 << 20
+
+
+def _follow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts = list(batches)
+    if not parts:
+        return
+    whole = pd.concat(parts)
+    keys = [c for c in whole.columns if c not in ("id", "parent")]
+    spots = list(zip(*(whole[k].tolist() for k in keys), whole["id"].tolist()))
+    parent = dict(zip(spots, whole["parent"].tolist()))
+    roots = []
+    for spot in spots:
+        path, at = [], spot
+        while (onward := parent.get(at, at[-1])) != at[-1]:
+            path.append(at)
+            at = (*at[:-1], onward)
+        for step in path:
+            parent[step] = at[-1]
+        roots.append(at[-1])
+    yield whole.assign(parent=roots)
 
 
-def shortcut(parents: DataFrame, keys: list[str]) -> DataFrame:
-    """Follow parent pointers to the root by doubling: (keys, id, parent) with parent = root on return."""
+def shortcut(parents: DataFrame, keys: list[str], task_bytes: int | None = None) -> DataFrame:
+    """Follow parent pointers to the root by doubling: (keys, id, parent) with parent = root on return. Stored."""
+    parents = materialize(parents.select(*keys, "id", "parent"))
+    if size_in_bytes(parents) <= (TASK_BYTES if task_bytes is None else task_bytes):
+        return materialize(parents.coalesce(1).mapInPandas(_follow, parents.schema))
     while True:
         up = parents.select(*keys, F.col("id").alias("parent"), F.col("parent").alias("grand"))
         once = parents.join(up, [*keys, "parent"], "left").select(*keys, "id", F.coalesce("grand", "parent").alias("next"), "parent")

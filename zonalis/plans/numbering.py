@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.plans.materialize import materialize
-from zonalis.plans.skew import lookup_join
 
 
 def global_index(df: DataFrame, order: list, into: str) -> DataFrame:
@@ -20,5 +19,5 @@ def global_index(df: DataFrame, order: list, into: str) -> DataFrame:
     sizes = stored.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("__part", before.alias("__before"))
-    joined = lookup_join(stored.withColumn("__part", part), offsets, ["__part"], null_safe=False)
+    joined = stored.withColumn("__part", part).join(F.broadcast(offsets), "__part", "left")
     return joined.withColumn(into, (F.col("__before") + F.col("__mid").bitwiseAND((1 << 33) - 1)).cast("long")).drop("__mid", "__part", "__before")

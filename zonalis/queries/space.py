@@ -15,7 +15,7 @@ from zonalis.operators.ordering import split_by_day
 from zonalis.plans import comparison
 from zonalis.plans.adapters import telemetry, vectors
 from zonalis.plans.materialize import materialize
-from zonalis.queries.groups import FILLED, SPLIT, splits
+from zonalis.queries.groups import FILLED, SPLIT, ZONE_RAW, ZONES, splits
 from zonalis.queries.registry import BODIES, query, r6
 from zonalis.queries.scalars import ROW_FEATURES
 
@@ -285,11 +285,98 @@ def zone_tables(spark, sf):
     return tuple(materialize(cl.zone_points(df, ZONE_FEATURES)) for df in scaled)
 
 
+FEATURED = ROW_FEATURES.replace("FROM telemetry", "FROM split")
+ZONE_SCALED = ", ".join(f"(v.{n} - avg(v.{n}) OVER ()) / coalesce(nullif(stddev_pop(v.{n}) OVER (), 0), 1)" for n in ZONE_FEATURES)
+ZONE_VIEWS = {
+    "valid": VALID, "split": SPLIT.replace("telemetry", "valid"), "zone_raw": ZONE_RAW, "zones": ZONES, "featured": FEATURED,
+    "rolled": f"""SELECT f.square_id, {', '.join(f'coalesce(avg({n}), 0) AS {n}' for n in a.ROLLUP_MEANS)}, {', '.join(f'coalesce(min(z.{n}), 0) AS {n}' for n in a.ROLLUP_FIRST)}
+FROM featured f JOIN zones z ON f.square_id = z.square_id WHERE NOT f.is_test GROUP BY f.square_id""",
+    "zone_pts": f"SELECT row_number() OVER (ORDER BY square_id) - 1 AS id, square_id, [{ZONE_SCALED}] AS f FROM rolled v",
+    "pairs": "SELECT x.id, y.id AS other, sqrt(list_sum(list_transform(list_zip(x.f, y.f), lambda p : (p[1] - p[2]) * (p[1] - p[2])))) AS d FROM zone_pts x, zone_pts y",
+}
+
+
+def density_sql(eps: str, least: int) -> str:
+    """Clusters of core points within ``eps`` of each other, border points by the lowest, -1 for the rest."""
+    return f"""
+SELECT p.square_id, coalesce(c.label, -1) AS label FROM zone_pts p LEFT JOIN (
+  SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS label FROM (
+    SELECT n.id, min(CASE WHEN k.id IS NOT NULL THEN r.root END) AS root FROM near n LEFT JOIN core k ON n.other = k.id LEFT JOIN roots r ON n.other = r.id
+    WHERE n.id NOT IN (SELECT id FROM core) OR n.id = n.other GROUP BY n.id) m WHERE root IS NOT NULL) c ON p.id = c.id""", {
+        "near": f"SELECT id, other FROM pairs WHERE d <= {eps}",
+        "core": f"SELECT id FROM near GROUP BY id HAVING count(*) >= {least}",
+        "reached": "SELECT id, id AS root FROM core UNION SELECT n.other, r.root FROM reached r JOIN near n ON n.id = r.id JOIN core k ON n.other = k.id",
+        "roots": "SELECT id, min(root) AS root FROM reached GROUP BY id",
+    }
+
+
+def tree_views(samples: int, doublings: int = 8) -> dict[str, str]:
+    """Edges ranked by mutual reachability (then by ids), and ``linked``: per pair the least possible worst rank of a path."""
+    views = ZONE_VIEWS | {
+        "cores": f"SELECT id, max(d) AS core FROM (SELECT id, d, row_number() OVER (PARTITION BY id ORDER BY d) AS n FROM pairs) WHERE n <= {samples} GROUP BY id",
+        "edges": """SELECT p.id AS low, p.other AS high, greatest(round(d, 9), round(a.core, 9), round(b.core, 9)) AS w FROM pairs p
+  JOIN cores a ON a.id = p.id JOIN cores b ON b.id = p.other WHERE p.id < p.other""",
+        "ranked": "SELECT low, high, w, row_number() OVER (ORDER BY w, low, high) AS r FROM edges",
+        "m0": "SELECT low AS i, high AS j, r FROM ranked UNION ALL SELECT high, low, r FROM ranked UNION ALL SELECT id, id, 0 FROM zone_pts",
+    }
+    for step in range(doublings):
+        views[f"m{step + 1}"] = f"SELECT a.i, b.j, min(greatest(a.r, b.r)) AS r FROM m{step} a JOIN m{step} b ON a.j = b.i GROUP BY a.i, b.j"
+    views["linked"] = f"SELECT m.i, m.j, coalesce(k.w, 0) AS w, m.r FROM m{doublings} m LEFT JOIN ranked k ON k.r = m.r"
+    return views
+
+
+def hierarchy_views(least: int, samples: int, rounds: int = 12) -> dict[str, str]:
+    """Condensed tree over every distinct weight, and excess of mass by repeated sums over children."""
+    views = tree_views(samples) | {
+        "levels": "SELECT w AS e, row_number() OVER (ORDER BY w DESC) - 1 AS level FROM (SELECT DISTINCT w FROM linked WHERE w > 0)",
+        "member": f"""SELECT * FROM (SELECT level, e, id, comp, count(*) OVER (PARTITION BY level, comp) AS size FROM (
+  SELECT l.level, l.e, k.i AS id, min(k.j) AS comp FROM levels l JOIN linked k ON k.w <= l.e GROUP BY ALL)) WHERE size >= {least}""",
+        "nodes": "SELECT level, comp, any_value(e) AS e FROM member GROUP BY level, comp",
+        "ups": "SELECT n.level, n.comp, m.comp AS up, count(*) OVER (PARTITION BY n.level, m.comp) AS siblings FROM nodes n LEFT JOIN member m ON m.level = n.level - 1 AND m.id = n.comp",
+        "chain": """SELECT level, comp, level * 1000000 + comp AS cl FROM ups WHERE up IS NULL OR siblings > 1
+  UNION ALL SELECT u.level, u.comp, c.cl FROM chain c JOIN ups u ON u.level = c.level + 1 AND u.up = c.comp AND u.siblings = 1""",
+        "births": """SELECT c.cl, c.level, c.comp, p.cl AS parent, CASE WHEN c.level = 0 THEN 0 ELSE 1 / l.e END AS born FROM chain c
+  JOIN ups u ON u.level = c.level AND u.comp = c.comp LEFT JOIN chain p ON p.level = c.level - 1 AND p.comp = u.up LEFT JOIN levels l ON l.level = c.level - 1
+  WHERE c.cl = c.level * 1000000 + c.comp""",
+        "leaving": "SELECT c.cl, m.id, min(m.e) AS e FROM member m JOIN chain c ON c.level = m.level AND c.comp = m.comp GROUP BY c.cl, m.id",
+        "r0": "SELECT b.cl, b.parent, sum(1 / l.e - b.born) AS stability, CAST(0 AS DOUBLE) AS below FROM births b JOIN leaving l ON l.cl = b.cl GROUP BY b.cl, b.parent",
+    }
+    for step in range(rounds):
+        views[f"r{step + 1}"] = f"""SELECT x.cl, x.parent, x.stability, coalesce(c.below, 0) AS below FROM r{step} x LEFT JOIN (
+  SELECT parent, sum(CASE WHEN stability >= below THEN stability ELSE below END) AS below FROM r{step} GROUP BY parent) c ON c.parent = x.cl"""
+    return views | {
+        "wins": f"SELECT cl, parent, parent IS NOT NULL AND stability >= below AS wins FROM r{rounds}",
+        "over": "SELECT cl, parent AS above FROM wins UNION ALL SELECT o.cl, w.parent FROM over o JOIN wins w ON w.cl = o.above",
+        "kept": "SELECT cl FROM wins WHERE wins AND cl NOT IN (SELECT o.cl FROM over o JOIN wins w ON w.cl = o.above WHERE w.wins)",
+        "found": """SELECT m.id, k.cl, min(m.id) OVER (PARTITION BY k.cl) AS lowest FROM kept k JOIN births b ON b.cl = k.cl
+  JOIN member m ON m.level = b.level AND m.comp = b.comp""",
+    }
+
+
 @query("kmeans_fit_assign")
 def _(spark, sf):
     train, test = zone_tables(spark, sf)
-    _, labelled, cost = cl.kmeans_fit_assign(train, test, 2)
-    return labelled.select("square_id", "label", F.lit(cost).alias("inertia"))
+    labelled, tested, cost = cl.kmeans_fit_assign(train, test, 2)
+    both = labelled.withColumn("is_test", F.lit(False)).unionByName(tested.withColumn("is_test", F.lit(True)))
+    return both.select("square_id", "is_test", "label", F.lit(cost).alias("inertia"))
+
+
+@query("kmeans_nearest_mean", """
+SELECT square_id, CAST(k AS BIGINT) AS k, true AS nearest, true AS cost_is_sum FROM zone_pts, range(2, 6) r(k)""", ("telemetry",), ZONE_VIEWS)
+def _(spark, sf):
+    """Whether every zone has the label of the nearest mean of the labelled rows, and the cost is their sum of squares."""
+    train, _ = zone_tables(spark, sf)
+    ks = [2, 3, 4, 5]
+    fits = cl.kmeans_fits(train, ks)
+    out = None
+    for k, fit in zip(ks, fits, strict=True):
+        labelled = materialize(cl.kmeans_assign(fit, train))
+        means = F.broadcast(m.centroids(labelled).select(F.col("label").alias("other"), "centre"))  # k rows
+        near = labelled.join(means).groupBy("id", "square_id", "label").agg(F.min(F.struct(m.squared_distance(F.col("features"), F.col("centre")).alias("d"), "other")).alias("best"))
+        whole = near.agg(F.sum("best.d").alias("total"))
+        row = near.crossJoin(F.broadcast(whole)).select("square_id", F.lit(k).cast("long").alias("k"), (F.col("best.other") == F.col("label")).alias("nearest"), (F.abs(F.col("total") - fit.cost) < 1e-6 * fit.cost).alias("cost_is_sum"))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 @query("kmeans_sweep")
@@ -297,10 +384,10 @@ def _(spark, sf):
     return cl.kmeans_sweep(zone_tables(spark, sf)[0], list(range(2, 10)))
 
 
-@query("dbscan")
+@query("dbscan", density_sql("15e-1", 3)[0], ("telemetry",), ZONE_VIEWS | density_sql("15e-1", 3)[1], recursive=True)
 def _(spark, sf):
     train, _ = zone_tables(spark, sf)
-    return train.join(cl.dbscan(train, 1.5, 3), "id").select("square_id", "label")
+    return train.join(cl.dbscan(train, 1.5, 3), "id").select("square_id", F.col("label").cast("long").alias("label"))
 
 
 @query("dbscan_vectors", """
@@ -316,10 +403,10 @@ def _(spark, sf):
     return cl.dbscan(vec(spark, sf), 1.18, 4).withColumn("label", F.col("label").cast("long"))
 
 
-@query("dbscan_cut")
+@query("dbscan_cut", density_sql("2e0", 5)[0], ("telemetry",), ZONE_VIEWS | density_sql("2e0", 5)[1], recursive=True)
 def _(spark, sf):
     train, _ = zone_tables(spark, sf)
-    return train.join(cl.dbscan_cut(train, 5, 2.0), "id").select("square_id", "label")
+    return train.join(cl.dbscan_cut(train, 5, 2.0), "id").select("square_id", F.col("label").cast("long").alias("label"))
 
 
 @query("cf_microcluster")
@@ -328,15 +415,17 @@ def _(spark, sf):
     return cl.cf_microcluster(train, 0.5, 2).select("square_id", "label")
 
 
-@query("density_hierarchy")
+@query("density_hierarchy", """
+SELECT p.square_id, coalesce(l.label, -1) AS label FROM zone_pts p LEFT JOIN (SELECT id, dense_rank() OVER (ORDER BY lowest) - 1 AS label FROM found) l ON l.id = p.id""",
+       ("telemetry",), hierarchy_views(5, 3), recursive=True)
 def _(spark, sf):
     train, _ = zone_tables(spark, sf)
-    return train.join(cl.density_hierarchy(train, 5, 3), "id").select("square_id", "label")
+    return train.join(cl.density_hierarchy(train, 5, 3), "id").select("square_id", F.col("label").cast("long").alias("label"))
 
 
-@query("mst_boruvka")
+@query("mst_boruvka", "SELECT k.low, k.high, round(k.w, 6) AS weight FROM ranked k JOIN linked l ON l.i = k.low AND l.j = k.high AND l.r = k.r", ("telemetry",), tree_views(3))
 def _(spark, sf):
-    return cl.mst_boruvka(zone_tables(spark, sf)[0], 3)
+    return r6(cl.mst_boruvka(zone_tables(spark, sf)[0], 3))
 
 
 @query("param_sweep")
