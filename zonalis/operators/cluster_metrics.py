@@ -169,21 +169,19 @@ def score(df: DataFrame, **limits: int) -> DataFrame:
     return score_settings(stored, stored, 1, **limits).drop("setting")
 
 
-def score_trials(trials: dict[tuple[str, str], tuple[DataFrame, DataFrame | None]], **limits: int) -> DataFrame:
-    """Metrics per (model, param) from (labelled train, labelled test or None)."""
+def score_trials(train: DataFrame, test: DataFrame | None, trials: dict[tuple[str, str], tuple[DataFrame, DataFrame | None]], **limits: int) -> DataFrame:
+    """Metrics per (model, param) of labellings (id, label) of the train points and, with ``test_`` before the names, of the test points."""
+    names = list(trials)
     out = None
-    for (model, param), (train, test) in trials.items():
-        part = score(train, **limits)
-        if test is not None:
-            renamed = score(test, **limits).withColumnsRenamed({c: f"test_{c}" for c in part.columns})
-            part = _side_by_side(part, renamed)
-        part = part.select(F.lit(model).alias("model"), F.lit(param).alias("param"), "*")
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
-
-
-def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Two one-row tables as one row."""
-    values = right.first()
-    types = dict(right.dtypes)
-    return left.withColumns({c: F.lit(values[c]).cast(types[c]) for c in right.columns})
+    for points, side, prefix in ((train, 0, ""), (test, 1, "test_")):
+        if points is None:
+            continue
+        labels = None
+        for i, name in enumerate(names):
+            part = trials[name][side].select("id", F.lit(i).alias("setting"), F.col("label").cast("long").alias("label"))
+            labels = part if labels is None else labels.unionByName(part)
+        scores = score_settings(points, materialize(labels), len(names), **limits)
+        scores = scores.withColumnsRenamed({c: f"{prefix}{c}" for c in scores.columns if c != "setting"})
+        out = scores if out is None else out.join(scores, "setting")
+    model, param = (F.array(*[F.lit(n[i]) for n in names])[F.col("setting")] for i in (0, 1))
+    return out.withColumns({"model": model, "param": param}).select("model", "param", *[c for c in out.columns if c != "setting"])

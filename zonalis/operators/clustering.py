@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.operators.cluster_metrics import score_settings
@@ -62,10 +62,21 @@ def dbscan_sweep(
     per point and setting; labels then travel along core points, and pointers are contracted after every round. A
     border point takes the cluster with the lowest core point; clusters are numbered by their lowest core point.
     """
+    every = list(enumerate(settings))
+    endless = [(i, m) for i, (e, m) in every if float(e) == float("inf")]
+    if endless:  # everything is within reach of everything
+        rows = df.count()
+        whole = F.array(*[F.struct(F.lit(i).alias("setting"), F.lit(0 if rows >= m else -1).alias("label")) for i, m in endless])
+        found = df.select("id", F.explode(whole).alias("f")).select("id", "f.setting", "f.label")
+        rest = [i for i, (e, _) in every if float(e) < float("inf")]
+        if not rest:
+            return found
+        some = dbscan_sweep(df, [settings[i] for i in rest], source_rows, block_rows)
+        return found.unionByName(some.select("id", F.array(*map(F.lit, rest))[F.col("setting")].alias("setting"), F.col("label").cast("int").alias("label")))
     folded = df.groupBy("features").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("weight"))
     points = materialize(global_index(folded, ["first_id"], "id").select("id", "features", "weight"))
     radii = [float(e) for e, _ in settings]
-    reach = max(radii) if max(radii) < float("inf") else None
+    reach = max(radii)
     count = len(settings)
     degrees = block_apply(points, points, kernels.degree_kernel(radii), "id bigint, degree array<double>", reach, source_rows, block_rows)
     degrees = degrees.groupBy("id").agg(F.array(*[F.sum(F.col("degree")[i]) for i in range(count)]).alias("degree"))
@@ -92,8 +103,10 @@ def dbscan_sweep(
     final = F.zip_with("labels", "least", lambda own, near: F.when(F.isnan(own), near).otherwise(own))
     rooted = state.join(found, "id").select("features", F.posexplode(final).alias("setting", "root"))
     names = rooted.filter(F.col("root").isNotNull() & ~F.isnan("root")).select("setting", "root").distinct()
-    names = names.withColumn("label", F.row_number().over(Window.partitionBy("setting").orderBy("root")) - 1)
-    labelled = rooted.join(names, ["setting", "root"], "left").select("features", "setting", F.coalesce("label", F.lit(-1)).alias("label"))
+    placed = materialize(global_index(names, ["setting", "root"], "at"))
+    first = F.broadcast(placed.groupBy("setting").agg(F.min("at").alias("first")))  # a row per setting
+    names = placed.join(first, "setting").select("setting", "root", (F.col("at") - F.col("first")).cast("int").alias("label"))
+    labelled = lookup_join(rooted, names, ["setting", "root"], null_safe=False, row_id="features").select("features", "setting", F.coalesce("label", F.lit(-1)).alias("label"))
     packed = labelled.groupBy("features").agg(F.collect_list(F.struct("setting", "label")).alias("found"))
     every = lookup_join(df.select("id", "features"), packed, ["features"], null_safe=False, row_id="id")
     return every.select("id", F.explode("found").alias("f")).select("id", "f.setting", "f.label")
@@ -125,20 +138,29 @@ def cf_microcluster(df: DataFrame, threshold: float, k: int, n_init: int = 10, s
     return lookup_join(celled, labels, ["cell"], null_safe=False, row_id="id").drop("cell")
 
 
-def microcluster_labels(df: DataFrame, threshold: float, settings: list[tuple[int, int]], n_init: int = 1, seed: int = 42) -> DataFrame:
-    """(id, setting, label) for all (setting, k) of one threshold, whose cells and k-means passes they share."""
-    celled, cells = _microcells(df, threshold)
-    fits = kmeans_fits(cells, [k for _, k in settings], n_init, seed, weight="weight")
-    found = F.array(*[F.struct(F.lit(i).alias("setting"), f.label(F.col("features")).alias("label")) for (i, _), f in zip(settings, fits, strict=True)])
-    labels = cells.select("cell", found.alias("found"))
-    joined = lookup_join(celled, labels, ["cell"], null_safe=False, row_id="id")
-    return joined.select("id", F.explode("found").alias("f")).select("id", "f.setting", "f.label")
+def microcluster_labels(df: DataFrame, settings: list[tuple[float, int]], n_init: int = 1, seed: int = 42) -> DataFrame:
+    """(id, setting, label) for all (threshold, k); the k-means passes over the cells of all thresholds are shared."""
+    thresholds = sorted({t for t, _ in settings})
+    parts = [_microcells(df, t) for t in thresholds]
+    cells = parts[0][1].withColumn("part", F.lit(0))
+    for i, (_, more) in enumerate(parts[1:], 1):
+        cells = cells.unionByName(more.withColumn("part", F.lit(i)))
+    cells = materialize(cells.withColumn("id", F.xxhash64("cell")))
+    of = [thresholds.index(t) for t, _ in settings]
+    fits = lloyd(cells, [k for _, k in settings], n_init, seed, parts=of)
+    labels = None
+    for part, (celled, _) in enumerate(parts):
+        mine = [F.struct(F.lit(i).alias("setting"), f.label(F.col("features")).alias("label")) for i, f in enumerate(fits) if of[i] == part]
+        named = cells.filter(F.col("part") == part).select("cell", F.array(*mine).alias("found"))
+        joined = lookup_join(celled, named, ["cell"], null_safe=False, row_id="id", stored=True).select("id", F.explode("found").alias("f")).select("id", "f.setting", "f.label")
+        labels = joined if labels is None else labels.unionByName(joined)
+    return labels
 
 
 def cf_microcluster_best(df: DataFrame, threshold: float, ks: list[int] = (2, 3, 4, 5, 6, 7), n_init: int = 1, **limits: int) -> tuple[DataFrame, int]:
     """The number of clusters with the best silhouette, the first one when none can be scored."""
     points = materialize(df.select("id", "features"))
-    labels = materialize(microcluster_labels(points, threshold, list(enumerate(ks)), n_init))
+    labels = materialize(microcluster_labels(points, [(threshold, k) for k in ks], n_init))
     scores = score_settings(points, labels, len(ks), **limits).filter("silhouette IS NOT NULL").orderBy(F.col("silhouette").desc(), "setting").head()
     best = scores.setting if scores else 0
     return df.join(labels.filter(F.col("setting") == best).select("id", "label"), "id"), ks[best]
@@ -205,9 +227,17 @@ def density_labels(df: DataFrame, settings: list[tuple[int, int | None]], block_
 
 def param_sweep(df: DataFrame, settings: list[tuple[float, int]] = DBSCAN_GRID, **limits: int) -> DataFrame:
     """Quality of every density setting; clusterings and scores come from joint computations."""
+    return radius_sweeps(df, {"DBSCAN": settings}, **limits)
+
+
+def radius_sweeps(df: DataFrame, grids: dict[str, list[tuple[float, int]]], **limits: int) -> DataFrame:
+    """The same for several named grids at once."""
     stored = materialize(df.select("id", "features"))
-    labels = materialize(dbscan_sweep(stored, settings, **limits))
-    return _scored(stored, labels, "DBSCAN", [f"eps={eps},min={m}" for eps, m in settings], **limits)
+    every = [(model, eps, m) for model, grid in grids.items() for eps, m in grid]
+    labels = materialize(dbscan_sweep(stored, [(eps, m) for _, eps, m in every], **limits))
+    scores = score_settings(stored, labels, len(every), **limits)
+    names = {"model": [model for model, _, _ in every], "param": [f"eps={eps},min={m}" for _, eps, m in every]}
+    return scores.select(*[F.array(*map(F.lit, v))[F.col("setting")].alias(n) for n, v in names.items()], *[c for c in scores.columns if c != "setting"])
 
 
 def density_sweep(df: DataFrame, settings: list[tuple[int, int | None]] = HDBSCAN_GRID, **limits: int) -> DataFrame:
@@ -219,11 +249,7 @@ def density_sweep(df: DataFrame, settings: list[tuple[int, int | None]] = HDBSCA
 
 def microcluster_sweep(df: DataFrame, settings: list[tuple[float, int]] = MICROCLUSTER_GRID, n_init: int = 1, **limits: int) -> DataFrame:
     stored = materialize(df.select("id", "features"))
-    labels = None
-    for threshold in sorted({t for t, _ in settings}):
-        mine = [(i, k) for i, (t, k) in enumerate(settings) if t == threshold]
-        found = microcluster_labels(stored, threshold, mine, n_init)
-        labels = found if labels is None else labels.unionByName(found)
+    labels = microcluster_labels(stored, settings, n_init)
     return _scored(stored, materialize(labels), "Birch", [f"k={k},thr={threshold}" for threshold, k in settings], **limits)
 
 

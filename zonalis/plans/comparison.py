@@ -25,11 +25,11 @@ def zone_points(train: DataFrame, test: DataFrame) -> tuple[DataFrame, DataFrame
     return tuple(materialize(cl.zone_points(df, FEATURES)) for df in standard_scale(*rolled, FEATURES))
 
 
-def compare_clusterings(train: DataFrame, test: DataFrame, n_init: int = 10) -> DataFrame:
-    """Five clusterings with their chosen settings, scored on both splits and ranked by the test figures."""
+def chosen_clusterings(train: DataFrame, test: DataFrame, n_init: int = 10) -> dict[tuple[str, str], tuple[DataFrame, DataFrame]]:
+    """Labels (id, label) of both splits by five clusterings with their chosen settings."""
     trials = {}
     labelled, tested, _ = cl.kmeans_fit_assign(train, test, 2, n_init)
-    trials["KMeans", "k=2"] = (labelled, tested)
+    trials["KMeans", "k=2"] = (labelled.select("id", "label"), tested.select("id", "label"))
     settings = {
         ("DBSCAN", "eps=0.5,min=3"): lambda: cl.dbscan(train, 0.5, 3),
         ("Birch", "k=2,threshold=0.2"): lambda: cl.cf_microcluster(train, 0.2, 2, n_init).select("id", "label"),
@@ -38,8 +38,13 @@ def compare_clusterings(train: DataFrame, test: DataFrame, n_init: int = 10) ->
     }
     for name, run in settings.items():
         dense = materialize(train.join(run(), "id"))
-        trials[name] = (dense, test.join(assign_to_clusters(dense, test), "id"))
-    scored = materialize(score_trials(trials))
+        trials[name] = (dense.select("id", "label"), assign_to_clusters(dense, test))
+    return trials
+
+
+def compare_clusterings(train: DataFrame, test: DataFrame, n_init: int = 10) -> DataFrame:
+    """Five clusterings with their chosen settings, scored on both splits and ranked by the test figures."""
+    scored = materialize(score_trials(train, test, chosen_clusterings(train, test, n_init)))
     ranked = rank_models(scored.withColumnsRenamed({
         "silhouette": "train_silhouette", "dbi": "train_dbi", "calinski_harabasz": "train_calinski_harabasz",
         "test_silhouette": "silhouette", "test_dbi": "dbi", "test_calinski_harabasz": "calinski_harabasz",
@@ -59,9 +64,8 @@ def tune_clusterings(
     )
     parts = [
         kmeans,
-        cl.param_sweep(points, dbscan, **limits),
+        cl.radius_sweeps(points, {"DBSCAN": dbscan, "OPTICS": cut}, **limits),
         cl.microcluster_sweep(points, micro, **limits),
-        cl.param_sweep(points, cut, **limits).withColumn("model", F.lit("OPTICS")),
         cl.density_sweep(points, density, **limits),
     ]
     out = parts[0]

@@ -456,9 +456,4 @@ def _(spark, sf):
 @query("score_trials")
 def _(spark, sf):
     train, test = zone_tables(spark, sf)
-    trials = {}
-    labelled, tested, _ = cl.kmeans_fit_assign(train, test, 2)
-    trials["KMeans", "k=2"] = (labelled, tested)
-    dense = materialize(train.join(cl.dbscan(train, 1.5, 3), "id"))
-    trials["DBSCAN", "eps=1.5,min=3"] = (dense, test.join(neighbours.assign_to_clusters(dense, test), "id"))
-    return m.score_trials(trials)
+    return m.score_trials(train, test, comparison.chosen_clusterings(train, test))
