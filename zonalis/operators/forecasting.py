@@ -18,6 +18,7 @@ from zonalis.plans.skew import lookup_join
 from zonalis.plans.slices import Slices, slice_width
 
 SERIES = "__series"
+TREE_ROWS = 100_000  # rows per partition that boosting works on
 
 
 # --- boosted trees --------------------------------------------------------------------------------------------------------
@@ -34,8 +35,11 @@ def gbt_forecast(
     train, test = impute_feature_median(train, test, numeric)
     features = [*numeric, *[f"{c}_code" for c in categorical]]
     ready = materialize(assembled(train, features, "__f").select("__f", F.col(target).cast("double").alias("__y")))
-    if ready.isEmpty():
+    n = ready.count()
+    if not n:
         raise ValueError(f"no rows left for target {target}")
+    # Every level of every tree is a job, so partitions that hold too few rows cost more than they save.
+    ready = ready.coalesce(max(1, n // TREE_ROWS))
     model = GBTRegressor(
         featuresCol="__f", labelCol="__y", predictionCol="prediction", maxIter=trees, stepSize=rate, maxDepth=depth,
         subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed,

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +16,7 @@ from zonalis.operators.forecast_metrics import regression_metrics
 from zonalis.operators.forecasting import arma_forecast, gbt_forecast
 from zonalis.operators.neighbours import assign_to_clusters
 from zonalis.operators.rankings import rank_models
+from zonalis.operators.windows import interpolate_series
 from zonalis.plans.materialize import materialize
 from zonalis.plans.slices import Slices
 
@@ -80,17 +84,27 @@ def compare_forecasts(
 ) -> DataFrame:
     """Metric rows (target, model, mae, mse, rmse, r2) of boosted trees and of the series model per target.
 
-    The series model forecasts as many steps as the test has rows, or ``horizon`` when given.
+    The series model forecasts as many steps as the test has rows, or ``horizon`` when given, and is scored on the test
+    series with its gaps interpolated. Targets are fitted at the same time: their many small jobs share the cluster.
     """
     steps = test.count() if horizon is None else horizon
-    out = None
-    for target in targets:
+
+    def of_target(target: str) -> DataFrame:
         predicted, _, _ = gbt_forecast(train, test, target, [n for n in numeric if n != target], categorical, **trees)
         rows = [("XGBoost", regression_metrics(predicted, [], target, "prediction"))]
         ahead = arma_forecast(train, [], order, target, steps=steps)
-        actual = Slices(test.select(*order, target), [], order).numbered("step").filter(F.col("step") <= steps)
+        series = interpolate_series(test.select(*order, target), [], order, target)
+        actual = Slices(series, [], order).numbered("step").filter(F.col("step") <= steps)
         rows.append(("ARIMA", regression_metrics(actual.join(ahead, "step"), [], target, "forecast").withColumn("r2", F.lit(None).cast("double"))))
+        out = None
         for model, metrics in rows:
             row = metrics.select(F.lit(target).alias("target"), F.lit(model).alias("model"), "*")
             out = row if out is None else out.unionByName(row)
+        return materialize(out)
+
+    with ThreadPoolExecutor(len(targets)) as pool:
+        parts = list(pool.map(inheritable_thread_target(of_target), targets))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out

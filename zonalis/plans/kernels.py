@@ -272,19 +272,40 @@ def solve_moments(batches, keys: list[str], width: int):
         yield pd.DataFrame(out | {"beta": betas, "n": batch["n"], "sse": sses})
 
 
+def _history(column, depth: int) -> np.ndarray:
+    """Last ``depth`` values of every row's list, the newest on the right, NaN where a list is shorter."""
+    lists = [np.asarray(v, dtype=float) for v in column]
+    size = np.minimum([len(v) for v in lists], depth)
+    out = np.full((len(lists), depth), np.nan)
+    rows = np.repeat(np.arange(len(lists)), size)
+    back = np.concatenate([np.arange(n, 0, -1) for n in size]) if len(lists) else np.zeros(0, int)
+    out[rows, depth - back] = np.concatenate([v[len(v) - n :] for v, n in zip(lists, size)]) if len(lists) else 0.0
+    return out
+
+
 def roll_forward(batches, keys: list[str], ar: list[int], ma: list[int], weights: dict[int, float], steps: int):
-    """Recursive forecast of one series per row: differenced values ahead, then back to the original scale."""
+    """Recursive forecast of all series of a batch at once: a vector over the series per step, differenced values ahead and then
+    back to the original scale. Lags before the start of a series count as 0; without the values that differencing needs the
+    forecast is null."""
+    depth = max([*ar, *ma, *weights, 1])
+    back = {k: c for k, c in weights.items() if k > 0}
     for batch in batches:
-        rows = []
-        for at in range(len(batch)):
-            row = batch.iloc[at]
-            beta, w, e, y = (list(map(float, row[c])) for c in ("beta", "w_tail", "e_tail", "y_tail"))
-            for step in range(1, steps + 1):
-                value = beta[0]
-                value += sum(b * w[-k] for b, k in zip(beta[1:], ar) if k <= len(w))
-                value += sum(b * e[-k] for b, k in zip(beta[1 + len(ar):], ma) if k <= len(e))
-                w.append(value)
-                e.append(0.0)
-                y.append(value - sum(c * y[-k] for k, c in weights.items() if k > 0))
-                rows.append([*(row[k] for k in keys), step, y[-1]])
-        yield pd.DataFrame(rows, columns=[*keys, "step", "forecast"])
+        n = len(batch)
+        if not n or not steps:
+            continue
+        w, e, y = (np.concatenate([_history(batch[c], depth), np.zeros((n, steps))], axis=1) for c in ("w_tail", "e_tail", "y_tail"))
+        w[:, :depth], e[:, :depth] = np.nan_to_num(w[:, :depth]), np.nan_to_num(e[:, :depth])
+        beta = np.array(batch["beta"].tolist(), dtype=float)
+        for at in range(depth, depth + steps):
+            value = beta[:, 0].copy()
+            for i, k in enumerate(ar):
+                value += beta[:, 1 + i] * w[:, at - k]
+            for i, k in enumerate(ma):
+                value += beta[:, 1 + len(ar) + i] * e[:, at - k]
+            w[:, at] = value
+            y[:, at] = value - sum(c * y[:, at - k] for k, c in back.items())
+        ahead = y[:, depth:].ravel()
+        out = {k: np.repeat(batch[k].to_numpy(), steps) for k in keys}
+        yield pd.DataFrame(out | {"step": np.tile(np.arange(1, steps + 1, dtype=np.int32), n), "forecast": pd.array(np.where(np.isnan(ahead), 0.0, ahead), dtype="Float64").copy()}).assign(
+            forecast=lambda d: d["forecast"].mask(np.isnan(ahead))
+        )

@@ -167,6 +167,27 @@ def _(spark, sf):
     return r6(fit.coefficients.select(F.col("beta")[1].alias("slope"), F.col("beta")[0].alias("intercept")))
 
 
+@query("ar_forecast", """
+SELECT square_id, CAST(step AS INTEGER) AS step, round(y, 6) AS forecast FROM ahead WHERE step > 0""", ("telemetry",), {
+    "pairs": """SELECT square_id, ts, event_id, svr1 AS y, lag(svr1) OVER (PARTITION BY square_id ORDER BY ts, event_id) AS guess,
+  row_number() OVER (PARTITION BY square_id ORDER BY ts DESC, event_id DESC) AS back FROM telemetry WHERE square_id IS NOT NULL""",
+    "fits": "SELECT square_id, regr_slope(y, guess) AS b, regr_intercept(y, guess) AS a, max(y) FILTER (back = 1) AS last, count(*) AS n FROM pairs GROUP BY square_id",
+    "ahead": "SELECT square_id, 0 AS step, last AS y FROM fits WHERE n >= 10 UNION ALL SELECT p.square_id, p.step + 1, f.a + f.b * p.y FROM ahead p JOIN fits f ON f.square_id = p.square_id WHERE p.step < 30",
+}, recursive=True)
+def _(spark, sf):
+    df = telemetry(spark, sf).filter(F.col("square_id").isNotNull()).select("square_id", "event_id", "ts", "svr1")
+    return r6(fc.arma_forecast(df, ["square_id"], ["ts", "event_id"], "svr1", pdq=(1, 0, 0), steps=30).filter("forecast IS NOT NULL"))
+
+
+@query("seasonal_ar_forecast", f"""
+SELECT h.hour_start + INTERVAL 24 HOUR AS hour_start, CAST(24 - h.back + 1 AS INTEGER) AS step, round(a + b * h.y, 6) AS forecast FROM
+  (SELECT *, row_number() OVER (ORDER BY hour_start DESC) AS back FROM ({HOURLY}) t) h,
+  (SELECT regr_slope(y, guess) AS b, regr_intercept(y, guess) AS a FROM (SELECT y, lag(y, 24) OVER (ORDER BY hour_start) AS guess FROM ({HOURLY}) t) s) f
+WHERE h.back <= 24""", ("telemetry",))
+def _(spark, sf):
+    return r6(fc.seasonal_arma_forecast(hourly(spark, sf), [], "hour_start", "y", pdq=(0, 0, 0), seasonal=(1, 0, 0)))
+
+
 @query("seasonal_arma_forecast")
 def _(spark, sf):
     return fc.seasonal_arma_forecast(hourly(spark, sf), [], "hour_start", "y")
