@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from zonalis.llm import centroid_clustering, suffix_trees, token_alignment
+from zonalis.llm import centroid_clustering, repeated_spans, suffix_trees, token_alignment
 from zonalis.llm.queries import tokenizer_file
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -254,3 +254,11 @@ def test_all_null_columns(spark, column):
     assert suffix_trees.remove_earlier(docs).count() == 2
     aligned = token_alignment.align(docs, tokenizer_file(), tokenizer_file("piece_bpe_32k.model"))
     assert token_alignment.with_counts(aligned, token_alignment.pair_counts(aligned)).count() == 2
+
+
+def test_repeats_of_rows_without_id(spark):
+    """Bytes of a text without an id are repeated like those of any other."""
+    body = "".join(random.Random(5).choice("abcdefghij ") for _ in range(600))
+    docs = frame(spark, [(None, body), (1, body), (2, "zz" + body), (None, "short")])
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in repeated_spans.remove_repeats(docs).collect())
+    assert got == Counter({(None, 600, 600): 1, (1, 600, 600): 1, (2, 602, 600): 1, (None, 5, 0): 1})

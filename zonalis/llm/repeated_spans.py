@@ -16,7 +16,7 @@ Every byte covered by a ``LENGTH``-byte string that also starts anywhere else is
 5. Groups of more than ``GROUP_ROWS`` contexts are not sorted in one task: each of their windows becomes a row with its
    hash, and Spark counts these with map-side combining.
 
-Null and empty texts have no bytes. Rows with equal ids are told apart by a checksum of the text; exact repeats of a row
+Null and empty texts have no bytes. Rows with equal or null ids are told apart by a hash of the text; exact repeats of a row
 count as repeats of each other.
 """
 
@@ -31,14 +31,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.llm.textblock import binary_rows, flat, inverse_powers, mix, prefix_hashes, ragged, slices, span_hashes
-from zonalis.plans.materialize import fits_broadcast, materialize
+from zonalis.plans.materialize import materialize
 
 LENGTH = 200
 GRAM = 100
 QUARTERS = 4
 GROUP_ROWS = 20_000
 SEGMENT = 1 << 20
-BROADCAST = 8 << 20
+NO_ID = (1 << 63) - 1
 _POSITION_BITS = 24
 
 
@@ -94,7 +94,7 @@ def _segments(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[
 
 def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(doc_id).cast("long").alias("id"), F.crc32(body.cast("binary")).cast("long").alias("crc"), body.alias("text"))
+    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(body).alias("crc"), body.alias("text"), F.col(doc_id).cast("long").alias("name"))
 
 
 def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -112,14 +112,14 @@ def anchors(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id: str
                 names=["ah", "ch", "id", "crc", "start", "run", "before"],
             )
 
-    return _rows(docs, doc_id, text).mapInArrow(task, "ah long, ch long, id long, crc long, start int, run short, before short")
+    return _rows(docs, doc_id, text).drop("name").mapInArrow(task, "ah long, ch long, id long, crc long, start int, run short, before short")
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int, doc_id: str, text: str) -> DataFrame:
     """``wanted`` (id, crc, start, run, before, ...) with the bytes of each context, cut from the texts."""
-    marks = materialize(wanted.groupBy("id", "crc").agg(F.collect_list(F.struct("start", "run", "before", "ah", "ch")).alias("marks")))
+    marks = wanted.groupBy("id", "crc").agg(F.collect_list(F.struct("start", "run", "before", "ah", "ch")).alias("marks"))
     rows = _rows(docs, doc_id, text)
-    met = rows.join(F.broadcast(marks) if fits_broadcast(marks, BROADCAST) else marks, ["id", "crc"]).select("id", "crc", "text", "marks")
+    met = rows.join(marks.hint("shuffle_hash"), ["id", "crc"]).select("id", "crc", "text", "marks")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
@@ -398,9 +398,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id"
     ``kept`` are bytes, since a span may begin inside a character.
     """
     spans = repeated_spans(docs, length, doc_id, text, group_rows)
-    listed = materialize(spans.groupBy("id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans")))
+    listed = spans.groupBy("id", "crc").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     rows = _rows(docs, doc_id, text)
-    met = rows.join(F.broadcast(listed) if fits_broadcast(listed, BROADCAST) else listed, ["id", "crc"], "left").select("id", "text", "spans")
+    met = rows.join(listed.hint("shuffle_hash"), ["id", "crc"], "left").select("name", "text", "spans")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
