@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonalis.llm.textblock import flat, mix, prefix_hashes, ragged, slices, span_hashes
+from zonalis.llm.textblock import flat, ragged, slices
 from zonalis.session import shared_dir
 
 END_ID = 2
 NO_ID = -(1 << 63)
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 400_000
 SHARD_BYTES = 24 << 20  # text bytes per shard, about
 
 _workers: dict[str, ChunkEncoder] = {}
@@ -68,7 +68,7 @@ def unframe(data: memoryview) -> Iterator[tuple[int, memoryview]]:
 
 
 class ChunkEncoder:
-    """Encodes texts chunk by chunk and keeps the ids of chunks it has seen.
+    """Encodes texts chunk by chunk and keeps the ids of chunks it has seen, looked up by their bytes.
 
     Byte-level BPE splits a text before it merges. A space that follows a visible ASCII or letter byte always begins a new
     piece, so a text may be cut there and the ids of the parts are the ids of the whole.
@@ -82,9 +82,9 @@ class ChunkEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.start = np.zeros(0, np.int32)
-        self.length = np.zeros(0, np.int32)
+        self.known: dict[bytes, int] = {}
+        self.start = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     @staticmethod
@@ -108,29 +108,21 @@ class ChunkEncoder:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(column), np.int64)
         starts = self.cuts(data, offsets)
-        ends = np.append(starts[1:], len(data))
-        hashes = mix(span_hashes(prefix_hashes(data), starts, ends) + (ends - starts).astype(np.uint64))
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.searchsorted(self.known, distinct)
-        found = (at < len(self.known)) & (self.known[np.minimum(at, max(len(self.known) - 1, 0))] == distinct) if len(self.known) else np.zeros(len(distinct), bool)
-        missing = first[~found]
-        if len(missing):
-            if len(self.known) + len(missing) > CACHE_CHUNKS:
-                self.clear()
-                missing = first
-            raw = data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(starts[missing].tolist(), ends[missing].tolist(), strict=True)]
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, coded), np.int32, len(coded))
-            fresh = np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum()))
-            known = np.concatenate([self.known, hashes[missing]])
-            start = np.concatenate([self.start, (len(self.ids) + np.cumsum(lengths) - lengths).astype(np.int32)])
-            length = np.concatenate([self.length, lengths])
-            order = np.argsort(known)
-            self.known, self.start, self.length = known[order], start[order], length[order]
-            self.ids = np.concatenate([self.ids, fresh])
-            at = np.searchsorted(self.known, distinct)
-        begin, count = self.start[at][back].astype(np.int64), self.length[at][back].astype(np.int64)
+        bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        distinct = chunks.dictionary.to_pylist()
+        if len(self.known) + len(distinct) > CACHE_CHUNKS:
+            self.clear()
+        fresh = [c for c in distinct if c not in self.known]
+        if fresh:
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in fresh], add_special_tokens=False)]
+            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+            self.start = np.append(self.start, len(self.ids) + np.cumsum(lengths) - lengths)
+            self.length = np.append(self.length, lengths)
+            self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum())))
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[np.asarray(chunks.indices)]
+        begin, count = self.start[place], self.length[place]
         ids = self.ids[ragged(begin, count)]
         ends_of_chunks = np.concatenate([[0], np.cumsum(count)])
         bounds = ends_of_chunks[np.searchsorted(starts, offsets)]
@@ -157,7 +149,7 @@ def write_records(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(tokenizer_file)
         kind = np.uint16 if coder.width == 2 else np.uint32
-        for piece in slices(batches):
+        for piece in slices(batches, limit=2 << 20):
             ids, counts = coder.encode(piece.column(1))
             ids, at, frames = ids.astype(kind), 0, []
             tail = np.array([end_id], kind).tobytes()
