@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.plans.materialize import materialize
-from zonalis.plans.quantiles import HOT_ROWS, column_name, exact_percentiles
+from zonalis.plans.quantiles import HOT_ROWS, column_name, counted_medians, exact_percentiles
 from zonalis.plans.skew import lookup_join
 
 LEVELS = ("zone_day", "zone", "day")
@@ -20,10 +20,24 @@ def medians_by(df: DataFrame, keys: list[str], columns: list[str], hot_rows: int
 def group_medians(
     train: DataFrame, columns: list[str], zone: str = "square_id", day: str = "day_id", hot_rows: int = HOT_ROWS
 ) -> dict[str, DataFrame]:
-    """Exact medians of the training rows per (zone, day), zone, day and overall (null keys form groups)."""
-    total = train.count()
-    keys = {"zone_day": [zone, day], "zone": [zone], "day": [day], "global": []}
-    return {level: medians_by(train, by, columns, hot_rows, total) for level, by in keys.items()}
+    """Exact medians of the training rows per (zone, day), zone, day and overall (null keys form groups).
+
+    The rows are read once: equal values of a (zone, day) are counted before the shuffle, and the stored counts are added up
+    for the coarser levels.
+    """
+    entries = F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])
+    opened = train.select(F.col(zone).alias("zone"), F.col(day).alias("day"), F.explode(entries).alias("e")).select("zone", "day", "e.column", "e.v")
+    counts = materialize(opened.groupBy("zone", "day", "column", "v").agg(F.count(F.lit(1)).alias("times")))
+    total = counts.count()
+    out = {}
+    for level, by in {"zone_day": ["zone", "day"], "zone": ["zone"], "day": ["day"], "global": []}.items():
+        part = counts if level == "zone_day" else counts.groupBy(*by, "column", "v").agg(F.sum("times").alias("times"))
+        medians = counted_medians(part.filter("v IS NOT NULL"), [*by, "column"], hot_rows, total)
+        # a group without any value still has a row of nulls
+        groups = counts.select(*by, F.lit(-1).alias("column"), F.lit(None).cast("double").alias("value")).distinct()
+        wide = groups.unionByName(medians).groupBy(*by).agg(*[F.max(F.when(F.col("column") == i, F.col("value"))).alias(c) for i, c in enumerate(columns)])
+        out[level] = wide.withColumnsRenamed({"zone": zone, "day": day})
+    return out
 
 
 def fill_from_level(df: DataFrame, keys: list[str], medians: DataFrame, columns: list[str], stored: bool = False) -> DataFrame:
@@ -49,13 +63,12 @@ def hierarchical_impute(
     return fill(train), fill(test)
 
 
-def most_frequent(df: DataFrame, column: str):
-    """Most frequent non-null value, the smallest on a tie; counts are combined before the shuffle."""
-    row = (
-        df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.col("n").desc(), F.col(column)).first()
-    )
-    return row[0] if row else None
+def most_frequent(df: DataFrame, columns: list[str]) -> dict[str, str]:
+    """Most frequent non-null value of every column that has one, the smallest on a tie; one pass, counted before the shuffle."""
+    entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("v")) for c in columns])
+    counted = df.select(F.explode(entries).alias("e")).filter("e.v IS NOT NULL").groupBy("e.name", "e.v").agg(F.count(F.lit(1)).alias("n"))
+    best = counted.groupBy("name").agg(F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("v"))
+    return {r["name"]: r["v"] for r in best.collect()}  # a row per column
 
 
 def fill_remaining(
@@ -66,7 +79,8 @@ def fill_remaining(
     if numeric:
         medians = exact_percentiles(df, [], numeric, [0.5], hot_rows).first()
         values |= {c: medians[column_name(c, 0.5)] for c in numeric}
-    values |= {c: most_frequent(df, c) or default for c in categorical}
+    modes = most_frequent(df, categorical) if categorical else {}
+    values |= {c: modes.get(c, default) for c in categorical}
     return df.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in values.items() if v is not None})
 
 

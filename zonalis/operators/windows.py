@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonalis.plans.materialize import materialize
 from zonalis.plans.skew import lookup_join
 from zonalis.plans.slices import Slices
 
@@ -115,11 +116,24 @@ def difference_weights(d: int, seasonal: int = 0, period: int = 24) -> dict[int,
 
 
 def rolling_mean(df: DataFrame, keys: list[str], order: list[str], column: str, n: int, into: str, width: int | None = None) -> DataFrame:
-    """Mean of the non-null values among the previous ``n`` rows of the key."""
-    slices = Slices(df, keys, order, width)
-    out = slices.previous_rows(F.col(column), n, "__w")
-    values = F.array_compact("__w")
-    total = F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
-    return out.withColumn(into, F.when(F.size(values) > 0, total / F.size(values))).drop("__w")
-
-
+    """Mean of the non-null values among the previous ``n`` rows of the key; null for rows with a null key.
+
+    A key's rows are cut into blocks of ``n``. The previous ``n`` rows are the end of one block and the start of the next, so
+    running sums from both ends of each block give every mean from two numbers, without subtracting and without arrays.
+    """
+    named = {k: f"__k{i}" for i, k in enumerate(keys)}
+    numbered = Slices(df, keys, order, width).numbered("__at").withColumn("__at", F.col("__at") - 1)
+    numbered = materialize(numbered.withColumn("__block", F.floor(F.col("__at") / n)))
+    block = Window.partitionBy(*keys, "__block")
+    value, count = F.coalesce(F.col(column).cast("double"), F.lit(0.0)), F.col(column).isNotNull().cast("long")
+    before = block.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    onward = block.orderBy(F.col("__at").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    rows = numbered.withColumns({"__s": F.coalesce(F.sum(value).over(before), F.lit(0.0)), "__c": F.coalesce(F.sum(count).over(before), F.lit(0))})
+    ends = numbered.select(*[F.col(k).alias(a) for k, a in named.items()], (F.col("__at") + n).alias("__to"), F.sum(value).over(onward).alias("__t"), F.sum(count).over(onward).alias("__d"))
+    # Early rows have nothing n rows before them; their block holds all there is.
+    met = rows.join(ends, [*[F.col(k).eqNullSafe(F.col(a)) for k, a in named.items()], F.col("__at") == F.col("__to")], "left")
+    total, known = F.col("__s") + F.coalesce("__t", F.lit(0.0)), F.col("__c") + F.coalesce("__d", F.lit(0))
+    mean = F.when(known > 0, total / known)
+    for k in keys:
+        mean = F.when(F.col(k).isNotNull(), mean)
+    return met.withColumn(into, mean).drop("__at", "__block", "__s", "__c", "__to", "__t", "__d", *named.values())

@@ -9,7 +9,7 @@ they are counted, -inf ranks below and inf, then NaN above all finite values, as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.plans.materialize import materialize
@@ -53,13 +53,24 @@ def exact_percentiles(
 
 def _narrowing(df: DataFrame, keys: list[str], columns: list[str], probabilities: list[float]) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns])
-    values = df.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.name", "e.v").filter(F.col("v").isNotNull())
-    group = [*keys, "name"]
+    values = df.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.name", "e.v", F.lit(1).alias("times")).filter(F.col("v").isNotNull())
+    known = narrowed(values, [*keys, "name"], probabilities).groupBy(*keys).agg(*[
+        F.max(F.when((F.col("name") == c) & (F.col("q") == float(q)), F.col("value"))).alias(column_name(c, q)) for c in columns for q in probabilities
+    ])
+    return lookup_join(df.select(*keys).distinct(), known, keys)
+
+
+def narrowed(values: DataFrame, group: list[str], probabilities: list[float]) -> DataFrame:
+    """(group, q, value) of values (group, v, times) by narrowing; ``times`` is how often a value counts."""
     v = F.col("v")
     finite = ~F.isnan("v") & (v > F.lit(float("-inf"))) & (v < F.lit(float("inf")))
+
+    def times(condition) -> Column:
+        return F.sum(F.when(condition, F.col("times")).otherwise(0))
+
     bounds = values.groupBy(*group).agg(
-        F.count("v").alias("n"), F.count(F.when(v == F.lit(float("-inf")), 1)).alias("lowest"), F.count(F.when(F.isnan("v"), 1)).alias("nans"),
-        F.count(F.when(finite, 1)).alias("finite"), F.min(F.when(finite, v)).alias("lo"), F.max(F.when(finite, v)).alias("hi"),
+        F.sum("times").alias("n"), times(v == F.lit(float("-inf"))).alias("lowest"), times(F.isnan("v")).alias("nans"),
+        times(finite).alias("finite"), F.min(F.when(finite, v)).alias("lo"), F.max(F.when(finite, v)).alias("hi"),
     )
     wanted = F.array(
         *[F.struct(F.lit(float(q)).alias("q"), F.lit(upper).alias("upper")) for q in probabilities for upper in (False, True)]
@@ -93,12 +104,7 @@ def _narrowing(df: DataFrame, keys: list[str], columns: list[str], probabilities
     )
     part = F.col("place") - F.floor("place")
     value = F.when((part == 0) | (F.col("a") == F.col("b")), F.col("a")).otherwise(F.col("a") * (1 - part) + F.col("b") * part)
-    pick = [
-        F.max(F.when((F.col("name") == c) & (F.col("q") == float(q)), value)).alias(column_name(c, q))
-        for c in columns for q in probabilities
-    ]
-    known = pairs.groupBy(*keys).agg(*pick)
-    return lookup_join(df.select(*keys).distinct(), known, keys)
+    return pairs.select(*group, "q", value.alias("value"))
 
 
 def _narrow_once(values: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
@@ -110,7 +116,7 @@ def _narrow_once(values: DataFrame, state: DataFrame, group: list[str]) -> DataF
     share = (F.col("v") / 2 - F.col("s.lo") / 2) / (F.col("s.hi") / 2 - F.col("s.lo") / 2)  # halves: no span overflows
     bucket = F.least(F.floor(share * BUCKETS).cast("long"), F.lit(BUCKETS - 1))
     counted = inside.groupBy(*group, "s", bucket.alias("bucket")).agg(
-        F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+        F.sum("times").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
     )
     order = Window.partitionBy(*group, "s").orderBy("bucket")
     reach = F.col("s.below") + F.sum("n").over(order)
@@ -121,3 +127,30 @@ def _narrow_once(values: DataFrame, state: DataFrame, group: list[str]) -> DataF
         *group, F.col("s.q").alias("q"), F.col("s.upper").alias("upper"), F.col("s.place").alias("place"),
         F.col("s.rank").alias("rank"), (F.col("reach") - F.col("n")).alias("below"), "lo", "hi",
     )
+
+
+def counted_medians(counts: DataFrame, group: list[str], hot_rows: int = HOT_ROWS, total: int | None = None) -> DataFrame:
+    """(group, value): medians of counted values (group, v, times), each value once per group.
+
+    A running count over a group's distinct values finds the middle ranks; groups with more than ``hot_rows`` of them are
+    narrowed instead.
+    """
+    def running(part: DataFrame) -> DataFrame:
+        whole = Window.partitionBy(*group)
+        ranked = part.withColumns({"__to": F.sum("times").over(whole.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)), "__n": F.sum("times").over(whole)})
+        low, high = F.floor((F.col("__n") - 1) / 2), F.ceil((F.col("__n") - 1) / 2)
+
+        def at(rank: Column) -> Column:
+            return F.max(F.when((F.col("__to") > rank) & (F.col("__to") - F.col("times") <= rank), F.col("v")))
+
+        found = ranked.groupBy(*group).agg(at(low).alias("a"), at(high).alias("b"))
+        return found.select(*group, F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(F.col("a") * 0.5 + F.col("b") * 0.5).alias("value"))
+
+    if total is not None and total <= hot_rows:
+        return running(counts)
+    hot = counts.groupBy(*group).agg(F.count(F.lit(1)).alias("__rows")).filter(F.col("__rows") > hot_rows)
+    hot = materialize(hot.select(*group, F.lit(True).alias("__hot")))
+    if hot.isEmpty():
+        return running(counts)
+    marked = lookup_join(counts, hot, group, stored=True)
+    return running(marked.filter(F.col("__hot").isNull())).unionByName(narrowed(marked.filter("__hot").drop("__hot"), group, [0.5]).drop("q"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,22 +54,46 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found) if found else []
 
 
+def data_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Files among ``paths`` and inside the folders among them, hidden ones left out."""
+    out = []
+    for path in paths:
+        file = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if system.getFileStatus(file).isDirectory():
+            inside = [s.getPath() for s in system.listStatus(file)]
+            out += data_files(spark, sorted(p.toString() for p in inside if p.getName()[0] not in "_."))
+        else:
+            out.append(path)
+    return out
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """First line of a text file, plain or compressed; only its first buffer is read."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+    stream = file.getFileSystem(conf).open(file)
+    try:
+        body = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(body, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
 def read_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:
     """Union by name of all CSV files that match; text columns, absent ones null.
 
-    Headers may differ between files. Files are grouped by header, so the plan has one scan per distinct header and
-    not one per file.
+    Headers may differ between files. Only the first line of each file is read to learn its header, and files are grouped
+    by it, so the plan has one scan per distinct header and not one per file.
     """
-    files = list_files(spark, pattern)
+    files = data_files(spark, list_files(spark, pattern))
     if not files:
         raise FileNotFoundError(pattern)
-    first_lines = (
-        spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("at"))
-        .filter((F.col("at") == 0)).groupBy("file").agg(F.first("value").alias("header"))
-    )
     by_header: dict[str, list[str]] = {}
-    for row in first_lines.toLocalIterator():
-        by_header.setdefault(row.header, []).append(row.file)
+    with ThreadPoolExecutor(16) as pool:
+        for file, header in zip(files, pool.map(lambda f: first_line(spark, f), files)):
+            by_header.setdefault(header, []).append(file)
     frames = [
         normalize_headers(spark.read.option("header", True).option("enforceSchema", False).csv(paths), {}, snake=True)
         for _, paths in sorted(by_header.items())
