@@ -36,7 +36,7 @@ from zonalis.session import shared_dir
 
 END_ID = 2
 NO_ID = -(1 << 63)
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 SHARD_BYTES = 24 << 20  # text bytes per shard, about
 
 _workers: dict[str, ChunkEncoder] = {}
@@ -100,7 +100,9 @@ class ChunkEncoder:
             wide = (data[:-3] >= 0xE1) & (data[:-3] <= 0xE3)
             middle = (data[1:-2] == 0x80) | (data[1:-2] == 0x81) | (data[1:-2] == 0x9A)
             before[3:] &= ~(wide & middle)
-        return np.union1d(np.flatnonzero(ok & before), offsets[:-1][np.diff(offsets) > 0])
+        before &= ok
+        before[offsets[:-1][np.diff(offsets) > 0]] = True
+        return np.flatnonzero(before)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each."""
@@ -110,18 +112,22 @@ class ChunkEncoder:
         starts = self.cuts(data, offsets)
         bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
         chunks = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        distinct = chunks.dictionary.to_pylist()
+        distinct = _bytes_of(chunks.dictionary)
         if len(self.known) + len(distinct) > CACHE_CHUNKS:
             self.clear()
-        fresh = [c for c in distinct if c not in self.known]
-        if fresh:
+        spots = [self.known.get(c, -1) for c in distinct]
+        at = np.array(spots, np.int64)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            fresh = [distinct[i] for i in missing.tolist()]
             coded = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in fresh], add_special_tokens=False)]
             lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)), strict=True))
+            at[missing] = np.arange(len(self.known), len(self.known) + len(fresh))
+            self.known.update(zip(fresh, at[missing].tolist(), strict=True))
             self.start = np.append(self.start, len(self.ids) + np.cumsum(lengths) - lengths)
             self.length = np.append(self.length, lengths)
             self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum())))
-        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[np.asarray(chunks.indices)]
+        place = at[np.asarray(chunks.indices)]
         begin, count = self.start[place], self.length[place]
         ids = self.ids[ragged(begin, count)]
         ends_of_chunks = np.concatenate([[0], np.cumsum(count)])
@@ -129,6 +135,13 @@ class ChunkEncoder:
         return ids, np.diff(bounds)
 
 
+def _bytes_of(column: pa.Array) -> list[bytes]:
+    """Values of a column without nulls."""
+    data, offsets = flat(column)
+    raw, at = data.tobytes(), offsets.tolist()
+    return [raw[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
 def encoder(tokenizer_file: str) -> ChunkEncoder:
     """One encoder per Python worker and file."""
     import os
