@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from zonalis.llm import centroid_clustering, repeated_spans, suffix_trees, token_alignment
+from zonalis.llm import centroid_clustering, near_duplicates, repeated_spans, suffix_trees, token_alignment
 from zonalis.llm.queries import tokenizer_file
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -262,3 +262,31 @@ def test_repeats_of_rows_without_id(spark):
     docs = frame(spark, [(None, body), (1, body), (2, "zz" + body), (None, "short")])
     got = Counter((r.doc_id, r.n_bytes, r.n_removed) for r in repeated_spans.remove_repeats(docs).collect())
     assert got == Counter({(None, 600, 600): 1, (1, 600, 600): 1, (2, 602, 600): 1, (None, 5, 0): 1})
+
+
+@pytest.mark.parametrize("block_rows", [1000, 40])
+def test_large_group_of_near_copies_leaves_few_links(spark, monkeypatch, block_rows):
+    """Near copies of one text, exact copies, and different texts that share an id."""
+    r, base = random.Random(4), prose(1, 160).split(" ")
+    texts = [(n, " ".join(w if r.random() > 0.02 else f"v{r.randrange(99)}" for w in base)) for n in range(150)]
+    texts += [(200, texts[0][1]), (201, texts[0][1]), (7, prose(9, 80)), (300, prose(9, 80)), (None, prose(9, 80)), (301, None), (302, "")]
+    out = []
+    kept = near_duplicates._block_links
+    monkeypatch.setattr(near_duplicates, "_block_links", lambda *a: out.append(kept(*a)) or out[-1])
+    got = near_duplicates.near_duplicates(frame(spark, texts).repartition(4), 4, block_rows=block_rows).collect()
+    sets = [({tuple(w[i : i + 4]) for i in range(len(w) - 3)} if t else set()) for _, t in texts for w in [(t or "").split(" ")]]
+    named = [i for i, (n, _) in enumerate(texts) if n is not None]
+    root = {i: i for i in named}
+    for i in named:
+        for j in named:
+            if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = {k: a if v == b else v for k, v in root.items()}
+    least = {}
+    for i in named:
+        least[root[i]] = min(least.get(root[i], 1 << 60), texts[i][0])
+    want = Counter((texts[i][0], least[root[i]]) for i in named) + Counter({(None, None): 1})
+    assert Counter((x.doc_id, x.component_id) for x in got) == want
+    assert out[0].count() <= 160 * 48
+    firsts = Counter(x.component_id for x in got if x.is_first and x.component_id is not None)
+    assert all(n == 1 for n in firsts.values())

@@ -12,10 +12,12 @@ Equal sets are folded first. A bucket (key) is worked off without listing its pa
 1. every member is compared with one member of the bucket (the star), one row per member; links merge components;
 2. that is repeated with other stars, ``STAR_ROUNDS`` times in all;
 3. what is left are buckets with members of different components. They are cut into blocks of bounded size, and each
-   pair of blocks is compared as arrays in one task, which returns only the pairs that are not yet in one component,
-   within the distance, and not ruled out by a longer signature.
+   pair of blocks is compared in one task, which holds the full sets: a pair is looked at in the first bucket that it
+   shares, if it is within the distance and not yet in one component, and is confirmed and united at once. Only links
+   that unite something leave the task, fewer than it has rows.
 
-Each candidate pair is confirmed on the full sets. Null and empty texts have an empty set and are linked with nothing.
+Every link is confirmed on the full sets. Null and empty texts have an empty set and are linked with nothing. Rows that share
+an id are told apart by a hash of the text; other columns are never read.
 """
 
 from __future__ import annotations
@@ -25,12 +27,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.llm.textblock import NOT_SPACE, Words, binary_rows, gram_hashes, mix, ragged, slices, within
 from zonalis.plans.components import components
-from zonalis.plans.materialize import fits_broadcast, materialize
+from zonalis.plans.materialize import materialize
 
 SHINGLE_WORDS = 5
 SIMILARITY = 80  # percent
@@ -40,7 +42,7 @@ CHUNKS = 12
 CHUNK_ERRORS = 1
 BLOCK_ROWS = 1000
 STAR_ROUNDS = 1
-LONG_SYMBOLS = 1024
+BLOCK_BYTES = 16 << 20  # of full sets, about
 
 assert CHUNKS * (CHUNK_ERRORS + 1) > DISTANCE and SYMBOLS % CHUNKS == 0
 
@@ -80,7 +82,7 @@ def _fill(sizes: np.ndarray, values: np.ndarray, of_empty: int = 0) -> np.ndarra
 
 
 def signatures(docs: DataFrame, words: int = SHINGLE_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_shingles, s1, s2, sig): two hashes of the whole set and the signature, 2 bytes a symbol."""
+    """(id, text_key, n_shingles, s1, s2, sig): two hashes of the whole set and the signature, 2 bytes a symbol."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
@@ -98,18 +100,26 @@ def signatures(docs: DataFrame, words: int = SHINGLE_WORDS, doc_id: str = "doc_i
                 s1 = s2 = np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    piece.column(0), pa.array(sizes), pa.array(_fill(sizes, s1).view(np.int64)), pa.array(_fill(sizes, s2).view(np.int64)),
+                    piece.column(0), piece.column(2), pa.array(sizes), pa.array(_fill(sizes, s1).view(np.int64)), pa.array(_fill(sizes, s2).view(np.int64)),
                     binary_rows(sig.view(np.uint8).ravel(), np.full(len(sizes), 2 * SYMBOLS)),
                 ],
-                names=["id", "n_shingles", "s1", "s2", "sig"],
+                names=["id", "text_key", "n_shingles", "s1", "s2", "sig"],
             )
 
-    source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return source.mapInArrow(task, "id long, n_shingles long, s1 long, s2 long, sig binary")
+    return keyed(docs, doc_id, text).mapInArrow(task, "id long, text_key long, n_shingles long, s1 long, s2 long, sig binary")
+
+
+def text_key(text: str = "text") -> Column:
+    """Tells apart rows that share an id."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    return docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"), text_key(text).alias("text_key"))
 
 
 def chunk_keys(nodes: DataFrame) -> DataFrame:
-    """(key, id): the keys of every chunk with each choice of ``CHUNK_ERRORS`` symbols left out."""
+    """(key, slot, id): the keys of every chunk with each choice of ``CHUNK_ERRORS`` symbols left out, numbered by ``slot``."""
     width = SYMBOLS // CHUNKS
     choices = [c for c in combinations(range(width), width - CHUNK_ERRORS)]
 
@@ -126,9 +136,19 @@ def chunk_keys(nodes: DataFrame) -> DataFrame:
                             key = mix(key * np.uint64(31) + sig[:, chunk * width + symbol])
                         keys.append(key)
                 ids = np.repeat(np.asarray(piece.column(0)), len(keys))
-                yield pa.RecordBatch.from_arrays([pa.array(np.stack(keys, 1).ravel().view(np.int64)), pa.array(ids)], names=["key", "id"])
+                slots = np.tile(np.arange(len(keys), dtype=np.int32), len(sig))
+                yield pa.RecordBatch.from_arrays([pa.array(np.stack(keys, 1).ravel().view(np.int64)), pa.array(slots), pa.array(ids)], names=["key", "slot", "id"])
+
+    return nodes.select("id", "sig").mapInArrow(task, "key long, slot int, id long")
 
-    return nodes.select("id", "sig").mapInArrow(task, "key long, id long")
+
+def first_slots(unequal: np.ndarray) -> np.ndarray:
+    """The lowest slot whose key a pair shares, from which of their symbols differ (pairs x symbols); -1 without any."""
+    width = SYMBOLS // CHUNKS
+    choices = [c for c in combinations(range(width), width - CHUNK_ERRORS)]
+    parted = unequal.reshape(len(unequal), CHUNKS, width)
+    shares = np.stack([~parted[:, :, list(c)].any(axis=2) for c in choices], axis=2).reshape(len(unequal), CHUNKS * len(choices))
+    return np.where(shares.any(axis=1), shares.argmax(axis=1), -1)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -137,38 +157,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def full_sets(docs: DataFrame, used: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
-    """(id, items): the sorted shingle hashes of the documents named in the stored table ``used``."""
+    """(node, items): the sorted shingle hashes of the documents named in the stored table ``used`` (node, id, text_key)."""
 
     def as_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
             values, n = shingle_sets(piece.column(1), words)
-            yield pa.RecordBatch.from_arrays([piece.column(0), binary_rows(values.view(np.uint8), 8 * n)], names=["id", "items"])
+            yield pa.RecordBatch.from_arrays([piece.column(0), binary_rows(values.view(np.uint8), 8 * n)], names=["node", "items"])
 
-    texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    wanted = texts.join(F.broadcast(used) if fits_broadcast(used, 8 << 20) else used, "id", "left_semi")
-    return wanted.mapInArrow(as_sets, "id long, items binary").dropDuplicates(["id"])
+    wanted = keyed(docs, doc_id, text).join(used.hint("shuffle_hash"), ["id", "text_key"])
+    return wanted.select("node", "text").mapInArrow(as_sets, "node long, items binary").dropDuplicates(["node"])
 
 
-def long_signatures(sets: DataFrame) -> DataFrame:
-    """(id, long_sig): ``LONG_SYMBOLS`` MinHash values of one byte each."""
-    seeds = mix(np.arange(1, 2 * LONG_SYMBOLS + 1, dtype=np.uint64) + np.uint64(1 << 40))
-    factors = (seeds[:LONG_SYMBOLS] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-    addends = (seeds[LONG_SYMBOLS:] >> np.uint64(32)).astype(np.uint32)
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = np.zeros((batch.num_rows, LONG_SYMBOLS), np.uint8)
-            for row in range(batch.num_rows):
-                small = (np.frombuffer(batch.column(1)[row].as_buffer(), np.uint64) >> np.uint64(32)).astype(np.uint32)
-                for at in range(0, LONG_SYMBOLS, 64):  # bounded work space for long texts
-                    least = np.full(64, 0xFFFFFFFF, np.uint32)
-                    for part in range(0, len(small), 4096):
-                        some = small[part : part + 4096, None] * factors[at : at + 64] + addends[at : at + 64]
-                        np.minimum(least, some.min(0), out=least)
-                    out[row, at : at + 64] = (least * np.uint32(0x9E3779B1)) >> np.uint32(24)
-            yield pa.RecordBatch.from_arrays([batch.column(0), binary_rows(out.ravel(), np.full(batch.num_rows, LONG_SYMBOLS))], names=["id", "long_sig"])
-
-    return sets.mapInArrow(task, "id long, long_sig binary")
+def named(nodes: DataFrame) -> DataFrame:
+    """(node, id, text_key): the document that stands for each node."""
+    return nodes.select(F.col("id").alias("node"), F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key"))
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, similarity: int, doc_id: str, text: str) -> DataFrame:
@@ -189,8 +191,9 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, s
     close = materialize(sized.select("a", "b", "sig_a", "sig_b").mapInArrow(near, "a long, b long"))
 
     # Only texts that occur in a pair are read into sets. Each set travels once per pair for b, once per document for a.
-    used = materialize(close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct())
-    sets = materialize(full_sets(docs, used, words, doc_id, text))
+    used = close.select(F.col("a").alias("id")).union(close.select(F.col("b").alias("id"))).distinct()
+    sets = full_sets(docs, named(nodes.join(used, "id", "left_semi")), words, doc_id, text)
+    sets = materialize(sets.withColumnRenamed("node", "id"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,34 +212,44 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, s
     return materialize(filled.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long"))
 
 
-def _block_pairs(live: DataFrame, block_rows: int, similarity: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different components that both signatures allow, compared block by block.
+def _block_links(live: DataFrame, block_rows: int, similarity: int) -> DataFrame:
+    """Links (a, b) between components of one bucket, confirmed on the full sets and united block by block.
 
-    ``live``: key, id, component, sig, long_sig. A bucket of n members gets ceil(n / block_rows) blocks; a block travels
-    once per block that it meets, so no task holds more than two blocks, and only hits leave it. The long signature is
-    allowed 4.5 standard deviations more differing symbols than the wanted similarity makes on average (missed: about 1 in
-    300,000 pairs that just reach it).
+    ``live``: key, slot, id, component, sig, items. A bucket gets as many blocks as its rows and bytes ask for; a block
+    travels once per block that it meets, so no task holds more than two blocks.
     """
-    share = 1 - similarity / 100
-    most = LONG_SYMBOLS * share + 4.5 * (LONG_SYMBOLS * share * (1 - share)) ** 0.5
-    counts = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
-    blocks = F.ceil(F.col("members") / F.lit(block_rows)).cast("int")
+    counts = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("items")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("members") / F.lit(block_rows)), F.ceil(F.col("bytes") / F.lit(BLOCK_BYTES))).cast("int")
     placed = live.join(counts, "key").withColumn("n", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "component", "sig", "long_sig"
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "slot", "id", "component", "sig", "items"
     )
 
-    def compare(ids, comp, side, sig, long_sig, apart) -> list[np.ndarray]:
-        names, sizes = np.unique(comp, return_counts=True)
-        largest = names[sizes.argmax()]  # its members need no comparison with each other
-        found = []
-        for row in np.flatnonzero(comp != largest):
-            at = np.flatnonzero((comp != comp[row]) & ((comp == largest) | (ids > ids[row])) & ((side != side[row]) if apart else True))
-            at = at[np.count_nonzero(sig[at] != sig[row], axis=1) <= DISTANCE]
-            at = at[np.count_nonzero(long_sig[at] != long_sig[row], axis=1) <= most]
-            if len(at):
-                found.append(np.stack([np.minimum(ids[row], ids[at]), np.maximum(ids[row], ids[at])], 1))
-        return found
+    def compare(ids, comp, side, slot, sig, sets, apart) -> Iterator[tuple[int, int]]:
+        names, group = np.unique(comp, return_inverse=True)
+        if len(names) < 2:
+            return
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        _, item = np.unique(np.concatenate(sets), return_inverse=True)
+        owner = np.repeat(np.arange(len(sets)), sizes)
+        by = np.argsort(item, kind="stable")  # documents of each shingle
+        holders, first = owner[by], np.searchsorted(item[by], np.arange(item.max() + 2))
+        ends = np.cumsum(sizes)
+        largest = np.bincount(group).argmax()  # its members need no comparison with each other
+        for row in np.flatnonzero(group != largest):
+            at = np.flatnonzero((group != group[row]) & ((side != side[row]) if apart else True))
+            small, big = np.minimum(sizes[at], sizes[row]), np.maximum(sizes[at], sizes[row])
+            at = at[100 * small >= similarity * big]
+            unequal = sig[at] != sig[row]
+            at = at[(unequal.sum(axis=1) <= DISTANCE) & (first_slots(unequal) == slot)]
+            if not len(at):
+                continue
+            mine = item[ends[row] - sizes[row] : ends[row]]
+            common = np.bincount(holders[ragged(first[mine], first[mine + 1] - first[mine])], minlength=len(sets))[at]
+            for other in at[100 * common >= similarity * (sizes[at] + sizes[row] - common)]:
+                if group[other] != group[row]:
+                    group[group == group[other]] = group[row]
+                    yield int(min(ids[row], ids[other])), int(max(ids[row], ids[other]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows arrive sorted by (key, low, high); a group is compared when its last row has come.
@@ -244,7 +257,7 @@ def _block_pairs(live: DataFrame, block_rows: int, similarity: int) -> DataFrame
         for batch in batches:
             if not batch.num_rows:
                 continue
-            for at in range(0, batch.num_rows, block_rows):  # small steps: rows are about a kilobyte
+            for at in range(0, batch.num_rows, block_rows):  # small steps: rows hold whole sets
                 part = batch.slice(at, block_rows)
                 rest, done = _split_last(part if rest is None else pa.concat_batches([rest, part]))
                 yield from _compared(done)
@@ -253,14 +266,14 @@ def _block_pairs(live: DataFrame, block_rows: int, similarity: int) -> DataFrame
     def _compared(batch: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
         if batch is None or not batch.num_rows:
             return
-        key, low, high, side, ids, comp = (np.asarray(batch.column(c)) for c in range(6))
-        sig = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-        long_sig = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(-1, LONG_SYMBOLS)
+        key, low, high, side, slot, ids, comp = (np.asarray(batch.column(c)) for c in range(7))
+        sig = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(8)]
         new = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
-        found = [np.zeros((0, 2), np.int64)]
+        found: list[tuple[int, int]] = []
         for x, y in zip([0, *new], [*new, len(key)], strict=True):
-            found += compare(ids[x:y], comp[x:y], side[x:y], sig[x:y], long_sig[x:y], low[x] != high[x])
-        pairs = np.unique(np.concatenate(found), axis=0)
+            found += compare(ids[x:y], comp[x:y], side[x:y], slot[x], sig[x:y], sets[x:y], low[x] != high[x])
+        pairs = np.array(found, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def _split_last(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
@@ -272,30 +285,34 @@ def _block_pairs(live: DataFrame, block_rows: int, similarity: int) -> DataFrame
         return batch.slice(cut), batch.slice(0, cut)
 
     order = ["key", "low", "high"]
-    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(task, "a long, b long").distinct()
+    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(task, "a long, b long")
 
 
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, similarity: int = SIMILARITY, doc_id: str = "doc_id", text: str = "text",
     block_rows: int = BLOCK_ROWS, star_rounds: int = STAR_ROUNDS,
 ) -> DataFrame:
-    """One row per document id: (doc_id, n_shingles, component_id); component_id is the smallest id reachable by links.
+    """One row per document: (doc_id, text_key, n_shingles, component_id, is_first).
 
-    Rows with a null id have a null class: they cannot be named. Rows with the same id share its class.
+    component_id is the smallest id reachable by links; ``is_first`` marks the document that comes first in its class, by id and
+    then ``text_key`` (exact repeats of it too). Rows with a null id are linked with nothing: they cannot be named, so their
+    class is null and they are first.
     """
     nameless = signatures(docs.filter(F.col(doc_id).isNull()), words, doc_id, text)
     docs = docs.filter(F.col(doc_id).isNotNull())
     signed = materialize(signatures(docs, words, doc_id, text))
     filled = signed.filter("n_shingles > 0")
-    folded = materialize(filled.groupBy("s1", "s2", "n_shingles").agg(F.min("id").alias("id"), F.min_by("sig", "id").alias("sig")))
-    nodes = folded.select("id", "n_shingles", "sig")
+    fold = ["s1", "s2", "n_shingles"]
+    folded = filled.groupBy(*fold).agg(F.min(F.struct("id", "text_key")).alias("first"), F.min("sig").alias("sig"))
+    folded = materialize(folded.withColumn("node", F.xxhash64(*fold)))
+    nodes = folded.select(F.col("node").alias("id"), "n_shingles", "sig", "first")
     keys = chunk_keys(nodes)
     shared = keys.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     live = materialize(keys.join(shared.select("key"), "key", "left_semi"))
     labels = nodes.select("id", F.col("id").alias("component"))
     links, tried = None, None
     for number in range(star_rounds):
-        live = live.select("key", "id").join(labels, "id")
+        live = live.select("key", "slot", "id").join(labels, "id")
         mixed = live.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
         live = materialize(live.join(mixed.select("key"), "key", "left_semi"))
         star = F.min_by(F.struct("id", "component"), F.xxhash64(F.lit(number), F.col("id")) if number else F.col("id")).alias("star")
@@ -312,19 +329,20 @@ def near_duplicates(
             break
         links = found if links is None else links.unionByName(found)
         labels = materialize(components(nodes.select("id"), links, []))
-    if links is not None or tried is not None:
-        live = live.select("key", "id").join(labels, "id")
-        mixed = live.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-        rest = materialize(live.join(mixed.select("key"), "key", "left_semi"))
-        sets = full_sets(docs, materialize(rest.select("id").distinct()), words, doc_id, text)
-        profile = materialize(long_signatures(sets).join(nodes.select("id", "sig"), "id"))
-        pairs = materialize(_block_pairs(rest.join(profile, "id"), block_rows, similarity).join(tried, ["a", "b"], "left_anti"))
-        found = confirmed(pairs, nodes, docs, words, similarity, doc_id, text)
-        if not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = materialize(components(nodes.select("id"), links, []))
-    classes = folded.join(labels, "id").select("s1", "s2", "n_shingles", "component")
-    out = signed.join(classes, ["s1", "s2", "n_shingles"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
-    rows = out.select(F.col("id").alias(doc_id), "n_shingles", component.alias("component_id"))
-    return rows.unionByName(nameless.select(F.col("id").alias(doc_id), "n_shingles", F.lit(None).cast("long").alias("component_id")))
+    live = live.select("key", "slot", "id").join(labels, "id")
+    mixed = live.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    rest = materialize(live.join(mixed.select("key"), "key", "left_semi"))
+    used = named(nodes.join(rest.select("id").distinct(), "id", "left_semi"))
+    sets = materialize(full_sets(docs, used, words, doc_id, text).withColumnRenamed("node", "id").join(nodes.select("id", "sig"), "id"))
+    found = materialize(_block_links(rest.join(sets, "id"), block_rows, similarity))
+    if not found.isEmpty():
+        links = found if links is None else links.unionByName(found)
+        labels = materialize(components(nodes.select("id"), links, []))
+    members = folded.join(labels.withColumnRenamed("id", "node"), "node")
+    heads = members.groupBy("component").agg(F.min("first").alias("head"))
+    classes = members.join(heads, "component").select(*fold, "head")
+    out = signed.join(classes, fold, "left")
+    own = F.struct("id", "text_key")
+    head = F.when(F.col("n_shingles") > 0, F.col("head")).otherwise(own)
+    rows = out.select(F.col("id").alias(doc_id), "text_key", "n_shingles", head["id"].alias("component_id"), (head == own).alias("is_first"))
+    return rows.unionByName(nameless.select(F.col("id").alias(doc_id), "text_key", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("is_first")))

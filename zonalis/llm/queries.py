@@ -65,7 +65,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of near duplicates over four-word shingles at similarity 0.8."""
     classes = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), words=4)
-    return classes.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return classes.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"), "is_first")
 
 
 @register("op3_decontaminate", decontaminate.CHECK_SQL)
