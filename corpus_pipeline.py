@@ -32,11 +32,11 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every class of near duplicates (five-word shingles, similarity 0.8)."""
-    classes = near_duplicates.near_duplicates(docs)
-    kept = classes.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
-    return named.unionByName(docs.filter("doc_id IS NULL"))  # without an id there is nothing to decide on
+    """The first document, by id and a hash of the text, of every class of near duplicates (five-word shingles, similarity 0.8)."""
+    firsts = near_duplicates.near_duplicates(docs).filter("is_first AND doc_id IS NOT NULL").select("doc_id", F.col("text_key").alias("__key"))
+    marked = docs.withColumn("__key", near_duplicates.text_key())
+    kept = marked.join(firsts.distinct(), ["doc_id", "__key"], "left_semi").dropDuplicates(["doc_id", "__key"])  # exact repeats of a row
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))  # without an id there is nothing to decide on
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
