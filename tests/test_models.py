@@ -180,3 +180,29 @@ def test_registered_queries_do_full_work(monkeypatch):
     assert [(args[4], given) for args, given in calls["gbt"]] == [(["square_id"], {})] * 2
     assert calls["sweep"] == [(("train",), {})]
     assert {"density_sweep", "microcluster_sweep", "compare_clusterings", "tune_clusterings", "compare_forecasts"} <= set(ALL)
+
+
+def test_forecast_steps_equal_plain_recursion_and_stay_bounded():
+    from zonalis.plans import kernels
+
+    rng = np.random.default_rng(8)
+    n, ar, ma, weights, steps = 10_000, [1, 3], [2], difference_weights(1), 12
+    frame = kernels.pd.DataFrame({
+        "key": np.arange(n), "beta": list(np.column_stack([rng.normal(0, 1, n), rng.uniform(-0.4, 0.4, (n, 3))])),
+        "w_tail": [rng.normal(0, 1, rng.integers(0, 5)).tolist() for _ in range(n)], "e_tail": [rng.normal(0, 1, 3).tolist() for _ in range(n)],
+        "y_tail": [rng.normal(0, 1, 2 if i else 0).tolist() for i in range(n)],
+    })
+    got = next(kernels.roll_forward([frame], ["key"], ar, ma, weights, steps))
+    assert len(got) == n * steps and got[got.key == 0].forecast.isna().all()
+    for key in range(1, 60):
+        row = frame.iloc[key]
+        w, e, y, want = list(row.w_tail), list(row.e_tail), list(row.y_tail), []
+        for _ in range(steps):
+            value = row.beta[0] + sum(b * w[-k] for b, k in zip(row.beta[1:], ar) if k <= len(w)) + (row.beta[3] * e[-2] if len(e) > 1 else 0)
+            w.append(value)
+            e.append(0.0)
+            y.append(y[-1] + value)
+            want.append(y[-1])
+        assert got[got.key == key].forecast.astype(float).tolist() == pytest.approx(want)
+    wild = kernels.stationary(np.array([[0.0, 1.5, 0.0], [1.0, 0.5, 0.2]]), [1, 2])
+    assert wild[0, 1] == pytest.approx(0.999) and wild[1].tolist() == [1.0, 0.5, 0.2]

@@ -103,7 +103,7 @@ def compare_forecasts(
         return materialize(out)
 
     with ThreadPoolExecutor(len(targets)) as pool:
-        parts = list(pool.map(inheritable_thread_target(of_target), targets))
+        parts = list(pool.map(inheritable_thread_target(train.sparkSession)(of_target), targets))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

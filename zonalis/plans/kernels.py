@@ -283,6 +283,24 @@ def _history(column, depth: int) -> np.ndarray:
     return out
 
 
+def stationary(beta: np.ndarray, ar: list[int], radius: float = 0.999) -> np.ndarray:
+    """Coefficients whose recursion would grow without bound (a root outside the unit circle) are shrunk, lag k by the k-th
+    power of one factor per series, so that the largest root has ``radius``; the others stay."""
+    if not ar or not len(beta):
+        return beta
+    depth = max(ar)
+    companion = np.zeros((len(beta), depth, depth))
+    companion[:, np.arange(1, depth), np.arange(depth - 1)] = 1.0
+    for i, k in enumerate(ar):
+        companion[:, 0, k - 1] = np.nan_to_num(beta[:, 1 + i])
+    largest = np.abs(np.linalg.eigvals(companion)).max(axis=1)
+    factor = np.where(largest > 1 + 1e-9, radius / np.maximum(largest, 1.0), 1.0)
+    out = beta.copy()
+    for i, k in enumerate(ar):
+        out[:, 1 + i] *= factor**k
+    return out
+
+
 def roll_forward(batches, keys: list[str], ar: list[int], ma: list[int], weights: dict[int, float], steps: int):
     """Recursive forecast of all series of a batch at once: a vector over the series per step, differenced values ahead and then
     back to the original scale. Lags before the start of a series count as 0; without the values that differencing needs the
@@ -295,7 +313,7 @@ def roll_forward(batches, keys: list[str], ar: list[int], ma: list[int], weights
             continue
         w, e, y = (np.concatenate([_history(batch[c], depth), np.zeros((n, steps))], axis=1) for c in ("w_tail", "e_tail", "y_tail"))
         w[:, :depth], e[:, :depth] = np.nan_to_num(w[:, :depth]), np.nan_to_num(e[:, :depth])
-        beta = np.array(batch["beta"].tolist(), dtype=float)
+        beta = stationary(np.array(batch["beta"].tolist(), dtype=float), ar)
         for at in range(depth, depth + steps):
             value = beta[:, 0].copy()
             for i, k in enumerate(ar):
