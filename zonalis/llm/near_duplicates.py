@@ -12,9 +12,10 @@ Equal sets are folded first. A bucket (key) is worked off without listing its pa
 1. every member is compared with one member of the bucket (the star), one row per member; links merge components;
 2. that is repeated with other stars, ``STAR_ROUNDS`` times in all;
 3. what is left are buckets with members of different components. They are cut into blocks of bounded size, and each
-   pair of blocks is compared in one task, which holds the full sets: a pair is looked at in the first bucket that it
-   shares, if it is within the distance and not yet in one component, and is confirmed and united at once. Only links
-   that unite something leave the task, fewer than it has rows.
+   pair of blocks is compared in one task. A pair counts in the first bucket that it shares, if it is within the distance
+   and not yet in one component. A first pass over signatures names the members that have such a pair, a second one holds
+   their full sets, confirms the pairs and unites them at once: only links that unite something leave the task, fewer
+   than it has rows.
 
 Every link is confirmed on the full sets. Null and empty texts have an empty set and are linked with nothing. Rows that share
 an id are told apart by a hash of the text; other columns are never read.
@@ -212,80 +213,113 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, s
     return materialize(filled.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long"))
 
 
-def _block_links(live: DataFrame, block_rows: int, similarity: int) -> DataFrame:
-    """Links (a, b) between components of one bucket, confirmed on the full sets and united block by block.
+def _blocks_met(live: DataFrame, block_rows: int, size: Column) -> DataFrame:
+    """Rows of buckets as pairs of blocks: key, low, high, block and the columns of ``live``, sorted by (key, low, high).
 
-    ``live``: key, slot, id, component, sig, items. A bucket gets as many blocks as its rows and bytes ask for; a block
-    travels once per block that it meets, so no task holds more than two blocks.
+    A bucket gets as many blocks as its rows and bytes ask for; a block travels once per block that it meets, so no task holds
+    more than two blocks.
     """
-    counts = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum(F.octet_length("items")).alias("bytes"))
+    counts = live.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.sum(size).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("members") / F.lit(block_rows)), F.ceil(F.col("bytes") / F.lit(BLOCK_BYTES))).cast("int")
     placed = live.join(counts, "key").withColumn("n", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "slot", "id", "component", "sig", "items"
+        "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", *[c for c in live.columns if c != "key"]
     )
+    order = ["key", "low", "high"]
+    return met.repartition(*order).sortWithinPartitions(*order)
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one (key, low, high) at a time, from sorted rows."""
+    rest = None
+    for batch in batches:
+        for at in range(0, batch.num_rows, step):  # small steps: rows may hold whole sets
+            part = batch.slice(at, step)
+            rest = part if rest is None else pa.concat_batches([rest, part])
+            key, low, high = (np.asarray(rest.column(c)) for c in range(3))
+            new = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+            for x, y in zip([0, *new[:-1]], new, strict=False):
+                yield rest.slice(x, y - x)
+            rest = rest.slice(new[-1]) if len(new) else rest
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+class _Block:
+    """Members of two blocks of a bucket: who may be linked with whom by size, component and signature."""
+
+    def __init__(self, group: pa.RecordBatch, similarity: int):
+        low, high, self.side, slot, self.ids, component, self.sizes = (np.asarray(group.column(c)) for c in (1, 2, 3, 4, 5, 6, 7))
+        self.apart, self.slot, self.similarity = low[0] != high[0], slot[0], similarity
+        self.sig = _matrix(group.column(8))
+        names, self.group = np.unique(component, return_inverse=True)
+        self.mixed = len(names) > 1
+        self.largest = np.bincount(self.group).argmax()  # its members need no comparison with each other
+
+    def rows(self) -> np.ndarray:
+        return np.flatnonzero(self.group != self.largest) if self.mixed else np.zeros(0, np.int64)
+
+    def near(self, row: int) -> np.ndarray:
+        """Members of other components within the distance that meet ``row`` here first."""
+        at = np.flatnonzero((self.group != self.group[row]) & ((self.side != self.side[row]) if self.apart else True))
+        at = at[100 * np.minimum(self.sizes[at], self.sizes[row]) >= self.similarity * np.maximum(self.sizes[at], self.sizes[row])]
+        unequal = self.sig[at] != self.sig[row]
+        close = np.flatnonzero(unequal.sum(axis=1) <= DISTANCE)
+        return at[close][first_slots(unequal[close]) == self.slot]
+
+
+def _members_to_compare(live: DataFrame, block_rows: int, similarity: int) -> DataFrame:
+    """(key, id) of bucket members that the signatures let be linked with a member of another component."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _whole_groups(batches, 4 * block_rows):
+            block = _Block(group, similarity)
+            used = np.zeros(group.num_rows, bool)
+            for row in block.rows():
+                at = block.near(row)
+                used[at] = True
+                used[row] |= len(at) > 0
+            if used.any():
+                take = pa.array(np.flatnonzero(used))
+                yield pa.RecordBatch.from_arrays([group.column(0).take(take), group.column(5).take(take)], names=["key", "id"])
+
+    met = _blocks_met(live.select("key", "slot", "id", "component", "n_shingles", "sig"), block_rows, F.octet_length("sig"))
+    return met.mapInArrow(task, "key long, id long").distinct()
+
+
+def _block_links(live: DataFrame, block_rows: int, similarity: int) -> DataFrame:
+    """Links (a, b) between components of one bucket, confirmed on the full sets and united block by block.
+
+    ``live``: key, slot, id, component, n_shingles, sig, items.
+    """
 
-    def compare(ids, comp, side, slot, sig, sets, apart) -> Iterator[tuple[int, int]]:
-        names, group = np.unique(comp, return_inverse=True)
-        if len(names) < 2:
+    def links(group: pa.RecordBatch) -> Iterator[tuple[int, int]]:
+        block = _Block(group, similarity)
+        if not block.mixed:
             return
-        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column(9)]
         _, item = np.unique(np.concatenate(sets), return_inverse=True)
-        owner = np.repeat(np.arange(len(sets)), sizes)
         by = np.argsort(item, kind="stable")  # documents of each shingle
-        holders, first = owner[by], np.searchsorted(item[by], np.arange(item.max() + 2))
-        ends = np.cumsum(sizes)
-        largest = np.bincount(group).argmax()  # its members need no comparison with each other
-        for row in np.flatnonzero(group != largest):
-            at = np.flatnonzero((group != group[row]) & ((side != side[row]) if apart else True))
-            small, big = np.minimum(sizes[at], sizes[row]), np.maximum(sizes[at], sizes[row])
-            at = at[100 * small >= similarity * big]
-            unequal = sig[at] != sig[row]
-            at = at[(unequal.sum(axis=1) <= DISTANCE) & (first_slots(unequal) == slot)]
+        holders, first = np.repeat(np.arange(len(sets)), block.sizes)[by], np.searchsorted(item[by], np.arange(item.max() + 2))
+        ends = np.cumsum(block.sizes)
+        for row in block.rows():
+            at = block.near(row)
             if not len(at):
                 continue
-            mine = item[ends[row] - sizes[row] : ends[row]]
+            mine = item[ends[row] - block.sizes[row] : ends[row]]
             common = np.bincount(holders[ragged(first[mine], first[mine + 1] - first[mine])], minlength=len(sets))[at]
-            for other in at[100 * common >= similarity * (sizes[at] + sizes[row] - common)]:
-                if group[other] != group[row]:
-                    group[group == group[other]] = group[row]
-                    yield int(min(ids[row], ids[other])), int(max(ids[row], ids[other]))
+            for other in at[100 * common >= similarity * (block.sizes[at] + block.sizes[row] - common)]:
+                if block.group[other] != block.group[row]:
+                    block.group[block.group == block.group[other]] = block.group[row]
+                    yield int(min(block.ids[row], block.ids[other])), int(max(block.ids[row], block.ids[other]))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows arrive sorted by (key, low, high); a group is compared when its last row has come.
-        rest = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for at in range(0, batch.num_rows, block_rows):  # small steps: rows hold whole sets
-                part = batch.slice(at, block_rows)
-                rest, done = _split_last(part if rest is None else pa.concat_batches([rest, part]))
-                yield from _compared(done)
-        yield from _compared(rest)
-
-    def _compared(batch: pa.RecordBatch | None) -> Iterator[pa.RecordBatch]:
-        if batch is None or not batch.num_rows:
-            return
-        key, low, high, side, slot, ids, comp = (np.asarray(batch.column(c)) for c in range(7))
-        sig = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint16).reshape(-1, SYMBOLS)
-        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(8)]
-        new = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
-        found: list[tuple[int, int]] = []
-        for x, y in zip([0, *new], [*new, len(key)], strict=True):
-            found += compare(ids[x:y], comp[x:y], side[x:y], slot[x], sig[x:y], sets[x:y], low[x] != high[x])
-        pairs = np.array(found, np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
-    def _split_last(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, pa.RecordBatch]:
-        last = np.ones(batch.num_rows, bool)
-        for c in range(3):
-            column = np.asarray(batch.column(c))
-            last &= column == column[-1]
-        cut = int(np.flatnonzero(last)[0]) if batch.num_rows else 0
-        return batch.slice(cut), batch.slice(0, cut)
+        for group in _whole_groups(batches, block_rows):
+            pairs = np.array(list(links(group)), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
-    order = ["key", "low", "high"]
-    return met.repartition(*order).sortWithinPartitions(*order).mapInArrow(task, "a long, b long")
+    met = _blocks_met(live.select("key", "slot", "id", "component", "n_shingles", "sig", "items"), block_rows, F.octet_length("items"))
+    return met.mapInArrow(task, "a long, b long")
 
 
 def near_duplicates(
@@ -331,9 +365,11 @@ def near_duplicates(
         labels = materialize(components(nodes.select("id"), links, []))
     live = live.select("key", "slot", "id").join(labels, "id")
     mixed = live.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    rest = materialize(live.join(mixed.select("key"), "key", "left_semi"))
+    rest = live.join(mixed.select("key"), "key", "left_semi").join(nodes.select("id", "n_shingles", "sig"), "id")
+    rest = materialize(rest)
+    rest = materialize(rest.join(_members_to_compare(rest, block_rows, similarity), ["key", "id"]))
     used = named(nodes.join(rest.select("id").distinct(), "id", "left_semi"))
-    sets = materialize(full_sets(docs, used, words, doc_id, text).withColumnRenamed("node", "id").join(nodes.select("id", "sig"), "id"))
+    sets = full_sets(docs, used, words, doc_id, text).withColumnRenamed("node", "id")
     found = materialize(_block_links(rest.join(sets, "id"), block_rows, similarity))
     if not found.isEmpty():
         links = found if links is None else links.unionByName(found)
