@@ -252,6 +252,13 @@ def test_scores_of_many_settings_equal_single_ones(spark):
     assert got[0].silhouette == pytest.approx(brute_silhouette(x, given[0]).mean()) and got[1].silhouette is None and got[2].dbi is None
 
 
+def test_endless_radius_is_one_cluster(spark):
+    df = frame(spark, np.array([[0.0], [1.0], [50.0], [50.5]]))
+    got = {(r.setting, r.id): r.label for r in cl.dbscan_sweep(df, [(float("inf"), 5), (0.6, 2), (float("inf"), 4)]).collect()}
+    assert [got[0, i] for i in range(4)] == [-1] * 4 and [got[2, i] for i in range(4)] == [0] * 4
+    assert [got[1, i] for i in range(4)] == [-1, -1, 0, 0]
+
+
 def brute_silhouette(x, labels):
     d, out = distances(x), []
     for i in range(len(x)):
