@@ -12,7 +12,10 @@ found:
 3. Hits are extended: around a matched fingerprint all windows that hold it are hashed and joined to the windows of the
    items, which gives the exact places and the items.
 
-Null texts and texts without words have no windows and are never hit. Repeated item ids count once.
+Null texts and texts without words have no windows and are never hit. Documents are told apart by id and a hash of the text,
+so ids may be null or shared: every row has its own result, and rows equal in both get equal ones. Repeated item ids count
+once; items without an id count as one item that the list leaves out. Only the named columns are read, and other columns may
+have any names. A very long text stands alone in its slice; its words are hashed as flat arrays.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonalis.llm.near_duplicates import text_key
 from zonalis.llm.textblock import IS_ALNUM, Words, gram_hashes, mix, ragged, slices, within
 from zonalis.plans.materialize import fits_broadcast, materialize
 
@@ -90,34 +94,50 @@ def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
     ).distinct()
 
 
-def fingerprints(table: DataFrame, row_id: str, text: str, lengths: list[int], exact: bool) -> DataFrame:
-    """(id, n, at, print) for windows of n words; ``exact``: only texts that have windows of that length as items."""
+def document_key(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(id, text_key, text): what tells rows apart, and what is searched."""
+    return docs.select(F.col(doc_id).cast("long").alias("id"), text_key(text).alias("text_key"), F.col(text).alias("text"))
+
+
+def on_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on id, null or not, and text_key, which are kept once."""
+    other = right.withColumnsRenamed({"id": "__id", "text_key": "__text_key"})
+    return left.join(other, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__text_key")), how).drop("__id", "__text_key")
+
+
+def fingerprints(table: DataFrame, lengths: list[int], exact: bool) -> DataFrame:
+    """(id, text_key, n, at, print) of a table (id, text_key, text) for windows of n words; ``exact``: only texts that have
+    windows of that length as items."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            w = Words(piece.column(1), IS_ALNUM)
-            ids = np.asarray(piece.column(0))
+            w = Words(piece.column(2), IS_ALNUM)
             for n in lengths:
                 at, hashes = winnow(w, *_gram_sizes(n))
                 docs = w.doc_of(at)
                 if exact:
                     use = w.counts[docs] >= WINDOW if n == WINDOW else w.counts[docs] == n
                     at, hashes, docs = at[use], hashes[use], docs[use]
+                rows = pa.array(docs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[docs]), pa.array(np.full(len(docs), n, np.int32)), pa.array((at - w.word_offsets[docs]).astype(np.int32)), pa.array(_tag(hashes, n))],
-                    names=["id", "n", "at", "print"],
+                    [
+                        piece.column(0).take(rows), piece.column(1).take(rows), pa.array(np.full(len(docs), n, np.int32)),
+                        pa.array((at - w.word_offsets[docs]).astype(np.int32)), pa.array(_tag(hashes, n)),
+                    ],
+                    names=["id", "text_key", "n", "at", "print"],
                 )
 
-    return table.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(task, "id long, n int, at int, print long")
+    return table.mapInArrow(task, "id long, text_key long, n int, at int, print long")
 
 
 def _extend(table: DataFrame) -> DataFrame:
-    """(id, n_words, wins): per document the windows around its matched fingerprints as structs (n, at, window)."""
+    """(id, text_key, n_words, wins) of a table (id, text_key, text, marks): per document the windows around its matched
+    fingerprints as structs (n, at, window)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches):
-            w = Words(piece.column(1), IS_ALNUM)
-            marks = piece.column(2)
+            w = Words(piece.column(2), IS_ALNUM)
+            marks = piece.column(3)
             rows = np.repeat(np.arange(piece.num_rows), np.diff(np.asarray(marks.offsets)) if len(marks) else 0)
             flat = marks.flatten()
             ns, ats = np.asarray(flat.field(0)), np.asarray(flat.field(1))
@@ -145,43 +165,42 @@ def _extend(table: DataFrame) -> DataFrame:
                 [pa.array(rows_out[:, 1].astype(np.int32)), pa.array(rows_out[:, 2].astype(np.int32)), pa.array(tag)], names=["n", "at", "window"]
             )
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(w.counts.astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), wins)], names=["id", "n_words", "wins"]
+                [*piece.columns[:2], pa.array(w.counts.astype(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), wins)],
+                names=["id", "text_key", "n_words", "wins"],
             )
 
-    return table.mapInArrow(task, "id long, n_words long, wins array<struct<n: int, at: int, window: long>>")
+    return table.mapInArrow(task, "id long, text_key long, n_words long, wins array<struct<n: int, at: int, window: long>>")
 
 
 def contamination(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
     broadcast_limit: int = BROADCAST,
 ) -> tuple[DataFrame, DataFrame]:
-    """Per document (doc_id, n_words, n_hit, n_items, items, contaminated), and the hits (id, n, at, item).
+    """Per document row (doc_id, text_key, n_words, n_hit, n_items, items, contaminated), and the hits (id, text_key, n, at, item).
 
     ``items`` of the first table is the sorted array of item ids, which are compared as strings.
     """
-    named = items.filter(F.col(item_id).isNotNull())
-    windows = materialize(item_windows(named, item_id, item_text))
+    windows = materialize(item_windows(items, item_id, item_text))
     lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most WINDOW values
-    numbered = named.select(F.xxhash64(F.col(item_id).cast("string")).alias("id"), F.col(item_text).alias("text"))
-    tests = materialize(fingerprints(numbered, "id", "text", lengths, True).select("print").distinct())
+    tests = materialize(fingerprints(document_key(items.select(F.lit(None).alias("id"), F.col(item_text).alias("text")), "id", "text"), lengths, True).select("print").distinct())
     small = fits_broadcast(tests, broadcast_limit)
-    train = fingerprints(docs.filter(F.col(doc_id).isNotNull()), doc_id, text, lengths, False)
-    met = train.join(F.broadcast(tests) if small else tests, "print", "left_semi")
-    marks = materialize(met.select("id", "n", "at").distinct().groupBy("id").agg(F.collect_list(F.struct("n", "at")).alias("marks")))
-    whole = docs.filter(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    marked = whole.join(F.broadcast(marks) if fits_broadcast(marks, broadcast_limit) else marks, "id", "left")
+    key = ["id", "text_key"]
+    whole = document_key(docs, doc_id, text)
+    met = fingerprints(whole, lengths, False).join(F.broadcast(tests) if small else tests, "print", "left_semi")
+    marks = materialize(met.select(*key, "n", "at").distinct().groupBy(*key).agg(F.collect_list(F.struct("n", "at")).alias("marks")))
+    marked = on_key(whole, F.broadcast(marks) if fits_broadcast(marks, broadcast_limit) else marks, "left")
     empty = F.array().cast("array<struct<n: int, at: int>>")
-    extended = materialize(_extend(marked.select("id", "text", F.coalesce("marks", empty).alias("marks"))))
-    places = extended.select("id", F.explode("wins").alias("w")).select("id", "w.n", "w.at", "w.window")
+    extended = materialize(_extend(marked.select(*key, "text", F.coalesce("marks", empty).alias("marks"))))
+    places = extended.select(*key, F.explode("wins").alias("w")).select(*key, "w.n", "w.at", "w.window")
     known = F.broadcast(windows) if fits_broadcast(windows, broadcast_limit) else windows
-    hits = materialize(places.join(known, ["n", "window"]).select("id", "n", "at", "item"))
+    hits = materialize(places.join(known, ["n", "window"]).select(*key, "n", "at", "item").distinct())
     covered = F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1))
-    words = hits.select("id", "n", "at").distinct().select("id", covered.alias("word")).distinct().groupBy("id").agg(F.count(F.lit(1)).alias("n_hit"))
-    found = hits.select("id", "item").distinct().groupBy("id").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    out = extended.select("id", "n_words").join(words, "id", "left").join(found, "id", "left")
+    words = hits.select(*key, "n", "at").distinct().select(*key, covered.alias("word")).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_hit"))
+    found = hits.select(*key, "item").distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("n_items"), F.sort_array(F.collect_list("item")).alias("items"))
+    out = on_key(on_key(extended.select(*key, "n_words"), words, "left"), found, "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     report = out.select(
-        F.col("id").alias(doc_id), "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.col("id").alias(doc_id), "text_key", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         ((n_hit > 0) & (SHARE * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
