@@ -8,7 +8,9 @@ digit. Whole cells of the text hash are preferred, so equal texts are parted onl
 size otherwise. Then rows are exchanged once, by shard and key cell, and numbered.
 
 Driver work is bounded by shards and probes: at most 4,096 counts per open splitter and round. A null text has no bytes
-and is one byte in size. Null ids and repeated rows are kept; ties are ordered by id, then text hash.
+and is one byte in size. Null ids and repeated rows are kept; ties are ordered by id, then text hash. Extra columns are carried
+along; columns of the input named like the results (size, text_crc32, shard, slot) are replaced by them, and names that begin
+with two underscores are the operator's own. A very long text is hashed and measured, never cut; an empty table has no shards.
 """
 
 from __future__ import annotations
@@ -86,15 +88,15 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, d
     number = sum((F.when(F.col("__key") >= s, 1).otherwise(0) for s in starts), F.lit(0)).cast("int")
     # Cells of about equal rows within shards: a heavy cell is cut by its next digit.
     mean = max(1, (keys.count() >> DIGIT) * HEAVY)
-    heavy1 = keys.groupBy(_cell(1).alias("h1")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > mean).select("h1", F.lit(True).alias("is1"))
-    heavy2 = keys.join(F.broadcast(heavy1), _cell(1) == F.col("h1"), "left_semi").groupBy(_cell(2).alias("h2")).agg(F.count(F.lit(1)).alias("n"))
-    heavy2 = heavy2.filter(F.col("n") > mean).select("h2", F.lit(True).alias("is2"))
+    heavy1 = keys.groupBy(_cell(1).alias("__h1")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > mean).select("__h1", F.lit(True).alias("__is1"))
+    heavy2 = keys.join(F.broadcast(heavy1), _cell(1) == F.col("__h1"), "left_semi").groupBy(_cell(2).alias("__h2")).agg(F.count(F.lit(1)).alias("n"))
+    heavy2 = heavy2.filter(F.col("n") > mean).select("__h2", F.lit(True).alias("__is2"))
 
     def celled(df: DataFrame) -> DataFrame:
         # At most 4096 / HEAVY cells of either level can be heavy, so both lists are bounded.
-        out = df.join(F.broadcast(heavy1), _cell(1) == F.col("h1"), "left").join(F.broadcast(heavy2), _cell(2) == F.col("h2"), "left")
-        cell = F.when(F.col("is2"), F.col("__key")).when(F.col("is1"), F.shiftleft(_cell(2), DIGIT)).otherwise(F.shiftleft(_cell(1), 2 * DIGIT))
-        return out.withColumns({"shard": number, "__cell": cell}).drop("h1", "is1", "h2", "is2")
+        out = df.join(F.broadcast(heavy1), _cell(1) == F.col("__h1"), "left").join(F.broadcast(heavy2), _cell(2) == F.col("__h2"), "left")
+        cell = F.when(F.col("__is2"), F.col("__key")).when(F.col("__is1"), F.shiftleft(_cell(2), DIGIT)).otherwise(F.shiftleft(_cell(1), 2 * DIGIT))
+        return out.withColumns({"shard": number, "__cell": cell}).drop("__h1", "__is1", "__h2", "__is2")
 
     counts = celled(keys).groupBy("shard", "__cell").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1))
