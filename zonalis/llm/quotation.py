@@ -7,11 +7,13 @@ by paragraph: a passage is linked to the earlier message of its conversation tha
 one when several do. A message answers the message that its level-1 passages link to; without such a link it answers the
 message before it. The result lists messages in reply order (parents before children, siblings by turn), without quotes.
 
-Joins are on (conversation, hash), so a phrase that very many conversations share is spread by conversation. A
-conversation is one row of messages only in its reply path; long conversations are ordered by joins, not in a task.
+Passages are met per (conversation, hash, passage), in one order of what is quoted and what is said, so a phrase that very
+many messages quote and say costs its rows and not their pairs. Everything ordered within a conversation (the message
+before, numbers, reply order) is cut into slices, so a conversation of any length is spread over tasks.
 
 Null texts are empty messages. Null roles stay null. Repeated (conversation, turn) rows are told apart by role and text,
-exact repeats are one message. Messages without a conversation or a turn are left out: they have no place.
+exact repeats are one message. Messages without a conversation or a turn are left out: they have no place. Only the named
+columns are read, and other columns may have any names. A very long message is one row, parsed where it stands.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.plans.materialize import materialize
+from zonalis.plans.slices import Slices
 
 SPACES = r"[\x20\x09-\x0D]+"
 MARKS = r"^[\x20\x09]*(?:>[\x20\x09]*)+"
@@ -70,11 +73,14 @@ def _paragraphs(rows: DataFrame, body: str) -> DataFrame:
 def link(parsed: DataFrame) -> DataFrame:
     """(conv, turn, part, level, first, to_turn, to_part): each passage with the latest earlier message that says it."""
     quoted = _paragraphs(passages(parsed), "body").select("conv", "turn", "part", "level", "first", "h", "passage")
-    said = _paragraphs(parsed.select("conv", "turn", "part", "own"), "own").select(
-        "conv", F.col("turn").alias("to_turn"), F.col("part").alias("to_part"), "h", F.col("passage").alias("said")
-    )
-    met = quoted.join(said, ["conv", "h"]).filter((F.col("passage") == F.col("said")) & (F.col("to_turn") < F.col("turn")))
-    return met.groupBy("conv", "turn", "part", "level", "first").agg(F.max(F.struct("to_turn", "to_part")).alias("to")).select(
+    key = ["conv", "h", "passage"]
+    said = _paragraphs(parsed.select("conv", "turn", "part", "own"), "own").select("conv", "turn", "part", "h", "passage")
+    said = said.join(quoted.select(*key).distinct(), key, "left_semi")
+    # One order per passage: at equal turns quotes come first, so what was said last before a quote is from an earlier turn.
+    both = quoted.withColumn("order", F.col("turn") * 2).unionByName(said.withColumn("order", F.col("turn") * 2 + 1), allowMissingColumns=True)
+    both = both.withColumn("to", F.when(F.col("order") % 2 != 0, F.struct(F.col("turn").alias("to_turn"), F.col("part").alias("to_part"))))
+    filled = Slices(both, key, ["order", "part"]).fill(["to"]).filter((F.col("order") % 2 == 0) & F.col("to").isNotNull())
+    return filled.groupBy("conv", "turn", "part", "level", "first").agg(F.max("to").alias("to")).select(
         "conv", "turn", "part", "level", "first", "to.to_turn", "to.to_part"
     )
 
@@ -91,12 +97,12 @@ def conversations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn"
     counts = passages(parsed).groupBy("conv", "turn", "part").agg(F.count(F.lit(1)).alias("n_quotes"))
     linked = links.groupBy("conv", "turn", "part").agg(F.count(F.lit(1)).alias("n_linked"))
     direct = links.filter("level = 1").groupBy("conv", "turn", "part").agg(F.max(F.struct("to_turn", "to_part")).alias("to"))
-    ordered = Window.partitionBy("conv").orderBy("turn", "part")
     key = ["conv", "turn", "part"]
     rows = parsed.select(*key, "role", F.col("own").alias("text")).join(counts, key, "left").join(linked, key, "left").join(direct, key, "left")
-    before = F.lag(F.struct(F.col("turn").alias("to_turn"), F.col("part").alias("to_part"))).over(ordered)
-    rows = rows.withColumn("parent", F.coalesce("to", before)).drop("to")
-    rows = materialize(rows.withColumns({"node": F.struct("turn", "part"), "number": F.row_number().over(ordered)}))
+    here = F.struct(F.col("turn").alias("to_turn"), F.col("part").alias("to_part"))
+    rows = Slices(rows, ["conv"], ["turn", "part"]).lags({"before": (here, 1)})
+    rows = rows.withColumn("parent", F.coalesce("to", "before")).drop("to", "before")
+    rows = materialize(rows.withColumn("node", F.struct("turn", "part")))
     # (node, up, steps): up is an ancestor `steps` above; doubled until every pointer has reached a first message.
     jumps = rows.select("conv", "node", F.struct(F.col("parent.to_turn").alias("turn"), F.col("parent.to_part").alias("part")).alias("up"), F.col("parent").isNotNull().cast("long").alias("steps"))
     jumps = jumps.withColumn("up", F.when(F.col("steps") > 0, F.col("up")))
@@ -112,7 +118,7 @@ def conversations(messages: DataFrame, conv: str = "conv_id", turn: str = "turn"
         F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.col("parent.to_turn").alias("parent_turn"),
         F.col("parent.to_part").alias("parent_part"), "depth",
     )
-    return out.withColumn("position", F.row_number().over(Window.partitionBy(conv).orderBy("depth", "turn", "part")).cast("long"))
+    return Slices(materialize(out), [conv], ["depth", "turn", "part"]).numbered("position")
 
 
 #: The query over ``conversations`` in DuckDB.
