@@ -147,7 +147,7 @@ def contamination_by_force(texts, items):
         words = ALNUM.findall((text or "").encode().translate(LOWER))
         n = min(13, len(words))
         for i in range(len(words) - n + 1) if n else ():
-            windows.setdefault(tuple(words[i : i + n]), set()).add(str(item))
+            windows.setdefault(tuple(words[i : i + n]), set()).add(item)
     out = {}
     for name, text in texts:
         words = ALNUM.findall(text.translate(LOWER))
@@ -157,7 +157,7 @@ def contamination_by_force(texts, items):
                 if tuple(words[i : i + n]) in windows:
                     hit |= set(range(i, i + n))
                     found |= windows[tuple(words[i : i + n])]
-        out[name] = (len(words), len(hit), sorted(found))
+        out[name] = (len(words), len(hit), len(found), sorted(str(f) for f in found if f is not None))
     return out
 
 
@@ -166,9 +166,24 @@ def test_decontamination_by_force(spark, docs, limit):
     items = [(1, prose(5, 13)), (2, prose(1, 120)[:300]), (3, "ein Wort"), (4, None), (5, ""), (6, "tick tick"), (7, "漢字"), (8, prose(90, 40)), (None, "x")]
     tests = spark.createDataFrame(items, "item_id long, text string")
     report, hits = decontaminate.contamination(docs, tests, broadcast_limit=limit)
-    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"]) for r in report.collect()}
-    assert got == contamination_by_force(texts_of(docs), items[:-1])
-    assert hits.columns == ["id", "n", "at", "item"]
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items"]) for r in report.collect()}
+    assert got == contamination_by_force(texts_of(docs), items)
+    assert hits.columns == ["id", "text_key", "n", "at", "item"]
+
+
+@pytest.mark.parametrize("limit", [16 << 20, 0])
+def test_decontamination_tells_rows_apart(spark, limit):
+    bench = prose(5, 13)
+    texts = [(1, bench), (1, prose(200, 10)), (1, bench), (2, f"{prose(300, 40)} {bench}"), (None, f"{prose(400, 400)} {bench}"), (None, None), (None, prose(500, 20)), (3, f"{prose(600, 20_000)} {bench}")]
+    table = spark.createDataFrame(texts, "doc_id long, text string").withColumns({"id": F.lit("clash"), "n": F.lit(1), "text_key": F.lit("clash"), "marks": F.lit(0)})
+    items = spark.createDataFrame([(9, bench), (None, bench)], "item_id long, text string")
+    report, _ = decontaminate.contamination(table, items, broadcast_limit=limit)
+    got = Counter((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], tuple(r["items"]), r["contaminated"]) for r in report.collect())
+    found = (13, 2, ("9",))
+    assert got == Counter([
+        (1, 13, *found, True), (1, 10, 0, 0, (), False), (1, 13, *found, True), (2, 53, *found, True), (None, 413, *found, False),
+        (None, 0, 0, 0, (), False), (None, 20, 0, 0, (), False), (3, 20_013, *found, False),
+    ])
 
 
 def test_decontamination_of_nothing(docs, empty, spark):
@@ -275,6 +290,28 @@ def test_shards_are_even_and_gapless(spark, docs, empty):
     assert sharding.shard(empty).count() == 0
 
 
+def test_shards_lie_like_a_plain_sort(spark):
+    """Splitters stand where the sorted rows' running bytes come nearest to the ideal places, within the tolerance."""
+    table = spark.range(3000).selectExpr("id AS doc_id", "repeat(concat('w', id), 1 + CAST(id % 25 AS INT)) AS text").unionByName(
+        spark.createDataFrame([(None, None), (None, ""), (7, "x" * 300_000)], "doc_id long, text string")
+    )
+    clashing = table.withColumns({c: F.lit(c) for c in ("h1", "is1", "h2", "is2", "n", "cell", "size", "slot", "shard", "bytes")})
+    got = sharding.shard(clashing, 5).select("doc_id", "size", "shard", "slot", "h1", "is1", "cell", "bytes").collect()
+    assert len(got) == 3003 and all((r["h1"], r["is1"], r["cell"], r["bytes"]) == ("h1", "is1", "cell", "bytes") for r in got)
+    rows = sorted((r["__key"], r["size"]) for r in sharding.keyed(table, "doc_id", "text").select("__key", "size").collect())
+    below, edges = 0, {0}
+    for i, (key, size) in enumerate(rows):
+        if i and key != rows[i - 1][0]:
+            edges.add(below)
+        below += size
+    total, (keys, bytes_below) = below, sharding.splitters(sharding.keyed(table, "doc_id", "text").select("__key", "size"), 5)
+    for i, (key, position) in enumerate(zip(keys, bytes_below, strict=True), 1):
+        goal = total * i / 5
+        assert position == sum(size for k, size in rows if k < key)
+        nearest = min(abs(e - goal) for e in edges | {total})
+        assert abs(position - goal) <= nearest + sharding.TOLERANCE * total / 5
+
+
 def removal_by_force(texts, length):
     seen = Counter(t[i : i + length] for _, t in texts for i in range(len(t) - length + 1))
     out = []
@@ -407,3 +444,38 @@ def test_quotes_are_linked_and_removed(spark):
     assert [t for _, t in sorted((r["position"], r["turn"]) for k, r in got.items() if k[0] == 1)] == [0, 1, 2, 3, 4]
     assert (got[2, 0]["text"], got[2, 0]["n_quotes"], got[2, 0]["n_linked"], got[2, 0]["depth"]) == ("", 1, 0, 0)
     assert quotation.conversations(table.limit(0)).count() == 0
+
+
+def links_by_force(rows):
+    said, out = {}, {}
+    for conv, turn, text in sorted(rows):
+        lines = text.split("\n")
+        quoted = [x[1:].strip().lower() for x in lines if x.startswith(">")]
+        earlier = [t for q in quoted for t in said.get((conv, q), []) if t < turn]
+        if quoted:
+            out[conv, turn] = max(earlier, default=None)
+        own = [x.lower() for x in lines if not x.startswith(">")]
+        for piece in {*own, " ".join(own)}:
+            said.setdefault((conv, piece), []).append(turn)
+    return out
+
+
+@pytest.mark.parametrize("rows_per_slice", [1_000_000, 20])
+def test_quotes_of_a_much_repeated_passage(spark, monkeypatch, rows_per_slice):
+    from zonalis.plans import slices
+
+    monkeypatch.setattr(slices.slice_width, "__defaults__", (rows_per_slice,))
+    monkeypatch.setattr(slices, "DAY_SECONDS", 100)
+    r = random.Random(3)
+    rows = [(1, t, r.choice(["same words", "> Same words\nyes", "> yes\nno", f"own {t}", f"> own {t // 2}\nsame words"])) for t in range(400)]
+    rows += [(2, t, r.choice(["same words", "> same words\nyes"])) for t in range(30)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, text string").withColumn("role", F.lit("user"))
+    got = {(x["conv_id"], x["turn"]): x for x in quotation.conversations(table).collect()}
+    assert len(got) == len(rows)
+    for key, parent in links_by_force(rows).items():
+        assert got[key]["n_linked"] == (parent is not None)
+        assert got[key]["parent_turn"] == (parent if parent is not None else key[1] - 1 if key[1] else None)
+    for conv in (1, 2):
+        mine = sorted((x["depth"], x["turn"], x["position"]) for x in got.values() if x["conv_id"] == conv)
+        assert [p for _, _, p in mine] == list(range(1, len(mine) + 1))
+        assert all(d == (0 if got[conv, t]["parent_turn"] is None else got[conv, got[conv, t]["parent_turn"]]["depth"] + 1) for d, t, _ in mine)
