@@ -42,8 +42,9 @@ def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark."""
     report, _ = decontaminate.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    dirty = report.filter("contaminated").select("doc_id")
-    return docs.join(dirty, "doc_id", "left_anti").select(docs.columns)
+    dirty = report.filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (near_duplicates.text_key() == F.col("__key"))
+    return docs.join(dirty, same, "left_anti").select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
