@@ -89,14 +89,16 @@ def calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id", text: str = "text", rows: int = SAMPLE_ROWS) -> Scorer:
     """A scorer from the labels (0 or 1) of some documents. The sample is drawn from the labels; texts are not shuffled."""
     order = F.xxhash64(F.lit(SEED), F.col(doc_id))
+    narrow = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.length("text") > 0)
     known = labels.filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).alias("y"), order.alias("o"))
     shares = {int(r[0]): int(r[1]) for r in known.groupBy("y").count().collect()}
     drawn = [known.filter(F.col("y") == v).orderBy("o", "id").limit(2 * rows) for v in (0, 1)]
     chosen = F.broadcast(drawn[0].unionByName(drawn[1]))  # at most 4 * rows short rows
-    body = F.col(text)
-    place = F.lit(1) + F.pmod(F.xxhash64(F.lit(SEED + 1), F.col(doc_id)), F.greatest(F.length(body) - PIECE + 1, F.lit(1))).cast("int")
-    texts = docs.filter(F.length(body) > 0).join(chosen, F.col(doc_id) == F.col("id"))
-    named = texts.select("y", "o", "id", F.xxhash64(body).alias("x"), F.substr(body, place, F.lit(PIECE)).alias("t"))
+    body = F.col("text")
+    place = F.lit(1) + F.pmod(F.xxhash64(F.lit(SEED + 1), F.col("id")), F.greatest(F.length(body) - PIECE + 1, F.lit(1))).cast("int")
+    # One text per drawn label, whatever number of documents share its id.
+    one = F.min(F.struct(F.xxhash64(body).alias("x"), F.substr(body, place, F.lit(PIECE)).alias("t"))).alias("one")
+    named = narrow.join(chosen, "id").groupBy("y", "o", "id").agg(one).select("y", "o", "id", "one.x", "one.t")
     samples: dict[int, list[bytes]] = {0: [], 1: []}
     calibrating = []  # every second text of each label; the others make the dictionaries
     for y, _, name, x, t in sorted(named.collect()):
@@ -111,8 +113,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, doc_id: str = "doc_id",
     scorer.bad, scorer.good = (zstandard.train_dictionary(DICTIONARY_BYTES, samples[v][::2]).as_bytes() for v in (0, 1))
     kind = dict(docs.dtypes)[doc_id]
     second = docs.sparkSession.createDataFrame(sorted(set(calibrating)), f"id {kind}, x long")
-    whole = docs.filter(F.length(body) > 0).join(F.broadcast(second), (F.col(doc_id) == F.col("id")) & (F.xxhash64(body) == F.col("x")))
-    measured = score(whole.select("id", F.col(text).alias("text")), scorer, "id").join(F.broadcast(chosen), "id")
+    whole = narrow.withColumn("x", F.xxhash64(body)).join(F.broadcast(second), ["id", "x"], "left_semi").dropDuplicates(["id", "x"])
+    measured = score(whole.select("id", "text"), scorer, "id").join(F.broadcast(chosen), "id")
     sizes = measured.select("y", "n_bytes", "good_size", "bad_size").orderBy("y", "n_bytes", "good_size", "bad_size").toPandas().to_numpy(float)
     y = sizes[:, 0]
     weight = np.where(y == 1, shares[1] / max((y == 1).sum(), 1), shares[0] / max((y == 0).sum(), 1))
