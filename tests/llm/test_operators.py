@@ -378,6 +378,28 @@ def test_compression_is_calibrated_on_whole_texts(spark, monkeypatch):
     assert lengths.max() > 2 * compression_quality.PIECE and {round(x) for x in lengths} <= whole
 
 
+def test_compression_scores_by_force(spark):
+    """Ids shared by many documents, clashing columns; scores equal those of the plain sizes under both dictionaries."""
+    import zstandard
+
+    rows = [(n % 150, prose(7 * n % 300, 60) if n % 2 else " ".join(f"zq{(n * k) % 97}" for k in range(70))) for n in range(300)]
+    rows += [(1, f"again {n} {prose(n, 40)}") for n in range(200)] + [(1, rows[1][1])] * 50 + [(None, None), (None, ""), (5, prose(3, 3000))]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit(c) for c in ("id", "y", "o", "x", "t", "one")})
+    labels = spark.createDataFrame([(n, n % 2) for n in range(150)], "doc_id long, quality int")
+    scorer = compression_quality.fit(table, labels, "quality")
+    assert scorer.weights is not None
+    plain = [zstandard.ZstdCompressor(level=compression_quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_checksum=False, write_dict_id=False) for d in (scorer.good, scorer.bad)]
+    expected = []
+    for name, text in rows:
+        body = (text or "").encode()
+        pieces = [body[i : i + compression_quality.PIECE] for i in range(0, len(body), compression_quality.PIECE)]
+        sizes = [len(body), *(sum(len(c.compress(p)) for p in pieces) for c in plain)]
+        value = float(compression_quality.Scorer.features(np.array([sizes], float))[0] @ scorer.weights)
+        expected.append((-1 if name is None else name, *sizes, round(1 / (1 + np.exp(-np.clip(value, -30, 30))), 9)))
+    got = [(-1 if r["doc_id"] is None else r["doc_id"], r["n_bytes"], r["good_size"], r["bad_size"], round(r["score"], 9)) for r in compression_quality.score(table, scorer).collect()]
+    assert sorted(got) == sorted(expected)
+
+
 def test_context_mixing_counts_and_leaks_nothing(spark, docs, empty):
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1
     got = {r["doc_id"]: r for r in context_mixing.score_texts(docs, learn, kind="lang").collect()}
