@@ -10,6 +10,7 @@ from zonalis.operators import forecasting as fc
 from zonalis.operators import ordering as o
 from zonalis.operators import rankings as k
 from zonalis.operators.windows import difference_weights
+from zonalis.plans import preparation
 
 
 def series(spark, values, key="a", start=0):
@@ -85,6 +86,60 @@ def test_window_regressor_and_pick(spark):
     assert best.param == "lookback=6"
 
 
+def test_window_predictions_equal_plain_least_squares(spark):
+    rng = np.random.default_rng(8)
+    y = np.cumsum(rng.normal(size=260))
+    z = 2 * np.roll(y, 1) + rng.normal(size=260)
+    df = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(y, z))], "at long, y double, z double")
+    out = fc.window_predictions(df.filter("at < 200"), df.filter("at >= 200"), [], ["at"], ["y", "z"], ["y", "z"], 3, ridge=0.0)
+    assert out.columns == ["target", "split", "at", "actual", "predicted", "residual"]
+    got = {(r.target, r.at): r for r in out.collect()}
+    assert len(got) == 2 * (29 + 57)  # 15 % of the 197 training windows, and the test windows
+    both = np.stack([y, z], 1)
+    for name, values in (("y", y), ("z", z)):
+        x = np.array([np.append(both[i - 3 : i].ravel(), 1.0) for i in range(3, 171)])
+        beta = np.linalg.lstsq(x, values[3:171], rcond=None)[0]
+        for i in [*range(171, 200), *range(203, 260)]:
+            r = got[name, i]
+            expected = float(np.append(both[i - 3 : i].ravel(), 1.0) @ beta)
+            assert (r.split, r.actual) == ("validation" if i < 200 else "test", pytest.approx(values[i]))
+            assert r.predicted == pytest.approx(expected, abs=1e-5) and r.residual == pytest.approx(values[i] - expected, abs=1e-5)
+    empty = fc.window_regressor(df.filter("at < 200"), df.filter("at >= 258"), [], ["at"], ["y"], ["y"], 3).collect()
+    assert sorted((r.split, r.mae is None) for r in empty) == [("test", True), ("validation", False)]
+
+
+def test_series_information_is_that_of_the_fit(spark):
+    values = [3.0]
+    rng = np.random.default_rng(9)
+    for e in rng.normal(size=300):
+        values.append(1 + 0.6 * values[-1] + float(e))
+    df = spark.createDataFrame(series(spark, values) + series(spark, range(60), "b"), SCHEMA)
+    got = {r.key: r for r in fc.series_information(df, ["key"], ["at"], "y", (1, 0, 0)).collect()}
+    x = np.stack([np.ones(300), values[:-1]], 1)
+    e = np.array(values[1:]) - x @ np.linalg.lstsq(x, np.array(values[1:]), rcond=None)[0]
+    r = got["a"]
+    assert (r.n, r.rmse, r.mae) == (300, pytest.approx(np.sqrt((e * e).mean())), pytest.approx(np.abs(e).mean()))
+    assert r.aic == pytest.approx(300 * np.log((e * e).mean()) + 2 * 3) and r.bic == pytest.approx(300 * np.log((e * e).mean()) + 3 * np.log(300))
+    assert got["b"].rmse == pytest.approx(0, abs=1e-6)
+
+
+def test_imputation_flow(spark):
+    """Medians by day key, then neighbours for latencies that are not in the columns of the medians."""
+    rows = [(i, "z", f"2024-01-{1 + i // 8:02d}", float(i % 5), None if i % 4 == 1 else float(2 * (i % 5)), None if i % 3 == 0 else float(i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "n long, square_id string, day_id string, svr1 double, svr2 double, upload_mbps double")
+    train, test, both, columns = preparation.impute_flow(df, columns=["upload_mbps"])
+    assert columns == ["upload_mbps"] and set(both.columns) == {*df.columns, "date_key"}
+    assert (train.count(), test.count(), both.count()) == (32, 8, 40)
+    got = {r.n: r for r in both.collect()}
+    for n, _, day, one, two, up in rows:
+        donors = sorted((abs(one - a), j, b) for j, _, _, a, b, _ in rows[:32] if b is not None)[:5]
+        assert got[n].svr2 == pytest.approx(two if two is not None else np.mean([b for *_, b in donors]))
+        day_values = [v for j, _, d, _, _, v in rows[:32] if d == day and v is not None] or [v for *_, v in rows[:32] if v is not None]
+        assert got[n].upload_mbps == pytest.approx(up if up is not None else np.median(day_values))
+    plain, _, _, chosen = preparation.impute_flow(df, "n", neighbours=None)
+    assert chosen == ["svr2", "upload_mbps"] and plain.filter("svr2 IS NULL").isEmpty()
+
+
 def test_trees_beat_the_mean(spark):
     rng = np.random.default_rng(6)
     rows = [(i, float(x), "ab"[i % 2], float(3 * x + (i % 2) * 5)) for i, x in enumerate(rng.uniform(0, 10, 400))]

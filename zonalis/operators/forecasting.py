@@ -198,37 +198,64 @@ def fit_information(df: DataFrame, keys: list[str], actual: str, residual: str,
     )
 
 
+def series_information(
+    df: DataFrame, keys: list[str], order: list[str], y: str, pdq: tuple[int, int, int] = (2, 1, 2),
+    seasonal: tuple[int, int, int] = (0, 0, 0), period: int = 24, width: int | None = None,
+) -> DataFrame:
+    """``fit_information`` of a fitted series model, per series: its own one-step errors on the rows it was fitted on.
+
+    Parameters are the constant, the coefficients and the variance of the innovations.
+    """
+    fit = fit_series(df, keys, order, y, pdq, seasonal, period, width)
+    return _public(fit_information(fit.rows, fit.keys, "w", "residual", len(fit.ar) + len(fit.ma) + 2))
+
+
 # --- windowed regressors --------------------------------------------------------------------------------------------------
 
 
-def window_regressor(
+def window_predictions(
     train: DataFrame, test: DataFrame, keys: list[str], order: list[str], features: list[str], targets: list[str], lookback: int = 5,
     estimator: str = "linear", scaling: str = "minmax", validation: float = 0.15, width: int | None = None, **options,
 ) -> DataFrame:
     """One step ahead from the previous ``lookback`` rows, one model per target.
 
-    Scaling is fitted on train; the tail of the training windows is the validation part; errors are on the original
-    scale. Returns (target, split, mae, mse, rmse, r2).
+    Scaling is fitted on train; the tail of the training windows is the validation part. Windows are built once, with the
+    labels of all targets, and stored. Returns (target, split, keys, order, actual, predicted, residual) on the original scale.
     """
     columns = list(dict.fromkeys([*features, *targets]))
     train, test = (df.withColumns({c: clean_non_finite(F.col(c).cast("double")) for c in columns}).na.drop(subset=columns) for df in (train, test))
     scaler = getattr(Scaler, scaling)(train, columns)
     width = width or slice_width(train, keys, order[0])
+    place = list(dict.fromkeys([*keys, *order]))
+
+    def windows(df: DataFrame) -> DataFrame:
+        ready = scaler.apply(df).select(*place, *[c for c in columns if c not in place], F.struct(*targets).alias("__labels"))
+        built = sequence_windows(ready, keys, order, features, lookback, "__labels", width)
+        return built.select(*place, array_to_vector(F.flatten("window")).alias("__f"), "label")
+
+    fitting = materialize(split_tail(windows(train), [], order, validation, width))
+    parts = {"validation": fitting.filter("is_tail"), "test": materialize(windows(test))}
     out = None
     for target in targets:
-        prepared = []
-        for df in (train, test):
-            windows = sequence_windows(scaler.apply(df).select(*keys, *order, *columns), keys, order, features, lookback, target, width)
-            prepared.append(windows.select(*keys, *order, array_to_vector(F.flatten("window")).alias("__f"), F.col("label").alias("__y")))
-        fitting = materialize(split_tail(prepared[0], [], order, validation, width))
-        model = _regressor(estimator, options).fit(fitting.filter(~F.col("is_tail")))
-        for name, part in (("validation", fitting.filter("is_tail")), ("test", prepared[1])):
-            scored = model.transform(part).select(
-                scaler.invert(F.col("__y"), target).alias("actual"), scaler.invert(F.col("prediction"), target).alias("predicted")
+        label = F.col("label")[target]
+        model = _regressor(estimator, options).fit(fitting.filter(~F.col("is_tail")).select("__f", label.alias("__y")))
+        for name, part in parts.items():
+            scored = model.transform(part.select(*place, "__f", label.alias("__y"))).select(
+                F.lit(target).alias("target"), F.lit(name).alias("split"), *place,
+                scaler.invert(F.col("__y"), target).alias("actual"), scaler.invert(F.col("prediction"), target).alias("predicted"),
             )
-            row = regression_metrics(scored, [], "actual", "predicted").select(F.lit(target).alias("target"), F.lit(name).alias("split"), "*")
-            out = row if out is None else out.unionByName(row)
-    return out
+            out = scored if out is None else out.unionByName(scored)
+    return residuals(out, "actual", "predicted")
+
+
+def window_regressor(
+    train: DataFrame, test: DataFrame, keys: list[str], order: list[str], features: list[str], targets: list[str], lookback: int = 5,
+    estimator: str = "linear", scaling: str = "minmax", validation: float = 0.15, width: int | None = None, **options,
+) -> DataFrame:
+    """Errors of ``window_predictions`` as (target, split, mae, mse, rmse, r2); null where a split has no windows."""
+    predicted = window_predictions(train, test, keys, order, features, targets, lookback, estimator, scaling, validation, width, **options)
+    cases = train.sparkSession.createDataFrame([(t, s) for t in targets for s in ("validation", "test")], "target string, split string")
+    return cases.join(regression_metrics(predicted, ["target", "split"], "actual", "predicted"), ["target", "split"], "left")
 
 
 def _regressor(kind: str, options: dict):

@@ -13,11 +13,11 @@ from zonalis.operators import windows as w
 from zonalis.operators.aggregates import hourly_resample
 from zonalis.plans import comparison, preparation
 from zonalis.plans.adapters import raw_text, read, telemetry
-from zonalis.queries.groups import splits
+from zonalis.queries.groups import MEDIANS, splits
 from zonalis.queries.registry import query, r6
 from zonalis.queries.results import results
 from zonalis.queries.scalars import RESULTS, num
-from zonalis.queries.space import vec
+from zonalis.queries.space import SVR, knn_column, vec
 from zonalis.session import shared_dir
 from zonalis.sources import readers, writers
 
@@ -167,6 +167,23 @@ def _(spark, sf):
     return r6(fit.coefficients.select(F.col("beta")[1].alias("slope"), F.col("beta")[0].alias("intercept")))
 
 
+ZONE_PAIRS = """SELECT square_id, ts, event_id, svr1 AS y, lag(svr1) OVER (PARTITION BY square_id ORDER BY ts, event_id) AS guess
+FROM telemetry WHERE square_id IS NOT NULL"""
+
+
+@query("series_information", """
+SELECT square_id, count(*) AS n, round(count(*) * ln(avg(e * e)) + 6, 6) AS aic, round(count(*) * ln(avg(e * e)) + 3 * ln(count(*)), 6) AS bic,
+  round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse FROM errors WHERE e IS NOT NULL GROUP BY square_id HAVING count(*) >= 10""",
+       ("telemetry",), {
+    "pairs": ZONE_PAIRS,
+    "fits": "SELECT square_id, regr_slope(y, guess) AS b, regr_intercept(y, guess) AS a FROM pairs GROUP BY square_id",
+    "errors": "SELECT square_id, y - a - b * guess AS e FROM pairs JOIN fits USING (square_id)",
+})
+def _(spark, sf):
+    df = telemetry(spark, sf).filter(F.col("square_id").isNotNull()).select("square_id", "event_id", "ts", "svr1")
+    return r6(fc.series_information(df, ["square_id"], ["ts", "event_id"], "svr1", (1, 0, 0)).filter("n >= 10"))
+
+
 @query("ar_forecast", """
 SELECT square_id, CAST(step AS INTEGER) AS step, round(y, 6) AS forecast FROM ahead WHERE step > 0""", ("telemetry",), {
     "pairs": """SELECT square_id, ts, event_id, svr1 AS y, lag(svr1) OVER (PARTITION BY square_id ORDER BY ts, event_id) AS guess,
@@ -222,6 +239,12 @@ def _(spark, sf):
     return fc.window_regressor(train, test, [], ["ts", "event_id"], ["svr1", "upload_mbps", "download_mbps", "hour"], ["svr1", "upload_mbps", "download_mbps"], lookback=5)
 
 
+@query("window_predictions")
+def _(spark, sf):
+    train, test = splits(spark, sf)
+    return fc.window_predictions(train, test, [], ["ts", "event_id"], ["svr1", "upload_mbps", "download_mbps", "hour"], ["svr1", "upload_mbps", "download_mbps"], lookback=5)
+
+
 @query("hyperparam_pick")
 def _(spark, sf):
     train, test = splits(spark, sf)
@@ -277,6 +300,21 @@ def _(spark, sf):
     return preparation.clean(raw_text(spark, sf)).select("time", "latitude", "longitude", "application_data", "square_id")
 
 
+FLOWN = ["upload_mbps", "download_mbps"]
+
+
+@query("impute_flow", f"""
+SELECT s.event_id, s.day_id AS date_key, s.is_test, {', '.join(f'round(coalesce(s.{m}, zd.{m}, z.{m}, d.{m}, g.{m}), 6) AS {m}' for m in FLOWN)},
+  round(svr1, 6) AS svr1, {', '.join(f'round(coalesce(s.{n}, f_{n}.v), 6) AS {n}' for n in SVR[1:])}
+FROM split s LEFT JOIN zd ON s.square_id IS NOT DISTINCT FROM zd.square_id AND s.day_id = zd.day_id
+LEFT JOIN z ON s.square_id IS NOT DISTINCT FROM z.square_id LEFT JOIN d ON s.day_id = d.day_id CROSS JOIN g
+{' '.join(f'LEFT JOIN ({knn_column(n)}) f_{n} ON s.event_id = f_{n}.event_id' for n in SVR[1:])}""", ("telemetry",), MEDIANS)
+def _(spark, sf):
+    train, test, _, _ = preparation.impute_flow(telemetry(spark, sf), "event_id", FLOWN)
+    both = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    return r6(both.select("event_id", "date_key", "is_test", *FLOWN, *SVR))
+
+
 @query("feature_tables")
 def _(spark, sf):
     df = telemetry(spark, sf)
