@@ -264,6 +264,11 @@ def test_repeats_of_rows_without_id(spark):
     assert got == Counter({(None, 600, 600): 1, (1, 600, 600): 1, (2, 602, 600): 1, (None, 5, 0): 1})
 
 
+def test_block_without_repeats_has_no_runs():
+    none = np.zeros(0, np.int64)
+    assert [len(part) for part in repeated_spans._ranges(none, none)] == [0, 0, 0]
+
+
 @pytest.mark.parametrize("block_rows", [1000, 40])
 def test_large_group_of_near_copies_leaves_few_links(spark, monkeypatch, block_rows):
     """Near copies of one text, exact copies, and different texts that share an id."""

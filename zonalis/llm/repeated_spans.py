@@ -309,9 +309,11 @@ def repeated_windows(letters, lengths, before, run, quarter, groups, length: int
 
 def _ranges(rows: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, start) pairs as runs of consecutive starts: row, first, last."""
+    if not len(rows):
+        return rows, starts, starts
     order = np.lexsort((starts, rows))
     r, s = rows[order], starts[order]
-    new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (s[1:] > s[:-1] + 1))) if len(r) else np.zeros(0, np.int64)
+    new = np.flatnonzero(np.append(True, (r[1:] != r[:-1]) | (s[1:] > s[:-1] + 1)))
     last = np.append(new[1:], len(r)) - 1
     return r[new], s[new], s[last]
 
