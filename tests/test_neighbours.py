@@ -87,6 +87,40 @@ def brute_tree(x, min_samples):
     return edges
 
 
+def test_wide_points_by_products(spark):
+    """Distances of wide points come from products, and exactly where that could matter: ties, copies, points on the radius."""
+    from zonalis.plans import kernels
+
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(100, 1, (500, 16)), np.round(rng.normal(100, 1, (300, 16)))])
+    x = np.concatenate([x, np.repeat(x[510:511], 40, axis=0), x[:20]])
+    ids = rng.permutation(len(x))
+    table = kernels.pd.DataFrame({"id": ids, "features": list(x), "weight": rng.integers(1, 4, len(x)), "labels": list(rng.integers(-1, 60, (len(x), 3)))})
+    d = kernels.euclid(x, x)
+    for skip in (False, True):
+        got = kernels.nearest_kernel(5, "euclid", skip)(table, table)
+        want = np.round(d, 9)
+        if skip:
+            np.fill_diagonal(want, np.inf)
+        rows, cols = kernels.smallest(want, ids, 5)
+        assert sorted(zip(got.id, got.other, got.distance)) == sorted(zip(ids[rows], ids[cols], want[rows, cols]))
+    radii = [float(d[510, 520]), 4.0, float(np.median(d))]
+    degree = np.stack(kernels.degree_kernel(radii)(table, table).degree)
+    assert degree.tolist() == np.stack([(d <= r) @ table.weight for r in radii], axis=1).tolist()
+    first = np.where(rng.uniform(size=(len(x), 3)) < 0.02, ids[:, None] * 1.0, np.nan)
+    least = kernels.least_label_kernel(radii, 1)(table.assign(labels=list(first)), table.assign(labels=list(first)))
+    near = np.stack([np.where(d <= r, np.where(np.isnan(first[:, i]), np.inf, first[:, i])[None], np.inf).min(axis=1) for i, r in enumerate(radii)], axis=1)
+    got = np.nan_to_num(np.stack(least.least), nan=np.inf)
+    assert (np.isinf(got) == np.isinf(near)).all() and (got <= near).all()
+    sums = kernels.label_sums_kernel(table, table).set_index(["id", "setting", "other_label"])
+    given = np.stack(table.labels)
+    for s, name in ((0, 5), (2, 59)):
+        member = given[:, s] == name
+        part = sums.xs((s, name), level=("setting", "other_label"))
+        assert part.total.loc[ids].to_numpy() == pytest.approx(d[:, member].sum(axis=1), abs=1e-9)
+        assert (part.n == member.sum()).all()
+
+
 @pytest.mark.parametrize("limits", [{}, BLOCKS])
 def test_spanning_tree_weight(spark, limits):
     x = blobs(copies=3)
@@ -194,6 +228,13 @@ def test_density_hierarchy_of_many_weights(spark, monkeypatch, block_edges):
     assert len({v for (i, _), v in got.items() if i == 0}) > 2
 
 
+def test_spanning_trees_that_end_in_different_rounds(spark):
+    x = np.array([0.0, 1, 10, 11, 30, 31, 50, 51])[:, None]
+    trees = cl.spanning_trees(frame(spark, x), [2, 8]).collect()
+    for t, samples in enumerate((2, 8)):
+        assert sorted(r.weight for r in trees if r.tree == t) == pytest.approx(sorted(w for *_, w in brute_tree(x, samples)))
+
+
 def test_spanning_tree_skips_most_pairs():
     from zonalis.plans import kernels
     from zonalis.plans.cells import Cells, LightestEdges
