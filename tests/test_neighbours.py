@@ -412,6 +412,28 @@ def test_box_of_smallest_area(spark):
         assert r.bbox_zone == want
 
 
+def test_equal_boxes_are_filed_once(spark, monkeypatch):
+    from zonalis.operators import spatial
+
+    stored = []
+    keep = spatial.materialize
+    monkeypatch.setattr(spatial, "materialize", lambda df: stored.append(keep(df)) or stored[-1])
+    boxes = spark.createDataFrame([(f"z{i}", 0.0, 1.0, 0.0, 1.0) for i in range(50, 0, -1)], "square_id string, lat_min double, lat_max double, lon_min double, lon_max double")
+    points = spark.createDataFrame([(i, 0.5, 0.5) for i in range(30)] + [(30, 2.5, 0.5)], "i long, latitude double, longitude double")
+    got = assign_by_bbox(points, boxes).collect()
+    assert {r.i: r.bbox_zone for r in got} == {i: "z1" for i in range(30)} | {30: None} and len(got) == 31
+    assert max(r.n for df in stored if "boxes" in df.columns for r in df.select(F.size("boxes").alias("n")).collect()) == 1
+
+
+def test_zones_when_boxes_settle_every_row(spark):
+    from zonalis.operators.spatial import impute_unknown_zones
+
+    rows = [(i, 50 + i % 3 * 0.1, 8 + i % 5 * 0.1, "z") for i in range(30)] + [(30, 50.1, 8.1, None)]
+    df = spark.createDataFrame(rows, "row long, latitude double, longitude double, square_id string")
+    got = impute_unknown_zones(df, "row", source_rows=0, block_rows=4).collect()
+    assert sorted((r.row, r.square_id) for r in got) == [(i, "z") for i in range(31)]
+
+
 def test_microclusters_label_every_row(spark):
     x = blobs()
     out = cl.cf_microcluster(frame(spark, x), 0.5, 3).orderBy("id").collect()
