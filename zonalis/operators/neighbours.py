@@ -84,7 +84,10 @@ def knn_haversine_classify(
     ll = ["latitude", "longitude"]
     usable = known.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull() & F.col(zone).isNotNull())
     folded = usable.groupBy(*ll, zone).agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies"))
-    sources = materialize(_with_point_id(folded, [zone, *ll]))
+    # of the zones at one place, all equally far, only the first can be among the nearest
+    ahead = F.sum("copies").over(Window.partitionBy(*ll).orderBy(zone).rowsBetween(Window.unboundedPreceding, -1))
+    first = folded.withColumn("__ahead", ahead).filter(F.coalesce("__ahead", F.lit(0)) < k).drop("__ahead")
+    sources = materialize(_with_point_id(first, [zone, *ll]))
     asked = materialize(_with_point_id(unknown.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select(*ll).distinct(), ll))
     radians = F.array(F.radians("latitude"), F.radians("longitude"))
     found = nearest(asked.select("id", radians.alias("features")), sources.select("id", radians.alias("features")), k, "haversine", **limits)
