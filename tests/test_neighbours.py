@@ -385,6 +385,44 @@ def brute_vote(known, zones, lat, lon, k=7):
     return best if votes[best] / sum(votes.values()) >= 0.6 else None
 
 
+@pytest.mark.parametrize("step", [1, 50])
+def test_donors_by_pattern_equal_all_pairs(step):
+    """The search by patterns finds what comparing all pairs finds, ties and copies included, without comparing them all."""
+    from zonalis.plans import kernels
+
+    rng = np.random.default_rng(4)
+    x = np.round(rng.uniform(0, 100, (3000, 4)) / step) * step
+    x[:, 1:][rng.uniform(size=(3000, 3)) < 0.2] = np.nan
+    x[7] = np.nan
+    table = kernels.pd.DataFrame({"id": rng.permutation(3000), "features": list(x)})
+    table["copies"] = [[i] if i % 9 else [i, i + 5000] for i in table.id]
+    targets = table[:400][["id", "features"]]
+    order = ["id", "position", "distance", "other", "value"]
+    compared = []
+    plain = kernels.euclid
+    kernels.euclid = lambda a, b, *more: compared.append(len(a) * len(b)) or plain(a, b, *more)
+    try:
+        got = kernels.donors_kernel(5)(targets, table)
+    finally:
+        kernels.euclid = plain
+    far = table.copy()
+    far.loc[3000] = [9999, np.array([np.inf, 0.0, 0.0, 0.0]), [9999]]  # an infinite value makes it compare all pairs
+    want = kernels.donors_kernel(5)(targets, far)
+    assert sorted(got[order].itertuples(index=False)) == sorted(want[order].itertuples(index=False)) and len(got) > 1000
+    assert step > 1 or sum(compared) < 0.6 * 400 * 3000
+
+
+def test_equal_gaps_are_solved_once(spark, monkeypatch):
+    met = []
+    plain = nb.block_apply
+    monkeypatch.setattr(nb, "block_apply", lambda t, s, *more: met.append((t.count(), s.count())) or plain(t, s, *more))
+    rows = [(i, float(i % 3), None if i % 2 else 2.0 * (i % 3)) for i in range(120)]
+    df = spark.createDataFrame(rows, "event long, a double, b double")
+    got = nb.knn_impute(df, df, "event", ["a", "b"], 2).collect()
+    assert sorted((r.event, r.a, r.b) for r in got) == [(i, a, 2.0 * a) for i, a, _ in rows]
+    assert met == [(3, 6)]
+
+
 @pytest.mark.parametrize("limits", [{}, BLOCKS])
 def test_haversine_vote(spark, limits):
     rng = np.random.default_rng(9)

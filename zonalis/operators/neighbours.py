@@ -11,6 +11,9 @@ from zonalis.plans.materialize import materialize
 from zonalis.plans.skew import lookup_join
 
 
+DONOR_PAIRS = 1 << 29  # targets times donors per task; a search by cells compares few of them
+
+
 def vector_of(columns: list[str]) -> Column:
     return F.array(*[F.col(c).cast("double") for c in columns])
 
@@ -59,17 +62,27 @@ def knn_impute(
 ) -> DataFrame:
     """Null cells of ``df`` take the mean of the ``k`` nearest training rows that have the value.
 
-    Distance is Euclidean over common coordinates, scaled to all of them; a column no donor has stays null.
+    Distance is Euclidean over common coordinates, scaled up to all of them; a column no donor has stays null. Equal
+    training rows are one donor with the first ``k`` of their ids, and equal gappy rows are solved once.
     """
-    empty = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns])
+    def cells(frame: DataFrame) -> DataFrame:
+        return frame.select(*[F.col(c).cast("double").alias(c) for c in columns], F.col(row_id).cast("long").alias("__id"))
+
+    features = F.array(*[F.coalesce(F.col(c), F.lit(float("nan"))) for c in columns]).alias("features")
     any_null = F.greatest(*[F.col(c).isNull().cast("int") for c in columns]) == 1
-    donors = materialize(points(train, row_id, empty))
-    lacking = points(df.filter(any_null), row_id, empty)
+    place = F.row_number().over(Window.partitionBy("features").orderBy("id"))
+    first = cells(train).select(F.col("__id").alias("id"), features).withColumn("__n", place).filter(F.col("__n") <= k)
+    donors = materialize(first.groupBy("features").agg(F.min("id").alias("id"), F.sort_array(F.collect_list("id")).alias("copies")))
+    lacking = cells(df).filter(any_null).select(*columns).distinct().withColumn("__id", F.monotonically_increasing_id())
+    lacking = materialize(lacking)
     schema = "id bigint, position int, other bigint, value double, distance double"
-    partial = block_apply(lacking, donors, kernels.donors_kernel(k), schema, None, source_rows, block_rows)
+    partial = block_apply(lacking.select(F.col("__id").alias("id"), features), donors, kernels.donors_kernel(k), schema, None, source_rows, block_rows, DONOR_PAIRS)
     means = k_best(partial, ["id", "position"], k).groupBy("id", "position").agg(F.avg("value").alias("value"))
     wide = means.groupBy("id").agg(*[F.max(F.when(F.col("position") == i, F.col("value"))).alias(f"__{c}") for i, c in enumerate(columns)])
-    joined = df.join(wide, F.col(row_id) == F.col("id"), "left").drop("id")
+    keys = [f"__key_{c}" for c in columns]
+    solved = lacking.join(wide, F.col("__id") == F.col("id")).select(*[F.col(c).alias(k_) for c, k_ in zip(columns, keys)], *[f"__{c}" for c in columns])
+    asked = df.withColumns({k_: F.col(c).cast("double") for c, k_ in zip(columns, keys)})
+    joined = lookup_join(asked, solved, keys, null_safe=True, row_id=row_id).drop(*keys)
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"__{c}")) for c in columns}).drop(*[f"__{c}" for c in columns])
 
 

@@ -22,11 +22,11 @@ def matrix(column) -> np.ndarray:
     return np.array(column.tolist(), dtype=float) if len(column) else np.zeros((0, 0))
 
 
-def euclid(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def euclid(a: np.ndarray, b: np.ndarray, stretch: float = 1.0) -> np.ndarray:
     total = np.zeros((len(a), len(b)))
     for j in range(a.shape[1]):
         total += (a[:, j, None] - b[None, :, j]) ** 2
-    return np.sqrt(total)
+    return np.sqrt(total if stretch == 1.0 else total * stretch)
 
 
 #: From this many coordinates on boxes hardly shut anything out, and distances are taken from products of matrices.
@@ -160,14 +160,17 @@ def smallest(d: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.nda
     return rows[keep], cols[keep]
 
 
-def nearest_in_cells(a: np.ndarray, targets: pd.DataFrame, sources: pd.DataFrame, b: np.ndarray, k: int, places: int, skip_self: bool):
-    """(rows, ids, distances, distances computed) of the k nearest: source cells in order of their least distance, until none can matter."""
+def nearest_in_cells(a: np.ndarray, targets: pd.DataFrame, sources: pd.DataFrame, b: np.ndarray, k: int, places: int, skip_self: bool, stretch: float = 1.0):
+    """(rows, ids, distances, distances computed) of the k nearest: source cells in order of their least distance, until none can matter.
+
+    ``stretch`` multiplies squared distances.
+    """
     tid, sid = targets.id.to_numpy(), sources.id.to_numpy()
     mine, theirs = Cells(a), cells_of(sources, b)
     out, pairs = [], 0
     for cell in range(len(mine)):
         rows = mine.rows(cell)
-        least = theirs.least(mine.low[cell], mine.high[cell])
+        least = theirs.least(mine.low[cell], mine.high[cell]) * np.sqrt(stretch)
         order = np.argsort(least, kind="stable")
         d, ids = np.full((len(rows), k), np.inf), np.full((len(rows), k), np.iinfo(np.int64).max)
         for at in range(0, len(order), 4):
@@ -175,7 +178,7 @@ def nearest_in_cells(a: np.ndarray, targets: pd.DataFrame, sources: pd.DataFrame
             if least[some[0]] > d[:, k - 1].max():
                 break
             others = theirs.rows_of(some)
-            near = np.round(euclid(a[rows], b[others]), places)
+            near = np.round(euclid(a[rows], b[others], stretch), places)
             pairs += near.size
             if skip_self:
                 near[tid[rows][:, None] == sid[others][None, :]] = np.inf
@@ -211,30 +214,87 @@ def nearest_kernel(k: int, metric: str, skip_self: bool):
     return run
 
 
+#: Up to this many coordinates a search is split by which of them are missing.
+PATTERN_WIDTH = 6
+
+
 def donors_kernel(k: int):
-    """For each missing coordinate of a target the ``k`` nearest sources that have it."""
+    """For each missing coordinate of a target the ``k`` nearest sources that have it; a source stands for all ids in ``copies``.
+
+    Which coordinates a target has, and which of them a source has, makes every distance an ordinary one in those they
+    share, so each such pair of patterns is searched by cells.
+    """
 
     def run(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
         a, b = matrix(targets.features), matrix(sources.features)
-        tid, sid = targets.id.to_numpy(), sources.id.to_numpy()
+        searched = b.shape[1] <= PATTERN_WIDTH and not np.isinf(a).any() and not np.isinf(b).any()
+        found = list((_donors_by_pattern if searched else _donors_by_force)(a, b, sources, k))
+        copies = [np.asarray(c, dtype=np.int64) for c in sources.copies]
+        size, ids = np.array([len(c) for c in copies]), np.concatenate(copies)
+        start = np.cumsum(size) - size
         out = []
-        for part in chunks(len(a), len(b)):
-            d = np.round(nan_euclid(a[part], b), 9)
-            for j in range(b.shape[1]):
-                lacking, having = np.flatnonzero(np.isnan(a[part][:, j])), np.flatnonzero(~np.isnan(b[:, j]))
-                if not len(lacking) or not len(having):
-                    continue
-                sub = d[np.ix_(lacking, having)]
-                rows, cols = smallest(sub, sid[having], k)
-                out.append(pd.DataFrame({
-                    "id": tid[part][lacking[rows]], "position": np.int32(j), "other": sid[having[cols]],
-                    "value": b[having[cols], j], "distance": sub[rows, cols],
-                }))
+        for j in range(b.shape[1]):
+            parts = [(r, o, d) for at, r, o, d in found if at == j]
+            if not parts:
+                continue
+            rows, others, distance = (np.concatenate(x) for x in zip(*parts))
+            n = size[others]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            name = ids[np.repeat(start[others], n) + inside]
+            rows, others, distance = (np.repeat(x, n) for x in (rows, others, distance))
+            order = np.lexsort((name, distance, rows))
+            kept = order[np.arange(len(order)) - np.searchsorted(rows[order], rows[order]) < k]
+            out.append(pd.DataFrame({
+                "id": targets.id.to_numpy()[rows[kept]], "position": np.int32(j), "other": name[kept],
+                "value": b[others[kept], j], "distance": distance[kept],
+            }))
         return pd.concat(out) if out else pd.DataFrame({"id": [], "position": [], "other": [], "value": [], "distance": []})
 
     return run
 
 
+def _donors_by_force(a: np.ndarray, b: np.ndarray, sources: pd.DataFrame, k: int):
+    sid = sources.id.to_numpy()
+    for part in chunks(len(a), len(b)):
+        d = np.round(nan_euclid(a[part], b), 9)
+        for j in range(b.shape[1]):
+            lacking, having = np.flatnonzero(np.isnan(a[part][:, j])), np.flatnonzero(~np.isnan(b[:, j]))
+            if len(lacking) and len(having):
+                sub = d[np.ix_(lacking, having)]
+                rows, cols = smallest(sub, sid[having], k)
+                yield j, lacking[rows] + part.start, having[cols], sub[rows, cols]
+
+
+def _donors_by_pattern(a: np.ndarray, b: np.ndarray, sources: pd.DataFrame, k: int):
+    width = b.shape[1]
+    bits = 1 << np.arange(width)
+    has_a, has_b = (~np.isnan(a) @ bits).astype(int), (~np.isnan(b) @ bits).astype(int)
+    if "donors" not in sources.attrs:
+        sources.attrs["donors"] = {}
+    held = sources.attrs["donors"]
+    for pattern in np.unique(has_a):
+        rows = np.flatnonzero(has_a == pattern)
+        for j in np.flatnonzero(~pattern & bits):
+            for shared in np.unique(has_b[(has_b & bits[j]) > 0] & pattern):
+                if not shared:
+                    continue
+                columns = np.flatnonzero(shared & bits)
+                key = (int(pattern), int(j), int(shared))
+                if key not in held:
+                    others = np.flatnonzero(((has_b & bits[j]) > 0) & ((has_b & pattern) == shared))
+                    others = others[np.argsort(sources.id.to_numpy()[others], kind="stable")]
+                    # of the sources at one place only the first can be among the nearest
+                    _, place = np.unique(b[np.ix_(others, columns)], axis=0, return_inverse=True)
+                    order = np.argsort(place.ravel(), kind="stable")
+                    ordered = place.ravel()[order]
+                    others = others[np.sort(order[np.arange(len(order)) - np.searchsorted(ordered, ordered) < k])]
+                    held[key] = others, pd.DataFrame({"id": np.arange(len(others))}), b[np.ix_(others, columns)]
+                others, numbers, points = held[key]
+                mine = a[np.ix_(rows, columns)]
+                found = nearest_in_cells(mine, pd.DataFrame({"id": rows}), numbers, points, k, 9, False, width / len(columns))
+                yield j, rows[found[0]], others[found[1]], found[2]
+
+
 def label_sums_kernel(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.DataFrame:
     """Sum of distances and number of sources per (target, setting, source label); ``labels`` holds a label per setting."""
     a, b = matrix(targets.features), matrix(sources.features)
