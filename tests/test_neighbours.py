@@ -293,6 +293,28 @@ def test_scores_of_many_settings_equal_single_ones(spark):
     assert got[0].silhouette == pytest.approx(brute_silhouette(x, given[0]).mean()) and got[1].silhouette is None and got[2].dbi is None
 
 
+def test_silhouettes_of_very_many_clusters():
+    """A task that holds all rows hands on one row per row and setting, however many clusters there are."""
+    from zonalis.plans import kernels
+
+    rng = np.random.default_rng(12)
+    x, labels = rng.normal(0, 1, (400, 4)), np.stack([rng.integers(-1, 150, 400), rng.integers(0, 3, 400)], axis=1)
+    table = kernels.pd.DataFrame({"id": np.arange(400), "features": list(x), "labels": list(labels)})
+    got = kernels.own_and_next_kernel(table, table).set_index(["setting", "id"])
+    assert len(got) == (labels != -1).sum()
+    d = distances(x)
+    for s in (0, 1):
+        for i in range(0, 400, 7):
+            own = labels[i, s]
+            if own == -1:
+                continue
+            mine = labels[:, s] == own
+            r = got.loc[s, i]
+            assert r["size"] == mine.sum() and r.label == own
+            assert r.b == pytest.approx(min(d[i, labels[:, s] == o].mean() for o in set(labels[:, s]) - {-1, own}))
+            assert mine.sum() == 1 or r.a == pytest.approx(d[i, mine].sum() / (mine.sum() - 1))
+
+
 def test_endless_radius_is_one_cluster(spark):
     df = frame(spark, np.array([[0.0], [1.0], [50.0], [50.5]]))
     got = {(r.setting, r.id): r.label for r in cl.dbscan_sweep(df, [(float("inf"), 5), (0.6, 2), (float("inf"), 4)]).collect()}
