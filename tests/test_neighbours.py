@@ -434,6 +434,14 @@ def test_donors_by_pattern_equal_all_pairs(step):
     assert step > 1 or sum(compared) < 0.6 * 400 * 3000
 
 
+def test_gappy_rows_that_share_an_id_are_filled_alike(spark):
+    rows = [(i, float(i), 10.0 * i) for i in range(10)] + [(50, 2.0, None), (50, 7.0, None), (51, 2.0, None), (None, 2.0, None)]
+    df = spark.createDataFrame(rows, "event long, a double, b double")
+    train = df.filter("event < 10")
+    got = nb.knn_impute(train, df, "event", ["a", "b"], 2).filter("event IS NULL OR event >= 10").collect()
+    assert sorted((r.event or 0, r.a, r.b or 0.0) for r in got) == [(0, 2.0, 0.0), (50, 2.0, 45.0), (50, 7.0, 45.0), (51, 2.0, 15.0)]
+
+
 def test_equal_gaps_are_solved_once(spark, monkeypatch):
     met = []
     plain = nb.block_apply
