@@ -2,6 +2,8 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from zonalis.operators import encoding as e
@@ -10,7 +12,8 @@ from zonalis.operators import forecasting as fc
 from zonalis.operators import ordering as o
 from zonalis.operators import rankings as k
 from zonalis.operators.windows import difference_weights
-from zonalis.plans import preparation
+from zonalis.plans import boosting, preparation
+from zonalis.plans.materialize import materialize
 
 
 def series(spark, values, key="a", start=0):
@@ -151,6 +154,33 @@ def test_trees_beat_the_mean(spark):
         fc.gbt_forecast(df.filter("i < 0"), df, "y", ["x"], trees=2)
 
 
+def test_trees_over_blocks_are_those_of_spark(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 20, (3000, 3))
+    rows = [(Vectors.dense(r.tolist()), float(np.sin(r[0]) * 5 + (r[1] > 7) * r[2] + e)) for r, e in zip(x, rng.normal(0, 0.1, len(x)))]
+    df = materialize(spark.createDataFrame(rows, ["__f", "__y"]))
+    theirs = GBTRegressor(featuresCol="__f", labelCol="__y", maxIter=25, stepSize=0.1, maxDepth=4, seed=1).fit(df.coalesce(1))
+    monkeypatch.setattr(boosting, "BLOCK", 500)
+    ours = boosting.boosted_trees(df, 3, 25, 0.1, 4, 1.0, 1.0, 1)
+    assert ours.featureImportances.toArray() == pytest.approx(theirs.featureImportances.toArray(), abs=1e-6)
+    both = ours.transform(theirs.transform(df).withColumnRenamed("prediction", "theirs"))
+    assert both.filter(F.abs(F.col("prediction") - F.col("theirs")) > 1e-6).isEmpty()
+
+
+def test_many_rows_are_boosted_over_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(i, None if i % 9 == 0 else float(x), "ab"[i % 2], float(3 * x + (i % 2) * 5)) for i, x in enumerate(rng.uniform(0, 10, 900))]
+    df = spark.createDataFrame(rows, "i long, x double, c string, y double")
+    monkeypatch.setattr(fc, "TREE_ROWS", 200)
+    monkeypatch.setattr(fc.GBTRegressor, "fit", None)  # would take several jobs per level of every tree
+    monkeypatch.setattr(boosting, "STORED_TREES", 4)
+    out, model, features = fc.gbt_forecast(df.filter("i < 700"), df.filter("i >= 700"), "y", ["x"], ["c"], trees=15)
+    assert out.count() == 200 and fm.regression_metrics(out.filter("i % 9 > 0"), [], "y", "prediction").first().r2 > 0.9
+    assert [r.feature for r in fc.feature_importance(df, model, features).collect()] == ["x", "c_code"]
+    again, _, _ = fc.gbt_forecast(df.filter("i < 700"), df.filter("i >= 700"), "y", ["x"], ["c"], trees=15)
+    assert {r.i: r.prediction for r in again.collect()} == pytest.approx({r.i: r.prediction for r in out.collect()})
+
+
 def test_regression_metrics_of_constant_target(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.0, 1.0), ("b", 1.0, 1.0), ("b", 3.0, 2.0), ("b", None, 2.0)], "k string, y double, p double")
     rows = {r.k: r for r in fm.regression_metrics(df, ["k"], "y", "p").collect()}

@@ -13,12 +13,13 @@ from zonalis.operators.forecast_metrics import regression_metrics
 from zonalis.operators.ordering import split_tail
 from zonalis.operators.windows import difference_weights, interpolate_series, sequence_windows
 from zonalis.plans import kernels
+from zonalis.plans.boosting import boosted_trees
 from zonalis.plans.materialize import materialize
 from zonalis.plans.skew import lookup_join
 from zonalis.plans.slices import Slices, slice_width
 
 SERIES = "__series"
-TREE_ROWS = 100_000  # rows per partition that boosting works on
+TREE_ROWS = 100_000  # rows up to which boosting works in one partition
 
 
 # --- boosted trees --------------------------------------------------------------------------------------------------------
@@ -28,7 +29,10 @@ def gbt_forecast(
     train: DataFrame, test: DataFrame, target: str, numeric: list[str], categorical: list[str] | None = None,
     trees: int = 300, rate: float = 0.08, depth: int = 6, rows: float = 0.9, columns: float = 0.9, seed: int = 42,
 ):
-    """(test rows with ``prediction``, fitted model, feature names). Codes are shared by both splits, medians come from train."""
+    """(test rows with ``prediction``, fitted model, feature names). Codes are shared by both splits, medians come from train.
+
+    From two times ``TREE_ROWS`` rows on, trees are fitted to blocks of binned rows; fewer go to Spark's own boosting.
+    """
     categorical = categorical or []
     train, test = align_target(train, target), align_target(test, target)
     train, test = encode_categories(train, test, categorical)
@@ -38,12 +42,15 @@ def gbt_forecast(
     n = ready.count()
     if not n:
         raise ValueError(f"no rows left for target {target}")
-    # Every level of every tree is a job, so partitions that hold too few rows cost more than they save.
-    ready = ready.coalesce(max(1, n // TREE_ROWS))
-    model = GBTRegressor(
-        featuresCol="__f", labelCol="__y", predictionCol="prediction", maxIter=trees, stepSize=rate, maxDepth=depth,
-        subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed,
-    ).fit(ready)
+    if n // TREE_ROWS > 1:
+        tasks = min(ready.sparkSession.sparkContext.defaultParallelism, n // (TREE_ROWS // 4))
+        model = boosted_trees(ready, max(1, tasks), trees, rate, depth, rows, columns, seed)
+    else:
+        # Every level of every tree is a job, so partitions that hold too few rows cost more than they save.
+        model = GBTRegressor(
+            featuresCol="__f", labelCol="__y", predictionCol="prediction", maxIter=trees, stepSize=rate, maxDepth=depth,
+            subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed,
+        ).fit(ready.coalesce(max(1, n // TREE_ROWS)))
     return model.transform(assembled(test, features, "__f")).drop("__f"), model, features
 
 
