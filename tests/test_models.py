@@ -151,6 +151,18 @@ def test_trees_beat_the_mean(spark):
         fc.gbt_forecast(df.filter("i < 0"), df, "y", ["x"], trees=2)
 
 
+def test_boosting_uses_all_cores(spark, monkeypatch):
+    df = spark.range(900).selectExpr("cast(id as double) AS x", "id % 7 + 0.5 AS y").coalesce(1)
+    taken, fit = [], fc.GBTRegressor.fit
+    monkeypatch.setattr(fc, "TREE_ROWS", 300)
+    monkeypatch.setattr(fc, "LEAST_TREE_ROWS", 100)
+    monkeypatch.setattr(fc.GBTRegressor, "fit", lambda self, rows: taken.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    for n in (500, 900):
+        out, _, _ = fc.gbt_forecast(df.filter(f"x < {n}"), df, "y", ["x"], trees=2)
+        assert out.count() == 900
+    assert taken == [1, min(spark.sparkContext.defaultParallelism, 9)]
+
+
 def test_regression_metrics_of_constant_target(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 1.0, 1.0), ("b", 1.0, 1.0), ("b", 3.0, 2.0), ("b", None, 2.0)], "k string, y double, p double")
     rows = {r.k: r for r in fm.regression_metrics(df, ["k"], "y", "p").collect()}

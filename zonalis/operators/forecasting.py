@@ -19,6 +19,7 @@ from zonalis.plans.slices import Slices, slice_width
 
 SERIES = "__series"
 TREE_ROWS = 100_000  # rows per partition that boosting works on
+LEAST_TREE_ROWS = 25_000  # the same where cores would stand idle otherwise
 
 
 # --- boosted trees --------------------------------------------------------------------------------------------------------
@@ -39,7 +40,10 @@ def gbt_forecast(
     if not n:
         raise ValueError(f"no rows left for target {target}")
     # Every level of every tree is a job, so partitions that hold too few rows cost more than they save.
-    ready = ready.coalesce(max(1, n // TREE_ROWS))
+    # From two partitions on, rows are dealt anew: a stored table may have fewer files than there are cores.
+    cores = ready.sparkSession.sparkContext.defaultParallelism
+    parts = max(n // TREE_ROWS, min(cores, n // LEAST_TREE_ROWS))
+    ready = ready.coalesce(1) if n < 2 * TREE_ROWS else ready.repartition(parts)
     model = GBTRegressor(
         featuresCol="__f", labelCol="__y", predictionCol="prediction", maxIter=trees, stepSize=rate, maxDepth=depth,
         subsamplingRate=rows, featureSubsetStrategy=str(columns), seed=seed,
