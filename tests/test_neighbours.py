@@ -515,3 +515,44 @@ def test_kmeans_is_reproducible(spark):
     b, _, second = cl.kmeans_fit_assign(df, None, 3, n_init=3)
     assert first == pytest.approx(second)
     assert [r.label for r in a.orderBy("id").collect()] == [r.label for r in b.orderBy("id").collect()]
+
+
+def test_far_cells_are_settled_unseen(spark, monkeypatch):
+    """Targets of a task lie near each other, and a count ends at the number asked for, so few distances are computed."""
+    from zonalis.plans import blocks, kernels
+
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(c, 0.3, (100, 2)) for c in rng.uniform(-60, 60, (40, 2))])
+    df = frame(spark, rng.permutation(x))
+    monkeypatch.setattr(blocks, "PLACE_ROWS", 100)
+    dealt = blocks.by_place(df, 40).withColumn("part", F.spark_partition_id())
+    sides = dealt.groupBy("part").agg(*[(F.max(F.col("features")[j]) - F.min(F.col("features")[j])).alias(f"w{j}") for j in (0, 1)])
+    assert sides.agg(F.avg(F.col("w0") * F.col("w1"))).first()[0] < 120 * 120 / 10
+    pairs = []
+    kept = kernels.euclid
+    monkeypatch.setattr(kernels, "euclid", lambda a, b, stretch=1.0: pairs.append(len(a) * len(b)) or kept(a, b, stretch))
+    table = kernels.pd.DataFrame({"id": np.arange(len(x)), "features": list(x), "weight": 1, "labels": [[float(i)] for i in range(len(x))]})
+    degree = np.stack(kernels.degree_kernel([2.0], [3])(table, table.copy()).degree)[:, 0]
+    assert ((degree >= 3) == ((distances(x) <= 2.0).sum(axis=1) >= 3)).all()
+    links = kernels.links_kernel([2.0])(table, table.copy())
+    assert sum(pairs) < len(x) ** 2 / 8
+    root = np.arange(len(x))
+    for a, b in zip(links.a, links.b):
+        root[root == root[b]] = root[a]
+    assert len(set(root.tolist())) == len(set(brute_dbscan(x, 2.0, 1).tolist())) and len(links) == len(x) - len(set(root.tolist()))
+
+
+def test_dbscan_of_many_tasks(spark, monkeypatch):
+    """Clusters that cross tasks and blocks, border points, copies and noise, several settings."""
+    from zonalis.plans import blocks
+
+    monkeypatch.setattr(cl, "PLACE_ROWS", 40)
+    monkeypatch.setattr(blocks, "PLACE_ROWS", 40)
+    rng = np.random.default_rng(9)
+    line = np.stack([np.linspace(0, 40, 160), np.zeros(160)], axis=1)
+    x = rng.permutation(np.concatenate([line, rng.uniform(-5, 45, (60, 2)), np.repeat([[9.0, 9.0]], 5, axis=0)]))
+    settings = [(0.3, 2), (0.3, 4), (1.5, 8)]
+    got = cl.dbscan_sweep(frame(spark, x).repartition(3), settings).collect()
+    for s, (eps, k) in enumerate(settings):
+        labels = [r.label for r in sorted((r for r in got if r.setting == s), key=lambda r: r.id)]
+        assert labels == brute_dbscan(x, eps, k).tolist()
