@@ -556,3 +556,22 @@ def test_dbscan_of_many_tasks(spark, monkeypatch):
     for s, (eps, k) in enumerate(settings):
         labels = [r.label for r in sorted((r for r in got if r.setting == s), key=lambda r: r.id)]
         assert labels == brute_dbscan(x, eps, k).tolist()
+
+
+def test_silhouette_sources_are_prepared_once(monkeypatch):
+    """Tasks of a worker share what depends on the sources alone; the sums are those of a fresh table."""
+    from zonalis.plans import kernels
+
+    rng = np.random.default_rng(3)
+    x, labels = rng.normal(0, 1, (300, 4)), rng.integers(-1, 4, (300, 3))
+    table = kernels.pd.DataFrame({"id": np.arange(300), "features": list(x), "labels": list(labels)})
+    made, kept = [], kernels._label_plans
+    monkeypatch.setattr(kernels, "_label_plans", lambda given: made.append(1) or kept(given))
+    shared = table.copy()
+    parts = [kernels.own_and_next_kernel(table[at : at + 50], shared) for at in range(0, 300, 50)]
+    assert len(made) == 1
+    whole = kernels.own_and_next_kernel(table, table.copy())
+    got = kernels.pd.concat(parts).sort_values(["setting", "id"])
+    want = whole.sort_values(["setting", "id"])
+    assert got[["id", "setting", "label", "size"]].to_numpy().tolist() == want[["id", "setting", "label", "size"]].to_numpy().tolist()
+    assert np.allclose(got[["a", "b"]].to_numpy(), want[["a", "b"]].to_numpy(), equal_nan=True)

@@ -346,10 +346,8 @@ def own_and_next_kernel(targets: pd.DataFrame, sources: pd.DataFrame) -> pd.Data
     return pd.concat(out) if out else pd.DataFrame({"id": [], "setting": [], "label": [], "size": [], "a": [], "b": []})
 
 
-def _label_sums(targets: pd.DataFrame, sources: pd.DataFrame):
-    """(rows, setting, labels, counts, sums): few clusters by one more product, many by runs of sources in the order of their label."""
-    products = Products(matrix(targets.features), matrix(sources.features))
-    given = np.array(sources.labels.tolist(), dtype=np.int64)
+def _label_plans(given: np.ndarray):
+    """What sums per label need of the sources: (few, ends, member, many, ordered)."""
     plans = []
     for s in range(given.shape[1]):
         found, place, n = np.unique(given[:, s], return_inverse=True, return_counts=True)
@@ -357,7 +355,7 @@ def _label_sums(targets: pd.DataFrame, sources: pd.DataFrame):
         if len(kept):
             plans.append((s, found[kept], n[kept], place, kept))
     if not plans:
-        return
+        return None
     most = min(32, 4 * CELLS // max(1, len(given)) // len(plans))
     few, many = [p for p in plans if len(p[4]) <= most], [p for p in plans if len(p[4]) > most]
     ends = np.cumsum([0, *[len(p[4]) for p in few]])
@@ -377,6 +375,18 @@ def _label_sums(targets: pd.DataFrame, sources: pd.DataFrame):
             starts = np.flatnonzero(np.append(True, label[order][1:] != label[order][:-1])) if len(order) else order
             parts.append((order, starts, label[order][starts]))
         ordered.append(parts)
+    return few, ends, member, many, ordered
+
+
+def _label_sums(targets: pd.DataFrame, sources: pd.DataFrame):
+    """(rows, setting, labels, counts, sums): few clusters by one more product, many by runs of sources in the order of their
+    label. What depends on the sources alone is worked out once per worker."""
+    given = kept(sources, "given", lambda: np.array(sources.labels.tolist(), dtype=np.int64))
+    plans = kept(sources, "plans", lambda: _label_plans(given))
+    if plans is None:
+        return
+    few, ends, member, many, ordered = plans
+    products = Products(matrix(targets.features), points_of(sources))
     step = max(16, min(WIDE_ROWS, 2 * CELLS // max(1, sum(len(p[4]) for p in many))))
     for rows in pieces(len(targets), step):
         size = rows.stop - rows.start
@@ -389,8 +399,8 @@ def _label_sums(targets: pd.DataFrame, sources: pd.DataFrame):
                 order, starts, label = parts[number]
                 if len(order):
                     total[:, label] += np.add.reduceat(d[:, order], starts, axis=1)
-        for at, (s, names, n, _, kept) in zip(ends, few):
-            yield rows, s, names, n, sums[:, at : at + len(kept)]
+        for at, (s, names, n, _, labels) in zip(ends, few):
+            yield rows, s, names, n, sums[:, at : at + len(labels)]
         for (s, names, n, _, _), total in zip(many, runs):
             yield rows, s, names, n, total
 
