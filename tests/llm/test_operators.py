@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -259,6 +260,30 @@ def test_records_round_trip(docs, empty, tmp_path, spark):
     assert records.tokenize_to_records(empty, tokenizer_file()).count() == 0
 
 
+def test_fresh_chunks_are_encoded_together(monkeypatch):
+    coder = records.ChunkEncoder(tokenizer_file())
+    odd = ["", " ", "a  b", "end \n", "\n next", "été là", "it's 10% of\u00a0it", "<|endoftext|> and <|endoftext|>x", "tab\t x", "\u3000 y", "z"]
+    texts = odd + [prose(seed, 60) for seed in range(20)] + odd[::-1]
+    whole = [e.ids for e in coder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    calls = []
+
+    class Counted:
+        def encode_batch_fast(self, parts, add_special_tokens):
+            calls.extend(parts)
+            return tokenizer.encode_batch_fast(parts, add_special_tokens=add_special_tokens)
+
+    tokenizer, coder.tokenizer = coder.tokenizer, Counted()
+    ids, counts = coder.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in whole for i in t] and counts.tolist() == list(map(len, whole))
+    assert len(calls) * 4 < len(coder.known)
+    monkeypatch.setattr(records, "JOINED_BYTES", 64)
+    coder.clear()
+    assert coder.encode(pa.array(texts))[0].tolist() == ids.tolist()
+    coder.clear()
+    coder.sizes = coder.sizes + 1  # tokens that do not spell their chunks
+    assert coder.encode(pa.array(texts))[0].tolist() == ids.tolist()
+
+
 def test_damaged_records_are_refused():
     good = records.frame(b"payload") + records.frame(b"")
     assert [bytes(p) for _, p in records.unframe(memoryview(good))] == [b"payload", b""]

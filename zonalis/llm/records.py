@@ -37,6 +37,8 @@ from zonalis.session import shared_dir
 END_ID = 2
 NO_ID = -(1 << 63)
 CACHE_CHUNKS = 600_000
+JOINED_BYTES = 1 << 13  # of chunks encoded as one text, about
+JOINED = 32  # such texts per call
 SHARD_BYTES = 24 << 20  # text bytes per shard, about
 
 _workers: dict[str, ChunkEncoder] = {}
@@ -79,6 +81,9 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        spelled = self.tokenizer.get_vocab()  # a letter of a byte-level token stands for a byte
+        self.sizes = np.zeros(max(spelled.values(), default=0) + 1, np.int64)
+        self.sizes[list(spelled.values())] = list(map(len, spelled))
         self.clear()
 
     def clear(self) -> None:
@@ -104,6 +109,29 @@ class ChunkEncoder:
         before[offsets[:-1][np.diff(offsets) > 0]] = True
         return np.flatnonzero(before)
 
+    def coded(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks one after the other, and the number of each.
+
+        Chunks that may stand behind each other are encoded as one text, which costs far less than a call for each, and its
+        ids are dealt by the bytes that their tokens spell. Where tokens do not end with the chunks, each is encoded alone.
+        """
+        ends = np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        raw = b"".join(chunks)
+        free = np.zeros(len(raw) + 1, bool)
+        free[self.cuts(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))] = True
+        new = np.flatnonzero(~free[ends[:-1]] | (ends[1:] // JOINED_BYTES != ends[:-1] // JOINED_BYTES)) + 1
+        bounds = [0, *ends[new - 1].tolist(), len(raw)]
+        texts = [raw[a:b].decode() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        parts = [np.array(e.ids, np.uint32) for at in range(0, len(texts), JOINED) for e in self.tokenizer.encode_batch_fast(texts[at : at + JOINED], add_special_tokens=False)]
+        ids = np.concatenate(parts)
+        reached = np.cumsum(self.sizes[ids])
+        last = np.searchsorted(reached, ends)
+        if len(ids) and reached[-1] == len(raw) and np.array_equal(reached[last], ends):
+            return ids, np.diff(last, prepend=-1)
+        alone = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+        lengths = np.fromiter(map(len, alone), np.int64, len(alone))
+        return np.fromiter(chain.from_iterable(alone), np.uint32, int(lengths.sum())), lengths
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each."""
         data, offsets = flat(column)
@@ -120,13 +148,12 @@ class ChunkEncoder:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             fresh = [distinct[i] for i in missing.tolist()]
-            coded = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in fresh], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, coded), np.int64, len(coded))
+            coded, lengths = self.coded(fresh)
             at[missing] = np.arange(len(self.known), len(self.known) + len(fresh))
             self.known.update(zip(fresh, at[missing].tolist(), strict=True))
             self.start = np.append(self.start, len(self.ids) + np.cumsum(lengths) - lengths)
             self.length = np.append(self.length, lengths)
-            self.ids = np.append(self.ids, np.fromiter(chain.from_iterable(coded), np.uint32, int(lengths.sum())))
+            self.ids = np.append(self.ids, coded)
         place = at[np.asarray(chunks.indices)]
         begin, count = self.start[place], self.length[place]
         ids = self.ids[ragged(begin, count)]
