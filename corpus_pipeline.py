@@ -18,6 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from zonalis.llm import decontaminate, mixing, near_duplicates, quality_rules, records  # noqa: E402
 from zonalis.llm.queries import tokenizer_file  # noqa: E402
+from zonalis.plans.materialize import materialize  # noqa: E402
 from zonalis.session import shared_dir  # noqa: E402
 
 
@@ -33,9 +34,14 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document, by id and a hash of the text, of every class of near duplicates (five-word shingles, similarity 0.8)."""
-    firsts = near_duplicates.near_duplicates(docs).filter("is_first AND doc_id IS NOT NULL").select("doc_id", F.col("text_key").alias("__key"))
+    firsts = near_duplicates.near_duplicates(docs).filter("is_first AND doc_id IS NOT NULL")
+    firsts = materialize(firsts.groupBy("doc_id", F.col("text_key").alias("__key")).agg(F.count(F.lit(1)).alias("__n")))
     marked = docs.withColumn("__key", near_duplicates.text_key())
-    kept = marked.join(firsts.distinct(), ["doc_id", "__key"], "left_semi").dropDuplicates(["doc_id", "__key"])  # exact repeats of a row
+    names = ["doc_id", "__key"]
+    kept = marked.join(firsts.filter("__n = 1").select(names), names, "left_semi")
+    again = firsts.filter("__n > 1").select(names)
+    if not again.isEmpty():  # exact repeats of a row; whole texts are not grouped where there are none
+        kept = kept.unionByName(marked.join(again, names, "left_semi").dropDuplicates(names))
     return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))  # without an id there is nothing to decide on
 
 

@@ -49,3 +49,14 @@ def test_extra_columns_pass_through(spark, small):
         out = stages[name](spark, docs, small)
         assert out.columns == docs.columns
         assert {tuple(r) for r in out.select("size", "kept", "id").distinct().collect()} <= {("own size", "own kept", "own id")}
+
+
+def test_repeated_rows_are_kept_once_and_others_are_not_grouped(spark):
+    words = [" ".join(f"w{n}{k}" for k in range(30)) for n in range(4)]
+    rows = [(1, words[0], "a"), (1, words[0], "b"), (1, words[1], "a"), (2, words[0], "a"), (3, words[2], "a"), (None, words[3], "a"), (None, words[3], "a"), (4, "", "a"), (4, None, "a")]
+    stage = corpus_pipeline.near_duplicates_stage
+    kept = stage(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "").collect()
+    got = sorted((r.doc_id or 0, r.text or "") for r in kept)
+    assert got == sorted([(1, words[0]), (1, words[1]), (3, words[2]), (0, words[3]), (0, words[3]), (4, "")])
+    plans = stage(spark, spark.createDataFrame([r for r in rows if r[2] == "a" and r[1]], "doc_id long, text string, source string"), "")
+    assert "Aggregate" not in plans._jdf.queryExecution().optimizedPlan().toString()

@@ -197,6 +197,7 @@ def write_records(
                 frames.append(frame(struct.pack("<qI", name, coder.width) + ids[at : at + n].tobytes() + tail)[:-1])
                 at += n
             yield pa.RecordBatch.from_arrays([pa.array(frames, pa.binary())], names=["frame"])
+        coder.clear()  # workers are reused, by other steps too
 
     parts = max(1, -(-int(total or 0) // shard_bytes))
     ordered = rows.repartitionByRange(parts, "id", F.crc32(F.col("text").cast("binary"))).sortWithinPartitions("id", "text")
