@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -470,6 +471,31 @@ def test_context_mixing_reads_texts_in_order(spark):
         assert got[1000 + n]["score"] > got[2000 + n]["score"] + 1
 
 
+def test_tokens_are_looked_at_in_bounded_pieces(monkeypatch):
+    monkeypatch.setattr(context_mixing, "PIECE_TOKENS", 10)
+    lists = [[1] * n for n in (4, 6, 1, 25, 0, 0, 9, 1, 1)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(lists) + 2)), pa.array([[9] * 50, [9] * 50, *lists])], names=["id", "at"]).slice(2)
+    pieces = list(context_mixing.few_tokens(iter([batch, batch.slice(0, 0)]), "at"))
+    assert [r for p in pieces for r in p.column(1).to_pylist()] == lists
+    assert max(len(p.column(1).flatten()) for p in pieces if p.num_rows > 1) <= 10
+
+
+def test_tables_are_worked_out_one_by_one():
+    rng = np.random.default_rng(5)
+    shape = (len(context_mixing.ORDERS), context_mixing.SLOTS)
+    model = context_mixing.Model(*(rng.integers(0, 70, shape).astype(np.float32) for _ in range(2)))
+    tracemalloc.start()
+    odds, seen = model.tables(True)
+    held, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 1.5 * held
+    for value, (less_zeros, less_ones) in enumerate(((1, 0), (0, 1))):
+        zeros, ones = np.maximum(model.zeros - np.float32(less_zeros), 0), np.maximum(model.ones - np.float32(less_ones), 0)
+        at = slice(value * context_mixing.SLOTS, (value + 1) * context_mixing.SLOTS)
+        assert np.allclose(odds[:, at], np.clip(np.log((ones + np.float32(0.4)) / (zeros + np.float32(0.4))), -12, 12))
+        assert np.array_equal(seen[:, at], np.searchsorted([3, 15, 63], zeros[-2:] + ones[-2:], "right"))
+
+
 def test_spelling_is_a_probability():
     model = context_mixing.Model(*(np.random.default_rng(0).integers(0, 9, (2, len(context_mixing.ORDERS), context_mixing.SLOTS)).astype(np.float32)))
     words = [bytes([b]) for b in range(1, 256) if b not in (9, 10, 11, 12, 13, 32)]
