@@ -74,7 +74,14 @@ def most_frequent(df: DataFrame, columns: list[str]) -> dict[str, str]:
 def fill_remaining(
     df: DataFrame, numeric: list[str], categorical: list[str], default: str = "unknown", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Numeric nulls from the column median, categorical nulls from the mode, ``default`` where there is none."""
+    """Numeric nulls from the column median, categorical nulls from the mode, ``default`` where there is none.
+
+    One pass tells which columns have nulls; only their medians and modes are worked out.
+    """
+    named = [*dict.fromkeys([*numeric, *categorical])]
+    if named:
+        lacking = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in named]).first()
+        numeric, categorical = ([c for c in part if lacking[c]] for part in (numeric, categorical))
     values = {}
     if numeric:
         medians = exact_percentiles(df, [], numeric, [0.5], hot_rows).first()

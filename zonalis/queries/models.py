@@ -13,6 +13,7 @@ from zonalis.operators import windows as w
 from zonalis.operators.aggregates import hourly_resample
 from zonalis.plans import comparison, preparation
 from zonalis.plans.adapters import raw_text, read, telemetry
+from zonalis.plans.materialize import materialize
 from zonalis.queries.groups import MEDIANS, splits
 from zonalis.queries.registry import query, r6
 from zonalis.queries.results import results
@@ -319,7 +320,7 @@ def _(spark, sf):
 def _(spark, sf):
     df = telemetry(spark, sf)
     train, test = preparation.impute(df, exclude=["event_id"])
-    train, test = preparation.build_features(train, test, ["ts", "event_id"])
+    train, test = preparation.build_features(materialize(train), materialize(test), ["ts", "event_id"])
     both = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
     return both.select("event_id", "is_test", *c.FORECASTING_COLUMNS, "zone_avg_latency", "day_avg_latency", "location_hash")
 
