@@ -273,3 +273,54 @@ def test_forecast_steps_equal_plain_recursion_and_stay_bounded():
         assert got[got.key == key].forecast.astype(float).tolist() == pytest.approx(want)
     wild = kernels.stationary(np.array([[0.0, 1.5, 0.0], [1.0, 0.5, 0.2]]), [1, 2])
     assert wild[0, 1] == pytest.approx(0.999) and wild[1].tolist() == [1.0, 0.5, 0.2]
+
+
+def test_boosting_over_binned_rows(spark, monkeypatch):
+    from zonalis.plans import boosting
+
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, 20, 4000).astype(float), rng.random(4000), rng.random(4000)], axis=1)
+    y = np.where(x[:, 0] > 7, 3.0, 0.0) + np.sin(6 * x[:, 1]) + rng.normal(0, 0.05, 4000)
+    df = spark.createDataFrame([(*map(float, r), float(v)) for r, v in zip(x, y)], "a double, b double, c double, y double")
+    train, test = df.limit(3000), df
+    law = dict(trees=8, rate=0.08, depth=3, rows=1.0, columns=1.0)
+
+    def outcome(rows=None):
+        out, model, names = fc.gbt_forecast(train, test, "y", ["a", "b", "c"], **(law | (rows or {})))
+        pred = out.select((F.col("prediction") - F.col("y")).alias("e"), "prediction").toPandas()
+        return pred, {r.feature: r.importance for r in fc.feature_importance(df, model, names).collect()}, model
+
+    spark_way = outcome()
+    monkeypatch.setattr(fc, "BINNED_ROWS", 1000)
+    one = outcome()
+    assert isinstance(one[2], boosting.Boosted) and not isinstance(spark_way[2], boosting.Boosted)
+    # cuts differ a little, the law does not
+    assert np.abs(one[0].prediction - spark_way[0].prediction).mean() < 0.03
+    assert abs(one[0].e.std() - spark_way[0].e.std()) < 0.01
+    assert max(abs(one[1][n] - spark_way[1][n]) for n in "abc") < 0.02
+    monkeypatch.setattr(boosting, "TASK_ROWS", 100)
+    monkeypatch.setattr(boosting, "CHAIN", 3)
+    many = outcome()
+    assert np.allclose(many[0].prediction, one[0].prediction) and np.allclose([many[1][n] for n in "abc"], [one[1][n] for n in "abc"])
+    shared = outcome({"rows": 0.9, "columns": 0.5})
+    assert len(shared[0]) == 4000 and shared[0].e.std() < 0.6
+
+
+def test_binned_tree_against_brute_force():
+    from zonalis.plans import boosting
+
+    rng = np.random.default_rng(5)
+    x, y = rng.integers(0, 6, (300, 3)).astype(float), rng.random(300)
+    cuts = [np.arange(5.0)] * 3
+    tree, = boosting.fit_block(boosting.Block(0, boosting.binned(x, cuts), y), 1, 0.1, 2, 1.0, 1.0, 42)
+
+    def grown(rows, depth):
+        options = [(sum(((y[p] - y[p].mean()) ** 2).sum() for p in (rows[x[rows, j] <= c], rows[x[rows, j] > c])), j, c)
+                   for j in range(3) for c in range(5) if 0 < (x[rows, j] <= c).sum() < len(rows)]
+        if not depth or not options:
+            return {int(r): y[rows].mean() for r in rows}
+        _, j, c = min(options)
+        return grown(rows[x[rows, j] <= c], depth - 1) | grown(rows[x[rows, j] > c], depth - 1)
+
+    wanted = grown(np.arange(300), 2)
+    assert np.allclose(tree.value[tree.place(boosting.binned(x, cuts))], [wanted[i] for i in range(300)])

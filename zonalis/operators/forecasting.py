@@ -12,7 +12,7 @@ from zonalis.operators.encoding import Scaler, align_target, assembled, encode_c
 from zonalis.operators.forecast_metrics import regression_metrics
 from zonalis.operators.ordering import split_tail
 from zonalis.operators.windows import difference_weights, interpolate_series, sequence_windows
-from zonalis.plans import kernels
+from zonalis.plans import boosting, kernels
 from zonalis.plans.materialize import materialize
 from zonalis.plans.skew import lookup_join
 from zonalis.plans.slices import Slices, slice_width
@@ -20,6 +20,7 @@ from zonalis.plans.slices import Slices, slice_width
 SERIES = "__series"
 TREE_ROWS = 100_000  # rows per partition that boosting works on
 LEAST_TREE_ROWS = 25_000  # the same where cores would stand idle otherwise
+BINNED_ROWS = 200_000  # from here on trees grow over binned rows, see plans/boosting.py
 
 
 # --- boosted trees --------------------------------------------------------------------------------------------------------
@@ -39,6 +40,9 @@ def gbt_forecast(
     n = ready.count()
     if not n:
         raise ValueError(f"no rows left for target {target}")
+    if n >= BINNED_ROWS:
+        model = boosting.fit(ready, n, trees, rate, depth, rows, columns, seed)
+        return model.transform(assembled(test, features, "__f")).drop("__f"), model, features
     # Every level of every tree is a job, so partitions that hold too few rows cost more than they save.
     # From two partitions on, rows are dealt anew: a stored table may have fewer files than there are cores.
     cores = ready.sparkSession.sparkContext.defaultParallelism
