@@ -575,3 +575,31 @@ def test_silhouette_sources_are_prepared_once(monkeypatch):
     want = whole.sort_values(["setting", "id"])
     assert got[["id", "setting", "label", "size"]].to_numpy().tolist() == want[["id", "setting", "label", "size"]].to_numpy().tolist()
     assert np.allclose(got[["a", "b"]].to_numpy(), want[["a", "b"]].to_numpy(), equal_nan=True)
+
+
+def test_starts_in_tasks_equal_passes(spark, monkeypatch):
+    from zonalis.plans import lloyd as ll
+
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(c, 0.4, (150, 2)) for c in (0.0, 4.0, 9.0)])
+    rows = materialize(spark.createDataFrame([(i, p.tolist(), 1.0 + i % 3, i % 2) for i, p in enumerate(x)], "id long, features array<double>, weight double, part int").repartition(4))
+    for parts in (None, [0, 1, 1]):
+        monkeypatch.setattr(ll, "RUN_BYTES", 1 << 20)
+        one = ll.lloyd(rows, [2, 3, 4], 2, parts=parts)
+        monkeypatch.setattr(ll, "RUN_BYTES", 0)
+        for a, b in zip(one, ll.lloyd(rows, [2, 3, 4], 2, parts=parts), strict=True):
+            assert np.allclose(a.centres, b.centres) and a.cost == pytest.approx(b.cost)
+
+
+def test_silhouettes_by_atoms_equal_those_of_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    x = rng.random((700, 3))
+    labels = np.stack([rng.integers(-1, 5, 700), np.full(700, -1), rng.integers(0, 200, 700), np.zeros(700, int)], axis=1)
+    rows = materialize(spark.createDataFrame([(i, p.tolist(), [int(v) for v in labels[i]]) for i, p in enumerate(x)], "id long, features array<double>, labels array<long>"))
+    assert m._atoms(rows, 700) is not None and m._atoms(rows, 699) is None
+    monkeypatch.setattr(m, "ATOM_PAIRS", 100_000)
+    got = {(r.id, r.setting): (r.label, r.silhouette) for r in m.silhouette_settings(rows).collect()}
+    want = {(r.id, r.setting): (r.label, r.silhouette) for r in m.silhouette_settings(rows, source_rows=100, block_rows=300).collect()}
+    assert got.keys() == want.keys() and {s for _, s in got} == {0, 2}
+    assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1]) for k in want)
+    assert [got[i, 0][1] for i in range(700) if labels[i, 0] >= 0] == pytest.approx(brute_silhouette(x[labels[:, 0] >= 0], labels[labels[:, 0] >= 0, 0]).tolist())
