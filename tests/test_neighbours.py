@@ -579,6 +579,7 @@ def test_silhouette_sources_are_prepared_once(monkeypatch):
 
 def test_starts_in_tasks_equal_passes(spark, monkeypatch):
     from zonalis.plans import lloyd as ll
+    from zonalis.plans.materialize import materialize
 
     rng = np.random.default_rng(11)
     x = np.concatenate([rng.normal(c, 0.4, (150, 2)) for c in (0.0, 4.0, 9.0)])
@@ -592,6 +593,8 @@ def test_starts_in_tasks_equal_passes(spark, monkeypatch):
 
 
 def test_silhouettes_by_atoms_equal_those_of_blocks(spark, monkeypatch):
+    from zonalis.plans.materialize import materialize
+
     rng = np.random.default_rng(12)
     x = rng.random((700, 3))
     labels = np.stack([rng.integers(-1, 5, 700), np.full(700, -1), rng.integers(0, 200, 700), np.zeros(700, int)], axis=1)
@@ -603,3 +606,30 @@ def test_silhouettes_by_atoms_equal_those_of_blocks(spark, monkeypatch):
     assert got.keys() == want.keys() and {s for _, s in got} == {0, 2}
     assert all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1]) for k in want)
     assert [got[i, 0][1] for i in range(700) if labels[i, 0] >= 0] == pytest.approx(brute_silhouette(x[labels[:, 0] >= 0], labels[labels[:, 0] >= 0, 0]).tolist())
+
+
+def test_donors_along_a_column_equal_brute_force(spark, monkeypatch):
+    from zonalis.plans import blocks
+
+    rng = np.random.default_rng(13)
+    x = np.round(rng.random((600, 4)) * [50, 5, 5, 5], 2)
+    x[rng.random((600, 4)) < [0.03, 0.2, 0.3, 0.2]] = np.nan
+    x[:, 3][50:] = np.nan
+    x[46:50, 3], x[3] = np.nan, [1e4, np.nan, np.nan, np.nan]
+    x[x[:, 3] > 0.5, 3] = np.nan  # fewer donors than k
+    frame_of = spark.createDataFrame([(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(x)], "id long, a double, b double, c double, d double")
+    names = list("abcd")
+    seen, slabs = [], blocks._against_blocks
+    monkeypatch.setattr(blocks, "_against_blocks", lambda t, s, *rest: seen.append(rest[2]) or slabs(t, s, *rest))
+    train = frame_of.filter("id < 400")
+    plain = {r.id: tuple(r) for r in nb.knn_impute(train, frame_of, "id", names).collect()}
+    assert not seen
+    got = {r.id: tuple(r) for r in nb.knn_impute(train, frame_of, "id", names, source_rows=50, block_rows=40).collect()}
+    assert [r for r in seen if r] and len(got) == 600  # searched by reach
+    for i in range(600):
+        assert got[i] == pytest.approx(plain[i]), i
+    # rows that share an id
+    twice = frame_of.unionByName(frame_of.filter("id % 7 = 0").withColumn("a", F.col("a") + 3))
+    key = lambda r: tuple((v is not None, v or 0.0) for v in r)
+    a, b = (sorted((tuple(r) for r in nb.knn_impute(train, twice, "id", names, **limits).collect()), key=key) for limits in ({}, {"source_rows": 50, "block_rows": 40}))
+    assert len(a) == len(b) and all(p == pytest.approx(q) for p, q in zip(a, b))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.plans import kernels
-from zonalis.plans.blocks import BLOCK_ROWS, SOURCE_ROWS, block_apply, k_best, nearest
+from zonalis.plans.blocks import BLOCK_ROWS, SOURCE_ROWS, against_slabs, block_apply, is_broadcast, k_best, nearest
+from zonalis.plans.cells import ROUNDING
 from zonalis.plans.materialize import materialize
 from zonalis.plans.skew import lookup_join
 
@@ -77,8 +80,26 @@ def knn_impute(
     gappy = cells(df).filter(any_null)
     schema = "id bigint, position int, other bigint, value double, distance double"
 
+    def partial_of(targets: DataFrame) -> DataFrame:
+        kernel = kernels.donors_kernel(k)
+        if is_broadcast(donors, source_rows) or donors.isEmpty():
+            return block_apply(targets, donors, kernel, schema, None, source_rows, block_rows, DONOR_PAIRS)
+        # a distance is no less than the gap in any common column: the one that most donors have leads the search
+        has = [~F.isnan(F.col("features")[i]) for i in range(len(columns))]
+        known = donors.agg(*[F.count_if(h & (F.abs(F.col("features")[i]) < float("inf"))).alias(f"n{i}") for i, h in enumerate(has)]).first()
+        lead = max(range(len(columns)), key=lambda i: (known[i], -i))
+        led = has[lead] & (F.abs(F.col("features")[lead]) < float("inf"))
+        led = F.coalesce(led, F.lit(False))
+        with_lead, without = materialize(donors.filter(led)), donors.filter(~led)
+        asked = materialize(targets.filter(led))
+        out = against_slabs(asked, with_lead, kernel, schema, lead, _settled(with_lead, len(columns), k), max(4 * k, block_rows // 5), block_rows)
+        for some, others in ((asked, without), (targets.filter(~led), donors)):
+            if not (others.isEmpty() or some.isEmpty()):
+                out = out.unionByName(block_apply(some, materialize(others), kernel, schema, None, source_rows, block_rows, DONOR_PAIRS))
+        return out
+
     def filled(targets: DataFrame) -> DataFrame:
-        partial = block_apply(targets, donors, kernels.donors_kernel(k), schema, None, source_rows, block_rows, DONOR_PAIRS)
+        partial = partial_of(targets)
         means = k_best(partial, ["id", "position"], k).groupBy("id", "position").agg(F.avg("value").alias("value"))
         return means.groupBy("id").agg(*[F.max(F.when(F.col("position") == i, F.col("value"))).alias(f"__{c}") for i, c in enumerate(columns)])
 
@@ -100,6 +121,24 @@ def knn_impute(
     return joined.withColumns({c: F.coalesce(F.col(c), v) for c, v in values.items()}).drop("__both", "__shared", *[f"__{c}" for c in columns])
 
 
+def _settled(donors: DataFrame, width: int, k: int):
+    """For ``against_slabs``: targets whose every missing column has its ``k`` nearest of ``donors``, or all there are."""
+    row = donors.agg(*[F.sum(F.when(~F.isnan(F.col("features")[i]), F.size("copies"))).alias(f"n{i}") for i in range(width)]).first()
+    total = [n or 0 for n in row]
+
+    def done(targets: DataFrame, found: DataFrame, reach: float) -> DataFrame:
+        near = F.col("distance") < reach - 2 * ROUNDING
+        counts = found.groupBy("id").agg(*[
+            F.struct(F.count_if(F.col("position") == i).alias("all"), F.count_if((F.col("position") == i) & near).alias("near")).alias(f"c{i}") for i in range(width)
+        ])
+        asked = targets.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), *[F.max(F.isnan(F.col("features")[i])).alias(f"m{i}") for i in range(width)])
+        # rows that share an id look for the nearest of all their pairs
+        full = [(F.col(f"c{i}.near") >= k) | (F.col("rows") == 1) & (F.col(f"c{i}.all") >= total[i]) for i in range(width)]
+        return asked.join(counts, "id").filter(reduce(lambda a, b: a & b, [~F.col(f"m{i}") | f for i, f in enumerate(full)]))
+
+    return done
+
+
 def knn_haversine_classify(
     known: DataFrame, unknown: DataFrame, row_id: str, zone: str = "square_id", k: int = 7, accept: float = 0.6, **limits: int
 ) -> DataFrame:

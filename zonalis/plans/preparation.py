@@ -46,7 +46,7 @@ def refine(train: DataFrame, test: DataFrame, row_id: str, k: int = 5, columns:
     if not block:
         return train, test
     gap = F.greatest(*[F.col(n).isNull().cast("int") for n in block], F.lit(0)) == 1
-    donors = materialize(train)
+    donors, test = materialize(train), materialize(test)  # both are read several times
     return tuple(
         df if df.filter(gap).isEmpty() else knn_impute(donors, df, row_id, block, k) for df in (donors, test)
     )
