@@ -633,3 +633,21 @@ def test_donors_along_a_column_equal_brute_force(spark, monkeypatch):
     key = lambda r: tuple((v is not None, v or 0.0) for v in r)
     a, b = (sorted((tuple(r) for r in nb.knn_impute(train, twice, "id", names, **limits).collect()), key=key) for limits in ({}, {"source_rows": 50, "block_rows": 40}))
     assert len(a) == len(b) and all(p == pytest.approx(q) for p, q in zip(a, b))
+
+
+def test_wide_clusters_with_sources_in_pieces(spark, monkeypatch):
+    from zonalis.plans import blocks
+
+    rng = np.random.default_rng(14)
+    x = np.concatenate([rng.normal(c, 0.1, (60, 12)) for c in (0.0, 2.0)] + [np.linspace(0, 2, 25)[:, None] * np.ones((1, 12)) + 4, rng.uniform(-9, 9, (20, 12))])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(x)], "id long, features array<double>")
+    pieces, shuffled = [], []
+    plain = blocks._against_pieces
+    monkeypatch.setattr(blocks, "_against_pieces", lambda *a: pieces.append(a[-1]) or plain(*a))
+    monkeypatch.setattr(blocks, "_against_blocks", lambda *a: shuffled.append(a))
+    for eps, least in ((0.6, 4),):
+        want = {r.id: r.label for r in cl.dbscan(df, eps, least).collect()}
+        assert not pieces
+        got = {r.id: r.label for r in cl.dbscan(df, eps, least, source_rows=0, block_rows=100).collect()}
+        assert got == want and len(set(want.values())) > 2 and len(pieces) > 1 and not shuffled
+        pieces.clear()

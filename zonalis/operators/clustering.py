@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from zonalis.operators.cluster_metrics import score_settings
 from zonalis.plans import kernels
-from zonalis.plans.blocks import BLOCK_ROWS, MOST_TASKS, PLACE_ROWS, SOURCE_ROWS, block_apply, by_place, nearest
+from zonalis.plans.blocks import BLOCK_ROWS, MOST_TASKS, PLACE_ROWS, SOURCE_ROWS, block_apply, by_place, dealt_rows, is_broadcast, nearest
 from zonalis.plans.components import components, shortcut
 from zonalis.plans.lloyd import Fit, lloyd
 from zonalis.plans.materialize import materialize
@@ -81,12 +81,18 @@ def dbscan_sweep(
     narrow = points.select(F.size("features").alias("n")).first()
     narrow = narrow is not None and narrow.n < kernels.WIDE
     kernel = kernels.degree_kernel(radii, [m for _, m in settings])
-    degrees = block_apply(points, points, kernel, "id bigint, degree array<double>", reach, source_rows, block_rows, by_cells=True)
+    if not narrow:
+        points = dealt_rows(points)
+    degrees = block_apply(points, points, kernel, "id bigint, degree array<double>", reach, source_rows, block_rows, by_cells=True, dealt=not narrow)
     degrees = degrees.groupBy("id").agg(F.array(*[F.sum(F.col("degree")[i]) for i in range(count)]).alias("degree"))
     nan = F.lit(float("nan"))
     start = F.array(*[F.when(F.col("degree")[i] >= m, F.col("id").cast("double")).otherwise(nan) for i, (_, m) in enumerate(settings)])
-    state = materialize(points.join(degrees, "id").select("id", "features", start.alias("labels")))
-    state, found = (_joined_labels if narrow else _travelling_labels)(state, radii, source_rows, block_rows)
+    if narrow:
+        state = materialize(points.join(degrees, "id").select("id", "features", start.alias("labels")))
+        state, found = _joined_labels(state, radii, source_rows, block_rows)
+    else:
+        labels, found = _travelling_labels(points, materialize(degrees.select("id", start.alias("labels"))), radii, source_rows, block_rows)
+        state = lookup_join(points.select("id", "features"), labels, ["id"], null_safe=False, row_id="id", stored=True)
     final = F.zip_with("labels", "least", lambda own, near: F.when(F.isnan(own), near).otherwise(own))
     rooted = state.join(found, "id", "left").withColumn("least", F.coalesce("least", F.array_repeat(nan, count))).select("features", F.posexplode(final).alias("setting", "root"))
     names = rooted.filter(F.col("root").isNotNull() & ~F.isnan("root")).select("setting", "root").distinct()
@@ -99,15 +105,20 @@ def dbscan_sweep(
     return every.select("id", F.explode("found").alias("f")).select("id", "f.setting", "f.label")
 
 
-def _travelling_labels(state: DataFrame, radii: list[float], source_rows: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Labels (id, features, labels) of core points once they have travelled as far as they can, and (id, least) around every
-    point: round by round, for wide points."""
+def _travelling_labels(points: DataFrame, labels: DataFrame, radii: list[float], source_rows: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Labels (id, labels) of core points once they have travelled as far as they can, and (id, least) around every point:
+    round by round, for wide points. Coordinates stay where they are stored; a round writes labels only."""
     reach, count, nan = max(radii), len(radii), F.lit(float("nan"))
     kernel = kernels.least_label_kernel(radii)
+    cores = materialize(labels.filter(F.exists("labels", lambda x: ~F.isnan(x))).select("id"))
+    cores = materialize(points.select("id", "features").join(cores, "id"))
     while True:
-        found = block_apply(state, state, kernel, "id bigint, least array<double>", reach, source_rows, block_rows)
+        state = lookup_join(cores, labels, ["id"], null_safe=False, row_id="id", stored=True)
+        if is_broadcast(cores, source_rows):
+            state = materialize(state)
+        found = block_apply(points, state, kernel, "id bigint, least array<double>", reach, source_rows, block_rows, dealt=True)
         found = materialize(found.groupBy("id").agg(F.array(*[F.min(F.col("least")[i]) for i in range(count)]).alias("least")))
-        merged = state.join(found, "id")
+        merged = labels.join(found, "id")
         lower = F.zip_with("labels", "least", lambda own, near: F.when(F.isnan(own), own).otherwise(F.least(own, near)))
         long = merged.select("id", F.posexplode(lower).alias("s", "parent")).filter(~F.isnan("parent"))
         # one pointer step per round: a label takes over the label of the point it names
@@ -115,11 +126,11 @@ def _travelling_labels(state: DataFrame, radii: list[float], source_rows: int, b
         stepped = long.join(named, ["s", "parent"], "left").select("s", "id", F.coalesce("onward", "parent").alias("parent"))
         wide = stepped.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("s", "parent"))).alias("m"))
         new = F.array(*[F.coalesce(F.try_element_at("m", F.lit(i)), nan) for i in range(count)])
-        joined = materialize(state.join(wide, "id", "left").select("id", "features", new.alias("new"), "labels"))
+        joined = materialize(labels.join(wide, "id", "left").select("id", new.alias("new"), "labels"))
         changed = not joined.filter(F.exists(F.zip_with("new", "labels", lambda a, b: ~a.eqNullSafe(b)), lambda c: c)).isEmpty()
-        state = joined.select("id", "features", F.col("new").alias("labels"))
+        labels = materialize(joined.select("id", F.col("new").alias("labels")))
         if not changed:
-            return state, found
+            return labels, found
 
 
 def _joined_labels(state: DataFrame, radii: list[float], source_rows: int, block_rows: int) -> tuple[DataFrame, DataFrame]:
